@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="selvedge-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once per context.
+
+    Spark's file server hands the archive out, so nothing need be installed on the executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_selvedge_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="selvedge-"), "selvedge_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._selvedge_shipped = True
