@@ -5,10 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from selvedge.llm import encoding, mixing, topn
+from selvedge.llm import canonical, encoding, listings, mixing, topn
 from selvedge.sources.tables import table
 
 
+def _colors(spark: SparkSession, d: str) -> list[tuple[int, list[str]]]:
+    return canonical.reference_names(table(spark, d, "ref_color"), "color_id", "color_name", "aliases")
+
+
+def _brands(spark: SparkSession, d: str) -> list[tuple[int, list[str]]]:
+    return canonical.reference_names(table(spark, d, "ref_brand"), "brand_id", "brand_name")
+
+
+def _mapped_products(spark: SparkSession, d: str) -> DataFrame:
+    colors, brands = _colors(spark, d), _brands(spark, d)
+    lists = {"color": colors, "internal_color": colors, "product_brand": brands}
+    exact = {f: {names[0] for _, names in entries} for f, entries in lists.items()}
+    mapped = canonical.canonicalized(table(spark, d, "active_products"), ["product_id"], lists)
+    literal = F.lit(False)
+    for f, names in exact.items():
+        literal = literal | ((F.col("field_name") == f) & F.col("value").isin(*names))
+    return mapped.where(~literal)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _mapped_products(spark, d).select("product_id", "field_name", "ref_id")
+
+
+def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values that mean no entry, and how often they occur."""
+    return canonical.unmatched(_mapped_products(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     parts = []
     for kind, name, group, item in (("user", "product_recs", "user_id", "product_id"), ("advertiser", "advertiser_top_smart_tag", "advertiser_name", "smart_tag_id")):
@@ -28,6 +56,19 @@ FROM (SELECT *, row_number() OVER (PARTITION BY group_kind, group_key ORDER BY s
 """
 
 
+def _article_groups(spark: SparkSession, d: str) -> DataFrame:
+    return listings.groups(table(spark, d, "product_info"), "product_id", _brands(spark, d), _colors(spark, d), ["advertiser_name"])
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return listings.pairs_between(_article_groups(spark, d), "product_id", "advertiser_name")
+
+
+def p6_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The group of each listing, named by one number."""
+    return _article_groups(spark, d).select("product_id", "component")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(table(spark, d, "documents"), "text", ["doc_id"])
 
@@ -48,5 +89,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_target"), "n_tokens")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p8_ids, p8_round_trip, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p6_found, p6_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
 SQL = {"p4_found": P4_SQL}
