@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from selvedge.llm import canonical, encoding, listings, mixing, topn
+from selvedge.llm import canonical, encoding, listings, mixing, privacy, topn
 from selvedge.sources.tables import table
 
 
@@ -89,5 +89,14 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_target"), "n_tokens")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p6_found, p6_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return privacy.extract(table(spark, d, "documents"), "text", ["doc_id"]).select("doc_id", "pii_kind", "pii_text").distinct()
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """The texts with placeholders that name the kind of what stood there."""
+    return privacy.redact(table(spark, d, "documents"), "text", ["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p6_found, p6_groups, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_redacted)}
 SQL = {"p4_found": P4_SQL}
