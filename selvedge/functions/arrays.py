@@ -77,11 +77,12 @@ def quoted(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\\[\]{}()*+?.^$|\-])", r"\\$1")
 
 
-def stripped(text: Column, patterns: Sequence[Column | str]) -> Column:
-    """text after each pattern was deleted in turn, trimmed every time; a null pattern deletes nothing."""
-    for p in patterns:
-        pattern = F.lit(p) if isinstance(p, str) else p
-        text = F.trim(F.coalesce(F.regexp_replace(text, pattern, F.lit("")), text))
+def stripped(text: Column, steps: Sequence[Column | str | tuple[Column, str]]) -> Column:
+    """text after each pattern was deleted (or replaced, for pairs) in turn, trimmed every time; a null pattern changes nothing."""
+    for step in steps:
+        pattern, by = step if isinstance(step, tuple) else (step, "")
+        pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+        text = F.trim(F.coalesce(F.regexp_replace(text, pattern, F.lit(by)), text))
     return text
 
 

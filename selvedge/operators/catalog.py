@@ -36,11 +36,11 @@ def clean_name(name: Column, color: Column, size: Column, prefix: str = "", stri
     """
     plain = F.regexp_replace(color, r"[^0-9a-zA-Z:, ]", "")
     shade = F.coalesce(plain, F.lit("")) if strip_null_color else plain
-    own = F.when(F.length(F.trim(size)) > 0, F.concat(F.lit(r"(?i)(?<!\S)"), A.quoted(F.trim(size)), F.lit(r"(?!\S)")))
+    own = F.when(F.length(F.trim(size)) > 0, F.concat(F.lit(r"(?i)(^|\s)"), A.quoted(F.trim(size)), F.lit(r"(\s|$)")))
     in_color = F.when(F.lit(True) if strip_null_color else F.length(shade) > 0, F.concat(F.lit(r"(?i)\bin "), A.quoted(shade), F.lit(".*")))
     dashed = F.when(F.length(shade) > 0, F.concat(F.lit(r"(?i)-."), A.quoted(shade), F.lit(".*")))
     start = [f"^{A.escaped(prefix)}"] if prefix else []
-    return A.stripped(name, [*start, r" - .*", r"\..*", *[rf"(?i)\b{w}\b" for w in ("extra", "x", "small", "medium", "large")], own, r"(?i)\bsize$", in_color, dashed])
+    return A.stripped(name, [*start, r" - .*", r"\..*", *[rf"(?i)\b{w}\b" for w in ("extra", "x", "small", "medium", "large")], (own, " "), r"(?i)\bsize$", in_color, dashed])
 
 
 Rewrite = tuple[str, str]

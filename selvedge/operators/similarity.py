@@ -19,8 +19,16 @@ CHUNK = 1024
 def _packed(vectors: DataFrame, chunk: int, side: str) -> DataFrame:
     """Vectors of a label in chunks of about `chunk`, by a hash of the id, so a hot label is many rows."""
     per = vectors.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_chunks"))
-    placed = vectors.join(per, "label").withColumn("_chunk", F.pmod(F.xxhash64("id"), F.col("_chunks")))
-    return placed.groupBy("label", "_chunk").agg(F.collect_list("id").alias(f"{side}_ids"), F.collect_list("vector").alias(f"{side}_vectors")).drop("_chunk")
+    placed = vectors.join(per, "label").withColumn("_chunk", F.pmod(F.xxhash64("id"), F.col("_chunks")).cast("int"))
+    return placed.groupBy("label", "_chunks", "_chunk").agg(F.collect_list("id").alias(f"{side}_ids"), F.collect_list("vector").alias(f"{side}_vectors"))
+
+
+def _meetings(a: DataFrame, b: DataFrame, salts: int = 64) -> DataFrame:
+    """Every chunk of a with every chunk of b of its label; a's chunks are spread over up to `salts` tasks a label, to which b's are copied."""
+    left = a.withColumn("_salt", F.pmod("_chunk", F.lit(salts))).drop("_chunks", "_chunk")
+    spread = a.select("label", F.least("_chunks", F.lit(salts)).alias("_spread")).distinct()
+    right = b.drop("_chunks", "_chunk").join(spread, "label").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_spread") - 1))).drop("_spread")
+    return left.join(right, ["label", "_salt"]).drop("label", "_salt")
 
 
 def block_pairs(left: DataFrame, right: DataFrame, least: float, chunk: int = CHUNK) -> DataFrame:
@@ -33,7 +41,7 @@ def block_pairs(left: DataFrame, right: DataFrame, least: float, chunk: int = CH
     """
     usable = "id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL"
     a, b = _packed(left.where(usable), chunk, "a"), _packed(right.where(usable), chunk, "b")
-    met = a.join(b, "label").drop("label")
+    met = _meetings(a, b)
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -138,10 +146,9 @@ def vector_recommendations(users: DataFrame, vectors: DataFrame, n: int) -> Data
     Users in chunks meet products in chunks; each meeting keeps n per user, and the best of all
     meetings are taken, so no user-product matrix is shuffled. Ties by the larger product first.
     """
-    u = users.select(F.col("user_id").alias("id"), F.lit(0).alias("label"), "vector")
-    chunks = _packed(u, CHUNK, "a").withColumn("_k", F.lit(0))
-    items = _packed(vectors.select(F.col("product_id").alias("id"), F.lit(0).alias("label"), "vector"), 4 * CHUNK, "b").withColumn("_k", F.lit(0))
-    met = chunks.drop("label").join(items.drop("label"), "_k").drop("_k")
+    a = _packed(users.select(F.col("user_id").alias("id"), F.lit(0).alias("label"), "vector"), CHUNK, "a")
+    b = _packed(vectors.select(F.col("product_id").alias("id"), F.lit(0).alias("label"), "vector"), 4 * CHUNK, "b")
+    met = _meetings(a, b)
     spare = users.agg(F.max(F.size("seen"))).first()[0] or 0
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

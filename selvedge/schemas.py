@@ -67,6 +67,15 @@ DAILY_PRODUCT_DUMP = relaxed(PRODUCT_INFO)
 EMBEDDINGS = T.StructType([_f("product_id", T.LongType()), _f("product_image_embedding", T.ArrayType(T.FloatType(), False))])
 
 
+def _loose(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed inside, which any value can be cast to."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_loose(kind.elementType), True)
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType), True) for f in kind.fields])
+    return kind
+
+
 def align(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
     """df with the columns of schema in its order and types, missing ones as their default or null.
 
@@ -77,10 +86,11 @@ def align(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> Data
     have = {c.lower(): c for c in df.columns}
     out = []
     for f in schema.fields:
-        col = F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)
+        kind = _loose(f.dataType)
+        col = F.col(f"`{have[f.name.lower()]}`").try_cast(kind) if f.name.lower() in have else F.lit(None).cast(kind)
         if "default" in (f.metadata or {}):
             value = f.metadata["default"]
-            col = F.coalesce(col, F.from_json(F.lit("[]"), f.dataType) if value == [] else F.lit(value).cast(f.dataType))
+            col = F.coalesce(col, F.array().cast(kind) if value == [] else F.lit(value).cast(kind))
         out.append(col.alias(f.name))
     names = {f.name.lower() for f in schema.fields}
     if keep_extra:
