@@ -77,12 +77,19 @@ def quoted(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\\[\]{}()*+?.^$|\-])", r"\\$1")
 
 
+#: A pattern that is found nowhere.
+NEVER = r"[^\s\S]"
+
+
 def stripped(text: Column, steps: Sequence[Column | str | tuple[Column, str]]) -> Column:
-    """text after each pattern was deleted (or replaced, for pairs) in turn, trimmed every time; a null pattern changes nothing."""
+    """text after each pattern was deleted (or replaced, for pairs) in turn, trimmed every time; a null pattern changes nothing.
+
+    Each step names its input once, so the expression grows with the number of steps only.
+    """
     for step in steps:
         pattern, by = step if isinstance(step, tuple) else (step, "")
-        pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-        text = F.trim(F.coalesce(F.regexp_replace(text, pattern, F.lit(by)), text))
+        pattern = F.lit(pattern) if isinstance(pattern, str) else F.coalesce(pattern, F.lit(NEVER))
+        text = F.trim(F.regexp_replace(text, pattern, F.lit(by)))
     return text
 
 

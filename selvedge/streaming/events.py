@@ -54,7 +54,8 @@ def counting(path: str, keys: list[str], counters: dict[str, Column]) -> Callabl
                 raise
             swap(new, path)
             return
-        if (old.agg(F.max("last_batch")).first()[0] or -1) >= number:
+        last = old.agg(F.max("last_batch")).first()[0]
+        if last is not None and last >= number:
             return
         names = list(counters)
         both = old.drop("last_batch").unionByName(new.drop("last_batch")).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
