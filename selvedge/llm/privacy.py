@@ -168,7 +168,13 @@ def han_runs(t: Text) -> Iterator[tuple[int, int, str]]:
             yield m.start(), m.start() + len(run), run
 
 
+_AT = regex.compile(r"[@＠]|[(\[{]\s?at\s?[)\]}]", regex.I)
+_DE_GATE = regex.compile(r"(?:straße|strasse|str\.|weg|allee|platz|gasse|ring|damm|ufer)\s\d", regex.I)
+
+
 def emails(t: Text) -> Iterator[tuple[int, int, str]]:
+    if not _AT.search(t.text):
+        return
     for m in EMAIL.finditer(t.text):
         yield m.start(), m.end(), regex.split(r"[^\p{L}\d]+", m[0].casefold())[-1]
 
@@ -218,6 +224,8 @@ def addresses(t: Text, towns: set[str], streets: set[str]) -> Iterator[tuple[int
                 end = sep.end() + len(town)
         yield m.start(), end, "en" + " label" * labelled("address", text, m.start()), []
     for lang, grammar in (("de", DE), ("es", ES), ("fr", FR)):
+        if lang == "de" and not _DE_GATE.search(text):
+            continue
         for m in grammar.finditer(text):
             start, end, learnt = m.start(), m.end(), []
             if lang == "fr":
@@ -405,6 +413,28 @@ def _known(word: str, model: dict) -> bool:
     return all(model["bits"][x >> 3] >> (x & 7) & 1 for x in _bits(word))
 
 
+def _beside_context(t: Text, model: dict) -> Iterator[tuple[int, int]]:
+    """Spans of the form of a name, whatever their case, beside a context that is sure."""
+    known = model["person"]
+    if "lefts" not in model:  # the left halves of two-sided patterns, to know where to look
+        model["lefts"] = {p.split(" ")[1] for p, x in known.items() if p[0] == "X" and x >= THRESHOLD_LOWER}
+    lefts, tokens = model["lefts"], t.tokens
+    a, b, c = "^", "^", "^"
+    for i, (s, token) in enumerate(zip(t.starts, tokens)):
+        if token[0].isalpha() and token not in TITLES:
+            left = max(known.get(f"L3 {a} {b} {c}", 0.0), known.get(f"L2 {b} {c}", 0.0), known.get(f"L1 {c}", 0.0) if c[0].isalpha() else 0.0) >= THRESHOLD_LOWER
+            if (left or c in lefts) and (m := NAME_LOWER.match(t.text, s)):
+                if left or max((known.get(p, 0.0) for p in t.patterns(*m.span()) if p[0] == "X"), default=0.0) >= THRESHOLD_LOWER:
+                    yield m.span()
+        if i >= 2 and (i + 1 < len(tokens)) and known.get(f"R2 {token} {tokens[i + 1]}", 0.0) >= THRESHOLD_LOWER:
+            for j in range(max(0, i - 5), i - 1):
+                m = NAME_LOWER.match(t.text, t.starts[j]) if tokens[j] not in TITLES else None
+                if m and m.end() == t.ends[i - 1]:
+                    yield m.span()
+                    break
+        a, b, c = b, c, token
+
+
 def found(text: str, model: dict) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the personal information in a text, in order, without overlaps."""
     t = Text(text)
@@ -433,11 +463,9 @@ def found(text: str, model: dict) -> list[tuple[int, int, str]]:
             cased.add(s)
             if (x := score("person", s, e)) >= THRESHOLD:
                 hits.append((1.0 + x, s, e, "person"))
-    for s, e in names(t, NAME_LOWER):
-        if s not in cased and (text[s].islower() or _capitals(t, s, e)):
-            x = max((model["person"].get(p, 0.0) for p in t.patterns(s, e) if p[0] in "LX"), default=0.0)
-            if x >= THRESHOLD_LOWER and any(_known(w, model) for w in name_words(text[s:e]) if len(w) > 2):
-                hits.append((1.0, s, e, "person"))
+    for s, e in _beside_context(t, model):
+        if s not in cased and (text[s].islower() or _capitals(t, s, e)) and any(_known(w, model) for w in name_words(text[s:e]) if len(w) > 2):
+            hits.append((1.0, s, e, "person"))
     for s, e, run in han_runs(t):
         if text[e : e + 1] in ("様", "殿"):
             if any(p in model["person"] for p in t.patterns(s, e)) or regex.search(r"[はがの、。：:]$", text[:s]):
