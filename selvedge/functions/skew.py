@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, keys: list[str], one_in: int = 200) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], one_in: int = 200) -> list[Row]:
     """The key combinations that hold more than one row in one_in: by counting, fewer than one_in of them.
 
-    The counts are partially aggregated before their shuffle, so a hot key costs one row per task.
+    The counts are partially aggregated before their shuffle, so a hot key costs one row per
+    task. Usually there is none, which the largest count tells in one pass. Tables of fewer
+    than 1000 * one_in rows need no spreading and have none.
     """
-    total = df.count()
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") * one_in > max(total, one_in * 1000)).select(*keys)
+    counts = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total, most = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    least = max(total or 0, one_in * 1000) / one_in
+    return counts.where(F.col("_rows") > least).select(*keys).collect() if most and most > least else []
 
 
 def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", one_in: int = 200, salts: int = 64) -> DataFrame:
@@ -27,14 +31,13 @@ def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
     rows that are equal in every column, because the salt comes from the row's content.
     Null keys match nothing; with a left join they are spread as well.
     """
-    hot = hot_keys(big, keys, one_in)
-    found = hot.collect()  # fewer than one_in rows
+    found = hot_keys(big, keys, one_in)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in big.dtypes if not t.startswith(("map", "variant"))]), F.lit(salts)).cast("int")
     if not found:
         left = big.withColumn("_salt", F.when(any_null, spread).otherwise(F.lit(0)))
         return left.join(small.withColumn("_salt", F.lit(0)), [*keys, "_salt"], how).drop("_salt")
-    marked = F.broadcast(big.sparkSession.createDataFrame(found, hot.schema).withColumn("_hot", F.lit(True)))
+    marked = F.broadcast(big.sparkSession.createDataFrame(found, big.select(*keys).schema).withColumn("_hot", F.lit(True)))
     left = big.join(marked, keys, "left").withColumn("_salt", F.when(F.col("_hot") | any_null, spread).otherwise(F.lit(0))).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = small.join(marked, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")

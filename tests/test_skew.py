@@ -10,7 +10,7 @@ def test_join_with_hot_and_null_keys(spark):
     df = spark.createDataFrame(big, "id long, k long").repartition(3)
     small = spark.createDataFrame([(k, k * 2) for k in range(0, 60, 2)] + [(7, 14)], "k long, v long")
     monkey = {k: v for k, v in [(k, k * 2) for k in range(0, 60, 2)] + [(7, 14)]}
-    assert [r[0] for r in skew.hot_keys(df, ["k"], 10).collect()] == [7]
+    assert [r[0] for r in skew.hot_keys(df, ["k"], 10)] == [7]
     for how in ("inner", "left"):
         got = sorted(((r.id, r.k, r.v) for r in skew.join_unique(df, small, ["k"], how, one_in=10, salts=4).collect()), key=lambda x: x[0])
         assert got == [(i, k, monkey.get(k)) for i, k in big if how == "left" or k in monkey]
