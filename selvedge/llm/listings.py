@@ -270,20 +270,22 @@ def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None
     member = read.select(key, *keep, *FIELDS).join(models, key).withColumn("rep", F.xxhash64(F.concat_ws("\u0001", *known, F.concat_ws("\u0002", "models"))))
     member = checkpointed(member)
     reps = checkpointed(member.select("rep", *FIELDS, "models").dropDuplicates(["rep"]).withColumn("full", full))
-    tokens = reps.select("rep", "full", *FIELDS, "models", F.explode("models").alias("_m")).select("rep", "full", *FIELDS, "models", F.explode(_deletions(F.col("_m"))).alias("token"))
+    tokens = reps.select("rep", "full", *FIELDS, F.explode("models").alias("_m")).select("rep", "full", *FIELDS, F.explode(_deletions(F.col("_m"))).alias("token"))
     tokens = tokens.where(F.length("token") >= SHORTEST)
 
-    facts_key = [F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f"_{f}") for f in FIELDS]
-    blocked = tokens.select("token", *facts_key, "rep", "models")
-    on = ["token", *[f"_{f}" for f in FIELDS]]
-    left, right = blocked.withColumnsRenamed({"rep": "a", "models": "models_a"}), blocked.withColumnsRenamed({"rep": "b", "models": "models_b"})
-    pairs = left.join(right, on).where("a < b").select("a", "b", "models_a", "models_b").distinct()
+    # a block is a token with all facts, as one number; what collides is told apart below
+    block = F.xxhash64("token", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in FIELDS]).alias("block")
+    blocked = tokens.select(block, "rep").distinct()
+    pairs = blocked.withColumnRenamed("rep", "a").join(blocked.withColumnRenamed("rep", "b"), "block").where("a < b").select("a", "b").distinct()
+    side = lambda x: reps.select(F.col("rep").alias(x), F.col("models").alias(f"models_{x}"), F.struct(*FIELDS).alias(f"facts_{x}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(F.col("facts_a").eqNullSafe(F.col("facts_b"))).select("a", "b", "models_a", "models_b")
 
     parts, whole = tokens.where("NOT full"), tokens.where("full")
     agree = F.lit(True)
     for f in FIELDS:
         agree = agree & (F.col(f"p.{f}").isNull() | (F.col(f"p.{f}") == F.col(f"w.{f}")))
-    loose = parts.alias("p").join(whole.alias("w"), (F.col("p.token") == F.col("w.token")) & agree).select(F.col("p.rep").alias("a"), F.col("w.rep").alias("b"), F.col("p.models").alias("models_a"), F.col("w.models").alias("models_b")).distinct()
+    loose = parts.alias("p").join(whole.alias("w"), (F.col("p.token") == F.col("w.token")) & agree).select(F.col("p.rep").alias("a"), F.col("w.rep").alias("b")).distinct()
+    loose = loose.join(side("a"), "a").join(side("b"), "b").select("a", "b", "models_a", "models_b")
 
     weights = gram_weights(reps)
     confirm = lambda df: df.mapInArrow(_cosine(weights), "a long, b long, cosine double").where(F.col("cosine") >= least).select("a", "b")
@@ -302,7 +304,7 @@ def pairs_between(grouped: DataFrame, key: str, seller: str, salts: int = 32) ->
     more than a two-hundredth of all listings are spread over `salts` tasks.
     """
     rows = grouped.where(F.col(seller).isNotNull()).select("component", F.col(key).alias("_key"), F.col(seller).alias("_seller")).distinct()
-    hot = [r[0] for r in hot_keys(rows, ["component"]).collect()]  # fewer than 200
+    hot = [r[0] for r in hot_keys(rows, ["component"])]  # fewer than 200
     is_hot = F.col("component").isin(hot) if hot else F.lit(False)
     left = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64("_key"), F.lit(salts))).otherwise(0).cast("int"))
     right = rows.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
