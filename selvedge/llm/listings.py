@@ -62,6 +62,7 @@ MANY_BRANDS, COMMON_SHARE = 3, 0.002
 #: Letters of the shortest rare token that blocks.
 SHORTEST = 3
 GRAM_BUCKETS = 1 << 16
+MAX_BROADCAST_WORDS = 500_000
 #: Pairs that meet agree in all facts and nearly in spelling, so little more is asked; a swap of two letters costs three of some nine trigrams a side.
 LEAST_COSINE = 0.25
 
@@ -187,7 +188,9 @@ def rare_texts(read: DataFrame, key: str) -> DataFrame:
     spread = words.where("brand IS NOT NULL").groupBy("word", *context).agg(F.lit(1)).groupBy("word", "brand").agg(F.count(F.lit(1)).alias("n"))
     spread = spread.groupBy("word").agg(F.count(F.lit(1)).alias("brands"), F.sum("n").alias("contexts"))
     common = spread.where((F.col("brands") >= MANY_BRANDS) & (F.col("contexts") >= COMMON_SHARE * total)).select("word")
-    rare = words.join(common, "word", "left_anti").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("_rare"))
+    common = checkpointed(common)
+    few = common.limit(MAX_BROADCAST_WORDS + 1).count() <= MAX_BROADCAST_WORDS  # else the words are joined by exchange
+    rare = words.join(F.broadcast(common) if few else common, "word", "left_anti").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("_rare"))
     start = F.struct(F.lit(-9).alias("at"), F.array().cast("array<string>").alias("runs"))
     def step(acc: Column, x: Column) -> Column:
         glued = F.concat(F.slice(acc["runs"], F.lit(1), F.size(acc["runs"]) - 1), F.array(F.concat(F.element_at(acc["runs"], -1), x["word"])))
