@@ -61,22 +61,23 @@ def words(s: str) -> list[str]:
 
 
 def distance(a: str, b: str, most: int) -> int:
-    """Edits, among them swaps of neighbours, that turn a into b; most + 1 if there are more."""
+    """Edits, among them swaps of neighbours (also of letters that become so), that turn a into b; most + 1 if there are more."""
     if abs(len(a) - len(b)) > most:
         return most + 1
     if a == b:
         return 0
-    before, last = [], list(range(len(b) + 1))
+    far, seen = len(a) + len(b), {}
+    d = [[far] * (len(b) + 2) for _ in range(len(a) + 2)]
+    d[1] = [far, *range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        now = [i] + [0] * len(b)
+        d[i + 1][1], at = i, 0
         for j, y in enumerate(b, 1):
-            now[j] = min(last[j] + 1, now[j - 1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                now[j] = min(now[j], before[j - 2] + 1)
-        if min(now) > most:
-            return most + 1
-        before, last = last, now
-    return last[-1]
+            swap = d[seen.get(y, 0)][at] + (i - seen.get(y, 0) - 1) + 1 + (j - at - 1)
+            d[i + 1][j + 1] = min(d[i][j] + (x != y), d[i + 1][j] + 1, d[i][j + 1] + 1, swap)
+            if x == y:
+                at = j
+        seen[x] = i
+    return min(d[-1][-1], most + 1)
 
 
 def allowed(n: int) -> int:
