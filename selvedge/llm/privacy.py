@@ -81,15 +81,15 @@ NUMBER = regex.compile(rf"(?<![\p{{Latin}}\d０-９#@.,-]|\d/|\d ?[x×] ?)[+＋(
 PERSONAL_NUMBER = regex.compile(r"(?<![\p{Latin}\d#@/_.,-])(?:(?:[A-Z]{1,2}[ -]?)?\d+(?:[ .\-]\d+)*(?:[ .-]?[A-Z])?|(?=[A-Z\d]{7,15}(?![A-Z\d]))(?:[A-Z]{0,2}\d+){2,}[A-Z]?)(?![\p{Latin}\d@_])(?!/\d)(?![.-]\d)", regex.I)
 
 # Words for streets and parts of buildings.
-_EN_TYPE = r"(?:Ave\.?|(?:Street|St|Road|Rd|Lane|Ln|Avenue|Boulevard|Blvd|Court|Ct|Drive|Dr|Place|Pl|Square|Sq|Way|Close|Terrace|Crescent|Row|Walk|Parkway|Pkwy)(?:\.(?=[.,]|\s?#|\s\p{Ll}))?)(?![\p{L}])"
+_EN_TYPE = r"(?:Ave\.?|(?:Street|St|Road|Rd|Lane|Ln|Avenue|Boulevard|Blvd|Court|Ct|Drive|Dr|Place|Pl|Square|Sq|Way|Close|Terrace|Crescent|Row|Walk|Parkway|Pkwy)(?:\.(?=[.,]|\s?#|\s\p{Ll}))?)(?![\p{Latin}])"
 _UNIT = r"(?:,?\s(?:Apt|Apartment|Flat|Unit|Suite|Ste)\.?\s?\w{1,5}|,?\s?#\s?\w{1,5})"
 _SEP = r"(?:,\s|\s[–—-]\s|\s?[\n\r]+\s?)"
 _TOWN = r"[\p{Latin}\p{M}'’.]+(?:-[\p{Latin}\p{M}'’]+)*"
-EN = regex.compile(rf"(?<![\p{{L}}\d])(?:(?:Flat|Apt|Apartment|Unit|Suite)\.?\s\w{{1,5}},\s)?\d{{1,5}}\s?[A-Z]?\s(?:[\p{{Latin}}\p{{M}}'’.-]+ ){{1,3}}?{_EN_TYPE}{_UNIT}?", regex.I)
-EN_TAIL = regex.compile(rf"{_SEP}({_TOWN}(?:\s{_TOWN}){{0,2}}),?\s\d{{5}}(?:-\d{{4}})?(?!\d)", regex.I)
-DE = regex.compile(rf"(?<![\p{{L}}\d])(?:(?:Am|Im|An der|An den|Auf dem|Auf der|In der|Zum|Zur|Unter den) )?(?:[\p{{Latin}}\p{{M}}-]+(?:straße|strasse|str\.|weg|allee|platz|gasse|ring|damm|ufer)|[\p{{Latin}}\p{{M}}-]+ (?:Straße|Strasse|Str\.|Weg|Allee|Platz|Gasse|Ring|Damm|Ufer))\s\d{{1,4}}(?:\s?[a-z](?![\p{{L}}]))?(?![\p{{L}}\d%])", regex.I)
-FR = regex.compile(rf"(?<![\p{{L}}\d])\d{{1,4}}(?:\s(?:bis|ter|quater))?,?\s(?:rue|avenue|av\.|bd|bld|boulevard|impasse|place|allée|chemin|quai|cours|route|square)\s((?:de la |de l[’']|du |des |de |d[’'])?[\p{{Latin}}\p{{M}}'’-]+(?: [\p{{Latin}}\p{{M}}'’-]+){{0,3}})", regex.I)
-ES = regex.compile(rf"(?<![\p{{L}}\d])(?:Calle|C/|Avda\.?|Avenida|Av\.|Plaza|Pza\.?|Paseo|Pº|Camino|Ronda|Travesía)\s(?:[\p{{Latin}}\p{{M}}'’-]+\s){{1,4}}?(?<=\s)(?:(?:nº|n°|núm\.?|no\.?)\s?)?\d{{1,4}}(?![\d%])(?:,\s\d{{1,2}}\s?[ºª°](?:\s[A-Z](?![\p{{L}}]))?)?|(?<![\p{{L}}\d])(?:Calle|C/|Avda\.?|Avenida|Av\.|Plaza|Pza\.?|Paseo|Pº|Camino|Ronda|Travesía)\s(?:[\p{{Latin}}\p{{M}}'’-]+\s?){{1,4}}?,\s?\d{{1,4}}(?![\d%])(?:,\s\d{{1,2}}\s?[ºª°](?:\s[A-Z](?![\p{{L}}]))?)?", regex.I)
+EN = regex.compile(rf"(?<![\p{{Latin}}\d])(?:(?:Flat|Apt|Apartment|Unit|Suite)\.?\s\w{{1,5}},\s)?\d{{1,5}}\s?[A-Z]?\s(?:[\p{{Latin}}\p{{M}}'’.-]+ ){{1,3}}?{_EN_TYPE}{_UNIT}?", regex.I)
+EN_TAIL = regex.compile(rf"{_SEP}({_TOWN}(?:\s{_TOWN}){{0,2}}),?\s\d{{5}}(?:-\d{{4}})?(?!\d(?!\d?[./]\d))", regex.I)
+DE = regex.compile(rf"(?<![\p{{Latin}}\d])(?:(?:Am|Im|An der|An den|Auf dem|Auf der|In der|Zum|Zur|Unter den) )?(?:[\p{{Latin}}\p{{M}}-]+(?:straße|strasse|str\.|weg|allee|platz|gasse|ring|damm|ufer)|[\p{{Latin}}\p{{M}}-]+ (?:Straße|Strasse|Str\.|Weg|Allee|Platz|Gasse|Ring|Damm|Ufer))\s\d{{1,4}}(?:\s?[a-z](?![\p{{Latin}}]))?(?![\p{{Latin}}\d%])", regex.I)
+FR = regex.compile(rf"(?<![\p{{Latin}}\d])\d{{1,4}}(?:\s(?:bis|ter|quater))?,?\s(?:rue|avenue|av\.|bd|bld|boulevard|impasse|place|allée|chemin|quai|cours|route|square)\s((?:de la |de l[’']|du |des |de |d[’'])?[\p{{Latin}}\p{{M}}'’-]+(?: [\p{{Latin}}\p{{M}}'’-]+){{0,3}})", regex.I)
+ES = regex.compile(rf"(?<![\p{{Latin}}\d])(?:Calle|C/|Avda\.?|Avenida|Av\.|Plaza|Pza\.?|Paseo|Pº|Camino|Ronda|Travesía)\s(?:[\p{{Latin}}\p{{M}}'’-]+\s){{1,4}}?(?<=\s)(?:(?:nº|n°|núm\.?|no\.?)\s?)?\d{{1,4}}(?![\d%])(?:,\s\d{{1,2}}\s?[ºª°](?:\s[A-Z](?![\p{{Latin}}]))?)?|(?<![\p{{Latin}}\d])(?:Calle|C/|Avda\.?|Avenida|Av\.|Plaza|Pza\.?|Paseo|Pº|Camino|Ronda|Travesía)\s(?:[\p{{Latin}}\p{{M}}'’-]+\s?){{1,4}}?,\s?\d{{1,4}}(?![\d%])(?:,\s\d{{1,2}}\s?[ºª°](?:\s[A-Z](?![\p{{Latin}}]))?)?", regex.I)
 ZIP_TAIL = regex.compile(rf"{_SEP}(?:[A-Z]{{1,2}}-)?\d{{5}}\s({_TOWN}(?:\s{_TOWN}){{0,2}})", regex.I)
 _END = regex.compile(r"\s*(?:$|[.!?:;,)<\n\r&]|\s\s)")
 
