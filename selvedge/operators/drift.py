@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from selvedge.session import checkpointed
+
 #: Above this many fields a union schema as columns is refused; `records` and `headers` stay usable.
 MAX_COLUMNS = 2000
 
@@ -87,7 +89,8 @@ def schema_changes(raw: DataFrame, source: str, file: str, time: str, payload: s
     before = header.join(last, source).where(F.col("seq") < F.col("_last")).select(source, (F.col("seq") + 1).alias("seq"), "field_name", F.col("kinds").alias("_then"))
     both = before.join(here, [source, "seq", "field_name"], "full")
     state = F.when(F.col("_then").isNull(), "added").when(F.col("_now").isNull(), "removed").when(F.col("_then") != F.col("_now"), "retyped")
-    changes = both.select(source, "seq", "field_name", state.alias("change_kind")).where("change_kind IS NOT NULL")
+    # few rows, used five times below: without the cut every use would parse all records again
+    changes = checkpointed(both.select(source, "seq", "field_name", state.alias("change_kind")).where("change_kind IS NOT NULL"))
 
     ended = changes.where("change_kind = 'removed'").select(source, "seq", "field_name")
     begun = changes.where("change_kind = 'added'").select(source, "seq", "field_name")

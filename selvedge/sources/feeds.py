@@ -112,7 +112,7 @@ def feed_spec(df: DataFrame) -> dict[str, Column]:
     price = first_number(col("rrp_price", "product_price_old"), col("search_price"))
     return {
         "advertiser_name": col("merchant_name", "advertiser_name"), "product_brand": col("brand_name", "merchant_name"), "product_name": col("product_name", "title"),
-        "product_description": col("description", "product_description"), "product_purchase_url": col("aw_deep_link", "link"), "product_price": F.coalesce(price, first_number(col("search_price"))),
+        "product_description": col("description", "product_description"), "product_purchase_url": col("deep_link", "link"), "product_price": F.coalesce(price, first_number(col("search_price"))),
         "product_sale_price": F.coalesce(first_number(col("search_price")), price), "product_image_url": col("merchant_image_url", "image_link"), "product_currency": col("currency"),
         "product_additional_image_urls": array_of(*extra) if extra else A.strings(), "product_external_labels": array_of(*category) if category else A.strings(),
         "external_id": col("merchant_product_id", "id"), "color": col("colour", "color"), "size": col("Fashion:size", "size"),
