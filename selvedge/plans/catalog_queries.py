@@ -218,7 +218,7 @@ def dedup_first(spark: SparkSession, d: str) -> DataFrame:
 
 _DAY = datetime.date(2025, 6, 12)
 TODAY_SQL = "today AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY execution_timestamp DESC, product_name DESC) AS rn FROM daily_product_dump WHERE product_id IS NOT NULL AND execution_date = (SELECT max(execution_date) FROM daily_product_dump)) WHERE rn = 1)"
-HISTORIC_SQL = "historic AS (SELECT product_id, execution_date, 1 AS n_views, 0 AS n_likes FROM product_info WHERE product_id % 7 < 3)"
+HISTORIC_SQL = "historic AS (SELECT product_id, execution_date, 1 AS n_views, 0 AS n_likes FROM product_info WHERE execution_date < DATE '2025-05-01')"
 
 
 def _today(spark: SparkSession, d: str) -> DataFrame:
@@ -228,8 +228,8 @@ def _today(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _historic(spark: SparkSession, d: str) -> DataFrame:
-    """A historic table to merge into: product information of part of the catalogue, each seen once."""
-    p = table(spark, d, "product_info").where("product_id % 7 < 3")
+    """A historic table to merge into: the products loaded before May, each seen once."""
+    p = table(spark, d, "product_info").where("execution_date < DATE '2025-05-01'")
     return p.select("product_id", "execution_date", F.lit(1).alias("n_views"), *[F.lit(0).alias(c) for c in schemas.COUNTERS[1:]])
 
 
@@ -260,12 +260,13 @@ def update_active(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 WITH {TODAY_SQL} SELECT product_id, product_name, n_views FROM active_products
-UNION ALL SELECT t.product_id, t.product_name, 0 FROM today t WHERE t.product_id % 2 = 0 AND t.product_id NOT IN (SELECT product_id FROM active_products)
+UNION ALL SELECT t.product_id, t.product_name, 0 FROM today t WHERE t.product_id IN (SELECT product_id FROM user_product_faves) AND t.product_id NOT IN (SELECT product_id FROM active_products)
 """)
 def append_new(spark: SparkSession, d: str) -> DataFrame:
     active = table(spark, d, "active_products").select("product_id", "product_name", "product_image_embedding", *schemas.COUNTERS)
     today = _today(spark, d).select("product_id", "product_name")
-    vectors = today.where("product_id % 2 = 0").select("product_id", F.array(F.lit(1.0)).cast("array<float>").alias("product_image_embedding"))
+    saved = table(spark, d, "user_product_faves").where("product_id IS NOT NULL").select("product_id").distinct()
+    vectors = saved.select("product_id", F.array(F.lit(1.0)).cast("array<float>").alias("product_image_embedding"))
     return lifecycle.append_new(active, today, vectors).select("product_id", "product_name", "n_views")
 
 
@@ -534,13 +535,13 @@ def top_products(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH o AS (SELECT product_id, product_name, color FROM product_info WHERE product_id % 3 > 0), n AS (SELECT product_id, product_name, color FROM active_products)
+WITH o AS (SELECT product_id, product_name, color FROM product_info), n AS (SELECT product_id, product_name, color FROM active_products)
 SELECT product_id, 'delete' AS action FROM o WHERE product_id NOT IN (SELECT product_id FROM n)
 UNION ALL SELECT n.product_id, 'upsert' FROM n LEFT JOIN o ON n.product_id = o.product_id WHERE o.product_id IS NULL OR n.product_name IS DISTINCT FROM o.product_name OR n.color IS DISTINCT FROM o.color
 """)
 def search_diff(spark: SparkSession, d: str) -> DataFrame:
     cols = ["product_id", "product_name", "color"]
-    return serving.index_changes(table(spark, d, "active_products").select(*cols), table(spark, d, "product_info").where("product_id % 3 > 0").select(*cols), "product_id")
+    return serving.index_changes(table(spark, d, "active_products").select(*cols), table(spark, d, "product_info").select(*cols), "product_id")
 
 
 @query("SELECT advertiser_name, string_agg(DISTINCT product_brand, ',_,' ORDER BY product_brand) AS product_brand FROM product_info GROUP BY 1")

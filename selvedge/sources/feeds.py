@@ -176,3 +176,19 @@ def fetched(df: DataFrame, url: str, fetch: Callable[[str], bytes | None], name:
             yield b.assign(**{name: [one(u) for u in b[url]]})
 
     return df.mapInPandas(run, kinds)
+
+
+def read_rules(spark: SparkSession, path: str) -> dict | list:
+    """A rule set or another small JSON document, from any file system that Spark reads."""
+    return json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+
+
+def search_settings(base: dict, synonyms: DataFrame, root: str = "root", word: str = "synonym", most: int = 100_000) -> dict:
+    """Settings of a search index with the synonyms of each root added; more than `most` rows are refused."""
+    found = synonyms.where(F.col(root).isNotNull() & F.col(word).isNotNull()).select(root, word).distinct().orderBy(root, word).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} synonyms")
+    table: dict[str, list[str]] = {}
+    for r, w in found:
+        table.setdefault(r, []).append(w)
+    return base | {"synonyms": base.get("synonyms", {}) | table}

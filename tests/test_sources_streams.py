@@ -26,8 +26,19 @@ def test_feeds(spark, tmp_path):
     assert [r.content for r in got.collect()] == [bytearray(b"x"), None, None]
 
 
-def page(number, options):
-    return [{"id": number, "tags": ["a"]}]
+def test_rules_settings_and_tables(spark, tmp_path):
+    (tmp_path / "rules.json").write_text('{"dress": [{"name": "dress"}]}')
+    assert feeds.read_rules(spark, str(tmp_path / "rules.json")) == {"dress": [{"name": "dress"}]}
+    words = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "b"), (None, "x")], "root string, synonym string")
+    assert feeds.search_settings({"ranking": 1, "synonyms": {"z": ["y"]}}, words) == {"ranking": 1, "synonyms": {"z": ["y"], "a": ["b", "c"]}}
+    spark.sql("DROP TABLE IF EXISTS made_by_test")
+    try:
+        sqlrun.ensure_table(spark, "made_by_test", spark.createDataFrame([], "id long").schema)
+        sqlrun.ensure_table(spark, "made_by_test", spark.createDataFrame([], "id long, name string").schema)
+        sinks.insert(spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string"), "made_by_test", ["id", "name"], condition=F.col("id") > 1)
+        assert [tuple(r) for r in spark.table("made_by_test").collect()] == [(2, "b")]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS made_by_test")
 
 
 def test_paged_feed(spark, tmp_path):
