@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from selvedge.operators import drift, history, references, snapshots
+from selvedge.session import checkpointed
 from selvedge.sources.tables import table
 
 
@@ -99,11 +100,11 @@ def _dump_states(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Without any active product, or any snapshot, the last step is left out."""
-    dump, keys = _dump_states(spark, d), ["execution_date", "product_id"]
+    dump, keys = checkpointed(_dump_states(spark, d)), ["execution_date", "product_id"]  # read six times below
     steps = snapshots.consecutive_diff(dump, "execution_date", ["product_id"])
     active = snapshots.latest_rows(table(spark, d, "active_products"), keys, "execution_timestamp", {"product_sale_price": history.cents("product_sale_price")})
     day = active.agg(F.max("execution_date")).first()[0]
-    last = table(spark, d, "daily_product_dump").where("product_id IS NOT NULL").agg(F.max("execution_date")).first()[0]
+    last = dump.agg(F.max("execution_date")).first()[0]
     if day is not None and last is not None:
         final = dump.where(F.col("execution_date") == F.lit(last)).select(F.lit(day).alias("execution_date"), "product_id", "product_sale_price")
         latest = active.where(F.col("execution_date") == F.lit(day)).select(*final.columns)
