@@ -91,6 +91,7 @@ DE = regex.compile(rf"(?<![\p{{Latin}}\d])(?:(?:Am|Im|An der|An den|Auf dem|Auf
 FR = regex.compile(rf"(?<![\p{{Latin}}\d])\d{{1,4}}(?:\s(?:bis|ter|quater))?,?\s(?:rue|avenue|av\.|bd|bld|boulevard|impasse|place|allée|chemin|quai|cours|route|square)\s((?:de la |de l[’']|du |des |de |d[’'])?[\p{{Latin}}\p{{M}}'’-]+(?: [\p{{Latin}}\p{{M}}'’-]+){{0,3}})", regex.I)
 ES = regex.compile(rf"(?<![\p{{Latin}}\d])(?:Calle|C/|Avda\.?|Avenida|Av\.|Plaza|Pza\.?|Paseo|Pº|Camino|Ronda|Travesía)\s(?:[\p{{Latin}}\p{{M}}'’-]+\s){{1,4}}?(?<=\s)(?:(?:nº|n°|núm\.?|no\.?)\s?)?\d{{1,4}}(?![\d%])(?:,\s\d{{1,2}}\s?[ºª°](?:\s[A-Z](?![\p{{Latin}}]))?)?|(?<![\p{{Latin}}\d])(?:Calle|C/|Avda\.?|Avenida|Av\.|Plaza|Pza\.?|Paseo|Pº|Camino|Ronda|Travesía)\s(?:[\p{{Latin}}\p{{M}}'’-]+\s?){{1,4}}?,\s?\d{{1,4}}(?![\d%])(?:,\s\d{{1,2}}\s?[ºª°](?:\s[A-Z](?![\p{{Latin}}]))?)?", regex.I)
 ZIP_TAIL = regex.compile(rf"{_SEP}(?:[A-Z]{{1,2}}-)?\d{{5}}\s({_TOWN}(?:\s{_TOWN}){{0,2}})", regex.I)
+SEP, TOWNS = regex.compile(_SEP), regex.compile(rf"{_TOWN}(?:\s{_TOWN}){{0,2}}")
 _END = regex.compile(r"\s*(?:$|[.!?:;,)<\n\r&]|\s\s)")
 
 
@@ -98,12 +99,10 @@ class Text:
     """A text with its tokens, for contexts."""
 
     def __init__(self, text: str):
-        self.text, self.starts, self.ends, self.tokens = text, [], [], []
-        for m in TOKEN.finditer(text):
-            t = m[0]
-            self.starts.append(m.start())
-            self.ends.append(m.end())
-            self.tokens.append("0" if t[0].isdigit() else "¶" if t[0] in "\n\r" else t.casefold()[:24])
+        spans = [m.span() for m in TOKEN.finditer(text)]
+        self.text, self.starts, self.ends = text, [a for a, _ in spans], [b for _, b in spans]
+        whole = [text[a:b] for a, b in spans]
+        self.tokens = ["0" if t[0].isdigit() else "¶" if t[0] in "\n\r" else t.casefold()[:24] for t in whole]
 
     def patterns(self, start: int, end: int) -> list[str]:
         """Contexts of text[start:end], from the nearest token outwards on either side and across."""
@@ -146,21 +145,27 @@ def _digits(s: str) -> int:
 
 
 def names(t: Text, pattern: regex.Pattern) -> Iterator[tuple[int, int]]:
-    """Spans of the form of a name at every word; a title in front is no part of it."""
+    """Spans of the form of a name at every capital; a title in front is no part of it."""
+    text = t.text
     for s, token in zip(t.starts, t.tokens):
-        if token[0].isalpha() and (m := pattern.match(t.text, s)):
-            if token in TITLES:
-                continue
+        if text[s].isupper() and token not in TITLES and (m := pattern.match(text, s)):
             yield m.span()
 
 
+_NAME_WORD = regex.compile(r"[\p{Latin}\p{M}]{2,}")
+
+
 def name_words(span: str) -> list[str]:
-    return [w for w in regex.findall(r"[\p{Latin}\p{M}]{2,}", folded(span))]
+    return _NAME_WORD.findall(folded(span))
+
+
+_HAN_RUN = regex.compile(r"[\p{Han}々]{1,6}(?:[  　][\p{Han}々]{1,6})?")
+_HAN_START = regex.compile(r"(?:^|[。．！？\n])\s*([\p{Han}]{2,4})(?=[\p{Hiragana}])")
 
 
 def han_runs(t: Text) -> Iterator[tuple[int, int, str]]:
     """(start, end, run): runs of ideographs, over one blank, up to a form of address."""
-    for m in regex.finditer(r"[\p{Han}々]{1,6}(?:[  　][\p{Han}々]{1,6})?", t.text):
+    for m in _HAN_RUN.finditer(t.text):
         run = m[0]
         if run.endswith("様") or run.endswith("殿"):
             run = run[:-1]
@@ -179,9 +184,15 @@ def emails(t: Text) -> Iterator[tuple[int, int, str]]:
         yield m.start(), m.end(), regex.split(r"[^\p{L}\d]+", m[0].casefold())[-1]
 
 
+_EXTENSION = regex.compile(r"(?i),?\s?(?:ext\.?|extension|x|durchwahl|dw\.?|poste|int\.?|内線)\s?\d+$")
+_SMALL_WORD = regex.compile(r"(?i)(?:id|no|nr|is|es|le|at|on|of|to|in|al|am|by|it|or)[ -]")
+
+
 def phones(t: Text) -> Iterator[tuple[int, int, str]]:
     for m in NUMBER.finditer(t.text):
         s, e = m.span()
+        if e - s < 7:
+            continue
         span = m[0]
         if span[0] in "(（" and ")" not in span and "）" not in span:
             s += 1
@@ -189,13 +200,15 @@ def phones(t: Text) -> Iterator[tuple[int, int, str]]:
             e -= 1
             span = t.text[s:e]
         if 7 <= _digits(t.text[s:e]) <= 20:
-            yield s, e, mask(regex.sub(r"(?i),?\s?(ext\.?|extension|x|durchwahl|dw\.?|poste|int\.?|内線)\s?\d+$", "", t.text[s:e])) + " label" * labelled("phone", t.text, s)
+            yield s, e, mask(_EXTENSION.sub("", t.text[s:e])) + " label" * labelled("phone", t.text, s)
 
 
 def personal_numbers(t: Text) -> Iterator[tuple[int, int, str]]:
     for m in PERSONAL_NUMBER.finditer(t.text):
         s, e = m.span()
-        if m := regex.match(r"(?i)(?:id|no|nr|is|es|le|at|on|of|to|in|al|am|by|it|or)[ -]", t.text[s:e]):
+        if e - s < 6:
+            continue
+        if m := _SMALL_WORD.match(t.text[s:e]):
             s = m.end() + s
         if 6 <= _digits(t.text[s:e]) <= 20:
             yield s, e, mask(t.text[s:e]) + " label" * labelled("id_number", t.text, s)
@@ -218,8 +231,8 @@ def addresses(t: Text, towns: set[str], streets: set[str]) -> Iterator[tuple[int
             yield m.start(), tail.end(), "en zip", [("town", folded(tail[1]))]
             continue
         end = m.end()
-        if sep := regex.compile(_SEP).match(text, end):
-            rest = regex.compile(rf"{_TOWN}(?:\s{_TOWN}){{0,2}}").match(text, sep.end())
+        if sep := SEP.match(text, end):
+            rest = TOWNS.match(text, sep.end())
             if rest and (town := _prefix(rest[0], towns)):
                 end = sep.end() + len(town)
         yield m.start(), end, "en" + " label" * labelled("address", text, m.start()), []
@@ -279,7 +292,7 @@ def _proposals(text: str) -> Iterator[tuple[str, str, str]]:
             parts = regex.split(r"[  　]", run)
             for w in parts if len(parts) > 1 else [run]:
                 yield ("han" if len(parts) > 1 else "hanfull"), w, ""
-    for m in regex.finditer(r"(?:^|[。．！？\n])\s*([\p{Han}]{2,4})(?=[\p{Hiragana}])", text):
+    for m in _HAN_START.finditer(text):
         yield "hanstart", m[1], ""
     for kind, spans in (("phone", phones(t)), ("id_number", personal_numbers(t))):
         for s, e, f in spans:
