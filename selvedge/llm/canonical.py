@@ -135,6 +135,8 @@ class Names:
         for t in self.compact:
             for x in deletions(t, allowed(len(t))):
                 self.by_compact[x].add(t)
+        # a longer word is like none of the names, so its many spellings needn't be tried
+        self.longest = {id(self.by_token): max(map(len, holders), default=0) + 2, id(self.by_compact): max(map(len, self.compact), default=0) + 2}
         self.having: dict[str, list[int]] = defaultdict(list)
         for i, (_, core) in enumerate(self.names):
             for t in core:
@@ -146,23 +148,26 @@ class Names:
             return []
         text = f" {' '.join(tokens)} "
         found = sorted(((end - size - 1, size, entry) for end, (size, entry) in self.automaton.iter(text)), key=lambda x: (-x[1], x[0]))
-        taken: list[tuple[int, int, int]] = []
+        taken, covered = [], bytearray(len(text) + 2)
         for start, size, entry in found:
-            if all(start + size <= a or a + b <= start for a, b, _ in taken):
+            if not any(covered[start : start + size]):
+                covered[start : start + size] = b"\1" * size
                 taken.append((start, size, entry))
         return sorted(taken)
 
     def hints(self, tokens: list[str]) -> list[tuple[int, int, int]]:
         """mentions, and outside them the single words that only one entry's names have."""
         out, at = self.mentions(tokens), 0
-        taken = [(a, a + n) for a, n, _ in out]
+        taken = {x for a, n, _ in out for x in range(a, a + n)}
         for t in tokens:
-            if len(t) > 3 and len(self.holders.get(t, ())) == 1 and not any(a <= at < b for a, b in taken):
+            if len(t) > 3 and len(self.holders.get(t, ())) == 1 and at not in taken:
                 out.append((at, len(t), next(iter(self.holders[t]))))
             at += len(t) + 1
         return sorted(out)
 
     def _near(self, word: str, index: dict[str, set[str]]) -> Iterator[tuple[str, float]]:
+        if len(word) > self.longest[id(index)]:
+            return
         seen = set()
         for x in deletions(word, min(2, allowed(len(word) + 1))):
             for t in index.get(x, ()):

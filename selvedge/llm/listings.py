@@ -77,6 +77,12 @@ def measure(text: str) -> str | None:
     return None
 
 
+def _joined(m: regex.Match) -> str:
+    """What a sign inside a word is replaced by: nothing, but a blank for a hyphen after a short part, as in T-shirt."""
+    before = regex.search(r"\p{L}+$", m.string[max(0, m.start() - 24) : m.start()])
+    return " " if m[0] in "-‐‑" and before and len(before[0]) <= 3 else ""
+
+
 class _Phrases:
     """Longest phrases of a small lexicon in a list of words."""
 
@@ -113,7 +119,7 @@ class Reader:
         size = measure(" ¦ ".join(texts))
         words, gaps = [], []
         for t in texts:
-            t = _INSIDE.sub(lambda m: " " if m[0] in "-‐‑" and len(m.string[: m.start()].rsplit(None, 1)[-1:][0] if m.string[: m.start()].split() else "") <= 3 else "", _MEASURE.sub(" | ", t))
+            t = _INSIDE.sub(_joined, _MEASURE.sub(" | ", t))
             t = folded(t)
             last = 0
             for m in _WORD.finditer(t):

@@ -481,15 +481,16 @@ def found(text: str, model: dict) -> list[tuple[int, int, str]]:
             hits.append((1.0, s, e, "person"))
     for s, e, run in han_runs(t):
         if text[e : e + 1] in ("様", "殿"):
-            if any(p in model["person"] for p in t.patterns(s, e)) or regex.search(r"[はがの、。：:]$", text[:s]):
+            if any(p in model["person"] for p in t.patterns(s, e)) or text[max(0, s - 1) : s] in tuple("はがの、。：:"):
                 hits.append((1.9, s, e, "person"))
         elif text[max(0, s - 2) : s].strip()[-1:] in (":", "：") and any(p in model["person"] for p in t.patterns(s, e) if p[0] == "L"):
             hits.append((1.9, s, s + _han_end(run, model), "person"))
-    kept: list[tuple[int, int, str]] = []
+    kept: list[tuple[int, int, str]] = []  # in order of their starts, without overlaps
     for _, s, e, kind in sorted(hits, key=lambda h: (-h[0], h[1], h[1] - h[2])):
-        if all(e <= a or b <= s for a, b, _ in kept):
-            kept.append((s, e, kind))
-    return sorted(kept)
+        i = bisect_left(kept, (s, e, kind))
+        if (not i or kept[i - 1][1] <= s) and (i == len(kept) or kept[i][0] >= e):
+            kept.insert(i, (s, e, kind))
+    return kept
 
 
 SPAN = "start int, end int, pii_kind string, pii_text string"

@@ -50,3 +50,11 @@ def test_reference_list_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(canonical, "MAX_NAMES", 2)
     with pytest.raises(ValueError):
         canonical.reference_names(df, "id", "name")
+
+
+def test_very_long_values():
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = canonical.Names(COLORS)
+    assert names.entry("".join(letters[(i * i) % 26] for i in range(60_000))) == 0
+    assert names.entry(" ".join(letters[i % 26] * 5 + letters[i // 26 % 26] for i in range(20_000))) == 0
+    assert names.entry("black " * 50_000) == 1

@@ -58,3 +58,10 @@ def test_hot_group(spark):
     grouped = listings.groups(df, "product_id", BRANDS, COLORS, ["advertiser_name"])
     assert grouped.select("component").distinct().count() == 1
     assert listings.pairs_between(grouped, "product_id", "advertiser_name").count() == 1200 * 1199 // 2 - 40 * (30 * 29 // 2)
+
+
+def test_very_long_texts():
+    reader = listings.Reader(BRANDS, COLORS)
+    long = "well-made and-so-on black " * 40_000
+    got = reader.read("Zodriwaso belt leather 4.5 cm wide Fenloka", long, None, [None])
+    assert got[:5] == (10, "belt", "leather", 1, "length 4.5") and got[5][0]["word"] == "zodriwaso"

@@ -67,3 +67,11 @@ def test_tables(spark, model):
     clean = {r.doc_id: r.text for r in privacy.redact(df, "text", ["doc_id"], model).collect()}
     assert clean == {1: None, 2: "", 3: "Hi, [PERSON] here again.\n", 4: long.replace("Anna Korvelund", "[PERSON]")}
     assert privacy.extract(df.where("false"), "text", ["doc_id"]).collect() == []
+
+
+def test_very_long_texts_of_every_kind(model):
+    unit = "Hi, Anna Korvelund here again. Tel 303-555-0211. SSN 927-75-3011. 担当は水城谷様です。 New address: 5 Mossbridge Lane, Port Alder, 64311. "
+    once = privacy.found(unit, model)
+    assert len(privacy.found(unit * 2000, model)) == 2000 * len(once) and {k for *_, k in once} == {"person", "phone", "id_number", "address"}
+    for odd in ("1" * 100_000, "a" * 100_000, "A-" * 50_000, "@" * 50_000, "1 " * 50_000, "水" * 100_000, "Aa " * 50_000):
+        privacy.found(odd, model)
