@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from selvedge.functions import arrays as A
 from selvedge.operators import dml
+from selvedge.session import checkpointed
 
 #: Vectors of a label that are multiplied at a time.
 CHUNK = 1024
@@ -146,6 +147,7 @@ def vector_recommendations(users: DataFrame, vectors: DataFrame, n: int) -> Data
     Users in chunks meet products in chunks; each meeting keeps n per user, and the best of all
     meetings are taken, so no user-product matrix is shuffled. Ties by the larger product first.
     """
+    users = checkpointed(users)  # one row per user, used four times
     a = _packed(users.select(F.col("user_id").alias("id"), F.lit(0).alias("label"), "vector"), CHUNK, "a")
     b = _packed(vectors.select(F.col("product_id").alias("id"), F.lit(0).alias("label"), "vector"), 4 * CHUNK, "b")
     met = _meetings(a, b)
@@ -156,9 +158,9 @@ def vector_recommendations(users: DataFrame, vectors: DataFrame, n: int) -> Data
             for ai, av, bi, bv in zip(rows["a_ids"], rows["a_vectors"], rows["b_ids"], rows["b_vectors"]):
                 ai, bi = np.asarray(ai), np.asarray(bi)
                 scores = np.round(np.array([np.asarray(v, float) for v in av]) @ np.array([np.asarray(v, float) for v in bv]).T, 9)
-                for i, row in enumerate(scores):
-                    best = np.lexsort((-bi, -row))[: n + spare]
-                    yield pd.DataFrame({"user_id": np.repeat(ai[i], len(best)), "product_id": bi[best], "score": row[best]})
+                k = min(n + spare, len(bi))
+                order = np.lexsort((np.broadcast_to(-bi, scores.shape), -scores))[:, :k]
+                yield pd.DataFrame({"user_id": np.repeat(ai, k), "product_id": bi[order].ravel(), "score": np.take_along_axis(scores, order, 1).ravel()})
 
     scored = met.mapInPandas(nearest, "user_id long, product_id long, score double")
     fresh = scored.join(users.select("user_id", F.explode("seen").alias("product_id")), ["user_id", "product_id"], "left_anti")
