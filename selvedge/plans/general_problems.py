@@ -85,6 +85,33 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.schema_changes(table(spark, d, "daily_product_dump_raw"), "feed_id", "file_id", "execution_date", "payload")
 
 
+P5_SQL = """
+WITH ok AS (SELECT feed_id, file_id, json(payload) AS j FROM daily_product_dump_raw WHERE json_valid(payload) AND json_type(CASE WHEN json_valid(payload) THEN payload ELSE 'null' END) = 'OBJECT'),
+ord AS (SELECT feed_id, file_id, row_number() OVER (PARTITION BY feed_id ORDER BY min(execution_date), file_id) AS seq FROM daily_product_dump_raw GROUP BY feed_id, file_id),
+raw AS (SELECT feed_id, file_id, CAST(j->'$.id' AS VARCHAR) AS id, k AS field, json_extract(j, '$."' || k || '"') AS v FROM (SELECT *, unnest(json_keys(j)) AS k FROM ok)),
+val AS (
+  SELECT DISTINCT r.feed_id, o.seq, id, field, CASE json_type(v) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS kind,
+    CASE WHEN json_type(v) IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT') THEN CAST(CAST(v AS DOUBLE) AS VARCHAR) ELSE CAST(v AS VARCHAR) END AS t
+  FROM raw r JOIN ord o ON r.feed_id = o.feed_id AND r.file_id = o.file_id WHERE json_type(v) != 'NULL'
+), head AS (SELECT feed_id, seq, field, list_sort(list(DISTINCT kind)) AS kinds FROM val GROUP BY ALL),
+step AS (
+  SELECT coalesce(a.feed_id, b.feed_id) AS feed_id, coalesce(a.seq + 1, b.seq) AS seq, coalesce(a.field, b.field) AS field, a.kinds AS was, b.kinds AS now
+  FROM head a FULL JOIN head b ON a.feed_id = b.feed_id AND a.seq + 1 = b.seq AND a.field = b.field
+), change AS (SELECT s.* FROM step s JOIN ord o ON s.feed_id = o.feed_id AND s.seq = o.seq WHERE s.seq > 1 AND was IS DISTINCT FROM now),
+pair AS (
+  SELECT x.feed_id, x.seq, x.field AS old, y.field AS fresh
+  FROM change x JOIN change y ON x.feed_id = y.feed_id AND x.seq = y.seq AND x.now IS NULL AND y.was IS NULL
+  JOIN val p ON p.feed_id = x.feed_id AND p.seq = x.seq - 1 AND p.field = x.field AND p.id IS NOT NULL JOIN val q ON q.feed_id = x.feed_id AND q.seq = x.seq AND q.field = y.field AND q.id = p.id
+  GROUP BY ALL HAVING bool_and(p.t = q.t)
+)
+SELECT r.feed_id, o.file_id, r.field_name, r.change_kind, r.new_name FROM (
+  SELECT feed_id, seq, old AS field_name, 'renamed' AS change_kind, fresh AS new_name FROM pair
+  UNION ALL SELECT feed_id, seq, field, CASE WHEN was IS NULL THEN 'added' WHEN now IS NULL THEN 'removed' ELSE 'retyped' END, '' FROM change c
+  WHERE NOT EXISTS (SELECT 1 FROM pair p WHERE p.feed_id = c.feed_id AND p.seq = c.seq AND ((c.now IS NULL AND p.old = c.field) OR (c.was IS NULL AND p.fresh = c.field)))
+) r JOIN ord o ON r.feed_id = o.feed_id AND r.seq = o.seq
+"""
+
+
 def p5_unified(spark: SparkSession, d: str) -> DataFrame:
     """All readable records in the one schema that holds them all."""
     return drift.unified(table(spark, d, "daily_product_dump_raw"), ["feed_id", "file_id", "execution_date", "line_no"], "payload")
@@ -135,4 +162,4 @@ FROM (
 """
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p5_found, p5_unified, p7_found)}
-SQL = {"p1_found": P1_SQL, "p1_counts": P1_COUNTS_SQL, "p2_found": P2_SQL, "p7_found": P7_SQL}
+SQL = {"p1_found": P1_SQL, "p1_counts": P1_COUNTS_SQL, "p2_found": P2_SQL, "p5_found": P5_SQL, "p7_found": P7_SQL}
