@@ -2,18 +2,19 @@
 
 Every table contributes change deltas: a reference adds +1 (or -1 when withdrawn) to the
 reference count of the key it names, a record adds +1 (or -1 when deleted) to that key's
-existence count, and a trace (an old observation of the key) to its trace count. The counts
-of a key, together with the earliest time of either kind, are its state; states are added up
-by `merge_states`, so a new period costs its deltas and no rescan. A key with a positive
-reference count and an existence count of zero is an orphan now; one that exists, but only
-since after a reference was made, was an orphan at that time.
+existence count, and a trace (an old observation of the key) to its trace count. The state
+keeps the signed counts of each key; those of records also by the time of the change, so a
+deletion takes back exactly what it deletes. States are added up by `merge_states`, so a new
+period costs its deltas and no rescan. A key with a positive reference count and an existence
+count of zero is an orphan now; one that exists, but only since after a reference was made,
+was an orphan at that time.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from selvedge.functions.skew import join_unique
@@ -21,41 +22,53 @@ from selvedge.functions.skew import join_unique
 COUNTS = ("n_refs", "n_records", "n_traces")
 
 
-def _delta(df: DataFrame, kind: str, key: Column, at: Column, what: str, sign: Column) -> DataFrame:
-    none = F.lit(None).cast("long")
-    return df.select(
-        F.lit(kind).alias("kind"),
-        key.cast("long").alias("ref_id"),
-        *[(sign if c == what else F.lit(0)).cast("long").alias(c) for c in COUNTS],
-        (at.cast("long") if what == "n_refs" else none).alias("first_ref_at"),
-        (at.cast("long") if what == "n_records" else none).alias("exists_from"),
-    ).where(F.col("ref_id").isNotNull())
+def _deltas(df: DataFrame, kind: Column, key: Column, what: str, sign: Column | None, at: Column | None = None) -> DataFrame:
+    """Counts per key, added up before any shuffle: a hot key leaves one row per task."""
+    rows = df.select(kind.alias("kind"), key.cast("long").alias("ref_id"), (F.lit(None) if at is None else at).cast("long").alias("at"), (F.lit(1) if sign is None else sign).cast("long").alias("_n")).where(F.col("ref_id").isNotNull())
+    return rows.select("kind", "ref_id", "at", *[(F.col("_n") if c == what else F.lit(0).cast("long")).alias(c) for c in COUNTS])
 
 
 def reference_deltas(refs: DataFrame, sign: Column | None = None) -> DataFrame:
-    """Of references with columns kind (a column), ref_id, at (epoch seconds)."""
-    none = F.lit(None).cast("long")
-    return refs.select("kind", F.col("ref_id").cast("long").alias("ref_id"), (sign if sign is not None else F.lit(1)).cast("long").alias("n_refs"), F.lit(0).cast("long").alias("n_records"), F.lit(0).cast("long").alias("n_traces"), F.col("at").cast("long").alias("first_ref_at"), none.alias("exists_from")).where(F.col("ref_id").isNotNull())
+    """Of references with columns kind and ref_id."""
+    return _deltas(refs, F.col("kind"), F.col("ref_id"), "n_refs", sign)
 
 
 def record_deltas(records: DataFrame, kind: str, key: str, at: Column, sign: Column | None = None) -> DataFrame:
-    return _delta(records, kind, F.col(key), at, "n_records", sign if sign is not None else F.lit(1))
+    """Of records that came (or with sign -1 went) at a time in epoch seconds; a null time is before all others."""
+    return _deltas(records, F.lit(kind), F.col(key), "n_records", sign, F.coalesce(at.cast("long"), F.lit(-(2**63))))
 
 
 def trace_deltas(traces: DataFrame, kind: str, key: str) -> DataFrame:
-    return _delta(traces, kind, F.col(key), F.lit(None), "n_traces", F.lit(1))
+    return _deltas(traces, F.lit(kind), F.col(key), "n_traces", None)
 
 
 def merge_states(*parts: DataFrame) -> DataFrame:
-    """One state per kind and key from any number of deltas and earlier states."""
+    """The state from any number of deltas and earlier states: kind, ref_id, at and the counts.
+
+    One row per key, and one per key and time at which its existence changed. Changes that
+    cancel out leave nothing, whatever the order of the parts.
+    """
     every = reduce(DataFrame.unionByName, parts)
-    return every.groupBy("kind", "ref_id").agg(*[F.sum(c).alias(c) for c in COUNTS], F.min("first_ref_at").alias("first_ref_at"), F.min("exists_from").alias("exists_from"))
+    summed = every.groupBy("kind", "ref_id", "at").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return summed.where(" OR ".join(f"{c} != 0" for c in COUNTS))
+
+
+def key_states(state: DataFrame) -> DataFrame:
+    """kind, ref_id, the counts, exists_from: since when the key has existed without a break, null if it does not.
+
+    Summed over the key's changes in order of time, existence begins anew wherever the sum
+    rises from zero or less.
+    """
+    order = Window.partitionBy("kind", "ref_id").orderBy("at")
+    run = F.sum("n_records").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    begins = F.when((F.col("_run") > 0) & (F.col("_run") - F.col("n_records") <= 0), F.col("at"))
+    summed = state.withColumn("_run", run).groupBy("kind", "ref_id").agg(*[F.sum(c).alias(c) for c in COUNTS], F.max(begins).alias("_from"))
+    return summed.withColumn("exists_from", F.when(F.col("n_records") > 0, F.col("_from"))).drop("_from")
 
 
 def orphan_keys(state: DataFrame) -> DataFrame:
-    """States of keys that are or once were referred to without existing."""
-    gone = F.col("n_records") <= 0
-    return state.where((F.col("n_refs") > 0) & (gone | (F.col("exists_from") > F.col("first_ref_at"))))
+    """key_states of the keys that are referred to without existing: the current orphans."""
+    return key_states(state).where("n_refs > 0 AND n_records <= 0")
 
 
 def orphan_report(refs: DataFrame, state: DataFrame) -> DataFrame:
@@ -70,7 +83,7 @@ def orphan_report(refs: DataFrame, state: DataFrame) -> DataFrame:
     """
     period = F.date_format(F.timestamp_seconds("at"), "yyyy-MM")
     once = refs.where(F.col("ref_id").isNotNull()).groupBy("kind", "table_name", "owner_key", "ref_id", period.alias("period")).agg(F.min("at").alias("at"))
-    keys = orphan_keys(state).select("kind", "ref_id", "n_records", "n_traces", "exists_from")
+    keys = key_states(state).where("n_refs > 0").select("kind", "ref_id", "n_records", "n_traces", "exists_from")
     joined = join_unique(once, keys, ["kind", "ref_id"])
     reason = F.when(F.col("n_records") > 0, F.when(F.col("exists_from") > F.col("at"), "late")).when(F.col("n_traces") > 0, "deleted").otherwise("missing")
     return joined.select("table_name", "owner_key", "ref_id", "period", reason.alias("reason")).where("reason IS NOT NULL")

@@ -43,6 +43,41 @@ def p1_counts(spark: SparkSession, d: str) -> DataFrame:
     return p1_found(spark, d).groupBy("table_name", "period", "reason").agg(F.count(F.lit(1)).alias("n_orphans"), F.countDistinct("ref_id").alias("n_keys"))
 
 
+#: The end of the first period that p1_incremental merges.
+PERIOD_END = 1746057600  # 2025-05-01
+
+
+def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Orphan keys from the state of one period and the deltas of the next, with withdrawals.
+
+    The first period has the references and records up to PERIOD_END. The second adds all later
+    ones, withdraws the faves of products that are on no board, and deletes the records of the
+    products that are active no more.
+    """
+    faves = table(spark, d, "user_product_faves").select(F.lit("product").alias("kind"), F.col("product_id").alias("ref_id"), F.col("event_timestamp").alias("at"))
+    boards = table(spark, d, "board_product").select(F.lit("product").alias("kind"), F.col("product_id").alias("ref_id"), F.col("last_modified_timestamp").alias("at"))
+    refs = faves.unionByName(boards)
+    records, active = table(spark, d, "product_info"), table(spark, d, "active_products").select("product_id").distinct()
+    loaded = F.col("execution_timestamp")
+    first = references.merge_states(references.reference_deltas(refs.where(F.col("at") < PERIOD_END)), references.record_deltas(records.where(loaded < PERIOD_END), "product", "product_id", loaded))
+    dropped = faves.join(boards.where("ref_id IS NOT NULL").select("ref_id").distinct(), "ref_id", "left_anti")
+    gone = records.join(active, "product_id", "left_anti")
+    second = references.merge_states(
+        first,
+        references.reference_deltas(refs.where(F.col("at") >= PERIOD_END)),
+        references.reference_deltas(dropped, F.lit(-1)),
+        references.record_deltas(records.where(loaded >= PERIOD_END), "product", "product_id", loaded),
+        references.record_deltas(gone, "product", "product_id", loaded, F.lit(-1)),
+    )
+    return references.orphan_keys(second).select("ref_id", "n_refs", "n_records")
+
+
+P1_INCREMENTAL_SQL = """
+WITH refs AS (SELECT product_id FROM board_product UNION ALL SELECT product_id FROM user_product_faves WHERE product_id IN (SELECT product_id FROM board_product WHERE product_id IS NOT NULL))
+SELECT product_id AS ref_id, count(*) AS n_refs, CAST(0 AS BIGINT) AS n_records FROM refs
+WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT p.product_id FROM product_info p JOIN active_products a ON p.product_id = a.product_id) GROUP BY product_id
+"""
+
 P1_SQL = """
 WITH refs AS (
   SELECT 'board_product' AS table_name, CAST(board_id AS VARCHAR) AS owner_key, product_id AS ref_id, strftime(to_timestamp(last_modified_timestamp) AT TIME ZONE 'UTC', '%Y-%m') AS period, last_modified_timestamp AS ts FROM board_product
@@ -161,5 +196,5 @@ FROM (
 ) WHERE was IS NULL OR now IS NULL OR other
 """
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p5_found, p5_unified, p7_found)}
-SQL = {"p1_found": P1_SQL, "p1_counts": P1_COUNTS_SQL, "p2_found": P2_SQL, "p5_found": P5_SQL, "p7_found": P7_SQL}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p1_incremental, p2_found, p5_found, p5_unified, p7_found)}
+SQL = {"p1_found": P1_SQL, "p1_counts": P1_COUNTS_SQL, "p1_incremental": P1_INCREMENTAL_SQL, "p2_found": P2_SQL, "p5_found": P5_SQL, "p7_found": P7_SQL}

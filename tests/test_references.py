@@ -55,5 +55,29 @@ def test_states_add_up(spark):
     assert [x.ref_id for x in R.orphan_keys(later).collect()] == [1]
 
 
+def reasons(spark, refs, *deltas):
+    r = spark.createDataFrame([("p", "t", str(i), k, at, 0, "x") for i, (k, at) in enumerate(refs)], REFS)
+    parts = [R.record_deltas(spark.createDataFrame([(k, at)], "id long, at long"), "p", "id", F.col("at"), F.lit(n)) for k, at, n in deltas]
+    state = R.reference_deltas(r)
+    for p in parts:  # one period after the other
+        state = R.merge_states(state, p)
+    return {(int(x.owner_key), x.reason) for x in R.orphan_report(r, state).collect()}
+
+
+def test_a_key_that_was_deleted_and_came_back_is_late_for_references_between(spark):
+    assert reasons(spark, [(1, 50), (1, 150)], (1, 10, 1), (1, 20, -1), (1, 100, 1)) == {(0, "late")}
+    assert reasons(spark, [(1, 50)], (1, 100, 1), (1, 20, -1), (1, 10, 1)) == {(0, "late")}
+    assert reasons(spark, [(1, 50)], (1, 10, 1), (1, 100, 1), (1, 20, -1), (1, 10, -1), (1, 20, 1)) == {(0, "late")}
+    assert reasons(spark, [(1, 50)], (1, 10, 1), (1, 20, 1), (1, 30, -1)) == set()
+    assert reasons(spark, [(1, 50)], (1, 10, 1), (1, 60, -1)) == {(0, "missing")}
+
+
+def test_withdrawn_references_and_cancelled_records_leave_no_state(spark):
+    r = spark.createDataFrame([("p", "t", "o", 1, 5, 0, "x")] * 3, REFS)
+    e = spark.createDataFrame([(1, None), (2, 7)], "id long, at long")
+    plus, minus = R.record_deltas(e, "p", "id", F.col("at")), R.record_deltas(e, "p", "id", F.col("at"), F.lit(-1))
+    assert R.merge_states(R.reference_deltas(r), plus, R.reference_deltas(r, F.lit(-1)), minus).collect() == []
+
+
 def test_empty(spark):
     assert report(spark, [], [], [])[0].collect() == []
