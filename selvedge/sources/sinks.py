@@ -1,12 +1,12 @@
-"""Writers: append, overwrite, one partition, snapshot swap, a store, JSON documents in batches."""
+"""Writers: append, overwrite, one partition, versioned tables and counters, a store, JSON documents in batches."""
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,25 +31,81 @@ def insert(df: DataFrame, table: str, columns: list[str], overwrite: bool = Fals
     rows.select(*columns).write.insertInto(table, overwrite=overwrite)
 
 
-def swap(df: DataFrame, path: str) -> None:
-    """Replaces a table that df may itself read: written beside it, then renamed by the file system."""
-    spark = df.sparkSession
-    beside = f"{path}__{uuid.uuid4().hex}"
-    df.write.parquet(beside)
+def _folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers of the complete folders <prefix>=<number> under path, in order; Spark writes _SUCCESS last."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     hadoop = jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(conf)
-    old = hadoop(f"{path}__old_{uuid.uuid4().hex}")
-    had = fs.exists(hadoop(path))
-    if had and not fs.rename(hadoop(path), old):
-        raise OSError(f"cannot move {path}")
-    if not fs.rename(hadoop(beside), hadoop(path)):
-        if had:
-            fs.rename(old, hadoop(path))
-        raise OSError(f"cannot move to {path}")
-    if had:
-        fs.delete(old, True)
-    spark.catalog.refreshByPath(path)
+    if not fs.exists(hadoop(path)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop(path)) if s.isDirectory()]
+    numbers = [int(n.partition("=")[2]) for n in names if n.startswith(f"{prefix}=")]
+    return sorted(n for n in numbers if fs.exists(hadoop(f"{path}/{prefix}={n}/_SUCCESS")))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+#: The mark of a complete folder is asked for whatever the cluster's defaults are.
+MARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+
+
+def swap(df: DataFrame, path: str) -> None:
+    """Replaces a versioned table that df may itself read.
+
+    The new version is a folder of its own and counts from the moment Spark has marked it as
+    complete; older versions go afterwards, but for the last one, which a running reader may
+    still need. Nothing is renamed, so a crash at any point leaves a whole table: the old one
+    before the mark, the new one after it.
+    """
+    spark = df.sparkSession
+    done = _folders(spark, path, "version")
+    df.write.mode("overwrite").options(**MARKED).parquet(f"{path}/version={done[-1] + 1 if done else 0}")
+    for old in done[:-1]:
+        _remove(spark, f"{path}/version={old}")
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last complete version of a table that `swap` writes, None if there is none yet."""
+    done = _folders(spark, path, "version")
+    return spark.read.parquet(f"{path}/version={done[-1]}") if done else None
+
+
+def add_counts(df: DataFrame, path: str, number: int, keys: list[str], compact_every: int = 20) -> None:
+    """Adds the counts of batch `number` to the counters at path, once, whatever was interrupted before.
+
+    A batch is a folder delta=<number> and costs what it holds; after compact_every of them
+    their sum with the last base becomes base=<number>. `counts` sums the last complete base
+    and the complete deltas after it, so folders left over by a crash change nothing.
+    """
+    spark = df.sparkSession
+    bases, deltas = _folders(spark, path, "base"), _folders(spark, path, "delta")
+    last = bases[-1] if bases else -1
+    if number <= last or number in deltas:
+        return
+    df.write.mode("overwrite").options(**MARKED).parquet(f"{path}/delta={number}")
+    open_ = [n for n in deltas if n > last] + [number]
+    if len(open_) >= compact_every:
+        top = max(open_)
+        counts(spark, path, keys).write.mode("overwrite").options(**MARKED).parquet(f"{path}/base={top}")
+        for n in bases:
+            _remove(spark, f"{path}/base={n}")
+        for n in [*deltas, number]:
+            if n <= top:
+                _remove(spark, f"{path}/delta={n}")
+
+
+def counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
+    """The counters that `add_counts` keeps at path, summed per key; None before the first batch."""
+    bases, deltas = _folders(spark, path, "base"), _folders(spark, path, "delta")
+    last = bases[-1] if bases else -1
+    parts = [f"{path}/base={last}"] * bool(bases) + [f"{path}/delta={n}" for n in deltas if n > last]
+    if not parts:
+        return None
+    rows = reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in parts])
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in keys])
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch: int = 50_000, partitions: int | None = None, **options: str) -> None:

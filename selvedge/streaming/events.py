@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from selvedge.operators import dml
-from selvedge.sources.sinks import append, swap
+from selvedge.sources.sinks import add_counts, append
 
 
 def ingested(events: DataFrame, cutoff: Column, batch: Column, at: str = "event_timestamp") -> tuple[DataFrame, DataFrame]:
@@ -37,29 +37,15 @@ def append_batches(path: str, at: str) -> Callable[[DataFrame, int], None]:
     return each
 
 
-def counting(path: str, keys: list[str], counters: dict[str, Column]) -> Callable[[DataFrame, int], None]:
-    """Adds each batch's counts to the table at path, once: a batch whose number the table has seen changes nothing.
+def counting(path: str, keys: list[str], counters: dict[str, Column], compact_every: int = 20) -> Callable[[DataFrame, int], None]:
+    """Adds each batch's counts to the counters at path, once (see `sinks.add_counts`; read them with `sinks.counts`).
 
-    Counts and the last batch number are one table and are swapped in together, so a batch that
-    failed halfway is simply repeated.
+    A batch whose number the counters have seen changes nothing, and one that failed halfway is
+    simply repeated. A batch costs its own counts, not the whole table.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = dml.increments(batch, keys, counters).withColumn("last_batch", F.lit(number).cast("long"))
-        try:
-            old = spark.read.parquet(path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            swap(new, path)
-            return
-        last = old.agg(F.max("last_batch")).first()[0]
-        if last is not None and last >= number:
-            return
-        names = list(counters)
-        both = old.drop("last_batch").unionByName(new.drop("last_batch")).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
-        swap(both.withColumn("last_batch", F.lit(number).cast("long")), path)
+        add_counts(dml.increments(batch, keys, counters), path, number, keys, compact_every)
 
     return each
 

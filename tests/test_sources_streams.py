@@ -1,6 +1,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from selvedge import schemas
@@ -59,9 +60,13 @@ def test_sinks(spark, tmp_path):
     sinks.append(df, path, "day")
     assert spark.read.parquet(path).count() == 4
     other = str(tmp_path / "s")
+    assert sinks.current(spark, other) is None
     sinks.swap(df, other)
-    sinks.swap(spark.read.parquet(other).withColumn("id", F.col("id") + 1), other)  # reads what it replaces
-    assert sorted(r.id for r in spark.read.parquet(other).collect()) == [2, 3] and len(list(tmp_path.iterdir())) == 2
+    for _ in range(3):
+        sinks.swap(sinks.current(spark, other).withColumn("id", F.col("id") + 1), other)  # reads what it replaces
+    assert sorted(r.id for r in sinks.current(spark, other).collect()) == [4, 5]
+    (tmp_path / "s" / "version=9").mkdir()  # a version whose writer was lost
+    assert sorted(r.id for r in sinks.current(spark, other).collect()) == [4, 5] and len(list((tmp_path / "s").iterdir())) == 3
     assert sorted(json.loads(r.document)["id"] for r in sinks.documents(df, {"x": "y"}).collect()) == [1, 2]
     box = tmp_path / "sent"
     box.mkdir()
@@ -86,7 +91,7 @@ def test_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
     data = spark.createDataFrame([(i % 5, ["fave", "bag", "x"][i % 3], i % 4) for i in range(60)], "user_id long, event string, product_id long").withColumn("ts", F.timestamp_seconds(F.col("user_id") * 90000))
     data.repartition(3).write.parquet(src)
     kinds = {"n_likes": F.col("event") == "fave", "n_bags": F.col("event") == "bag"}
-    count, append = events.counting(counts, ["product_id"], kinds), events.append_batches(log, "ts")
+    count, append = events.counting(counts, ["product_id"], kinds, 2), events.append_batches(log, "ts")
 
     def both(batch, number):
         count(batch, number)
@@ -95,11 +100,43 @@ def test_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
 
     for _ in range(2):
         events.run_batches(events.read_events(spark, src, schema, 1), both, str(tmp_path / "check")).awaitTermination()
-    got = sorted((r.product_id, r.n_likes, r.n_bags) for r in spark.read.parquet(counts).collect())
+    got = sorted((r.product_id, r.n_likes, r.n_bags) for r in sinks.counts(spark, counts, ["product_id"]).collect())
     expected = data.groupBy("product_id").agg(F.count_if(kinds["n_likes"]).alias("a"), F.count_if(kinds["n_bags"]).alias("b")).collect()
     assert got == sorted(map(tuple, expected)) and spark.read.parquet(log).count() == 60
 
 
+def test_counters_survive_a_crash_between_any_two_steps(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "c")
+    batch = lambda n: spark.createDataFrame([(1, n)], "id long, n long")
+    total = lambda: [r.n for r in sinks.counts(spark, path, ["id"]).collect()]
+    sinks.add_counts(batch(5), path, 0, ["id"], 2)
+    (tmp_path / "c" / "delta=1").mkdir()  # the writer of batch 1 was lost before it was done
+    assert total() == [5]
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:  # and again after the sum was written, before the batches went
+        m.setattr(sinks, "_remove", lost)
+        with pytest.raises(RuntimeError):
+            sinks.add_counts(batch(2), path, 1, ["id"], 2)
+    assert total() == [7]
+    sinks.add_counts(batch(2), path, 1, ["id"], 2)  # Spark repeats the batch
+    assert total() == [7]
+    sinks.add_counts(batch(3), path, 2, ["id"], 2)
+    assert total() == [10]
+
+
+def test_jdbc_round_trip(spark):
+    url, driver = "jdbc:derby:memory:selvedge;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(20)], "id long, name string")
+    sinks.write_jdbc(df, url, "products", "overwrite", partitions=2, driver=driver)
+    sinks.write_jdbc(spark.createDataFrame([(99, None)], df.schema), url, "products", driver=driver)
+    back = feeds.read_jdbc(spark, url, "products", "id", (0, 20), 4, driver=driver)
+    assert back.rdd.getNumPartitions() == 4
+    assert sorted((r[0], r[1] or "") for r in back.collect()) == sorted([*[(i, f"n{i}") for i in range(20)], (99, "")])
+
+
 def test_entry_points(spark):
     import __spark_entry__ as e
 
