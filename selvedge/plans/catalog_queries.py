@@ -11,6 +11,7 @@ from selvedge import schemas
 from selvedge.functions import arrays as A
 from selvedge.operators import catalog, dml, images, lifecycle, rules, serving, similarity, tags
 from selvedge.plans import sqlrun
+from selvedge.session import checkpointed
 from selvedge.sources import feeds
 from selvedge.sources.tables import table
 from selvedge.streaming import events as stream
@@ -324,29 +325,52 @@ def upsert_products(spark: SparkSession, d: str) -> DataFrame:
 # similarity
 
 
-@query("""
-SELECT a.vec_id AS product_id, b.vec_id AS similar_product_id, round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4) AS similarity_score
-FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id != b.vec_id WHERE list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) > 0.2
+_DOT = "list_dot_product(CAST({0} AS DOUBLE[]), CAST({1} AS DOUBLE[]))"
+
+
+@query(f"""
+WITH act AS (SELECT * FROM embeddings WHERE embedding[1] <= 0.05),
+his AS (SELECT * FROM embeddings WHERE embedding[1] > 0.05 AND DATE '2025-06-12' - CAST(round(abs(embedding[2]) * 1000) AS INTEGER) > DATE '2025-06-12' - 45),
+known AS (SELECT * FROM act WHERE embedding[1] < -0.05), new AS (SELECT * FROM act WHERE embedding[1] >= -0.05),
+stored AS (SELECT a.vec_id AS product_id, b.vec_id AS similar_product_id, 0.5 AS s FROM known a JOIN known b ON a.label = b.label AND a.vec_id != b.vec_id),
+old AS (SELECT * FROM known k WHERE EXISTS (SELECT 1 FROM stored WHERE product_id = k.vec_id) UNION ALL SELECT * FROM his),
+pairs AS (
+  SELECT a.vec_id AS product_id, b.vec_id AS similar_product_id, {_DOT.format("a.embedding", "b.embedding")} AS s FROM old a JOIN new b ON a.label = b.label AND a.vec_id != b.vec_id
+  UNION ALL SELECT a.vec_id, b.vec_id, {_DOT.format("a.embedding", "b.embedding")} FROM new a JOIN act b ON a.label = b.label AND a.vec_id != b.vec_id
+)
+SELECT product_id, similar_product_id, round(s, 4) AS similarity_score FROM pairs WHERE s > 0.2 UNION ALL SELECT product_id, similar_product_id, s FROM stored
 """)
 def similarity_scores(spark: SparkSession, d: str) -> DataFrame:
-    act = table(spark, d, "embeddings").select(F.col("vec_id").alias("product_id"), F.array(F.col("label").cast("string")).alias("labels"), F.col("embedding").alias("vector"), F.lit(_DAY).alias("execution_date"))
-    stored = spark.createDataFrame([], "product_id long, similar_product_id long, similarity_score double")
-    out = similarity.incremental_scores(act, act.limit(0), stored, F.lit(_DAY), 45, 0.2)
+    """An incremental run: by its first number a vector is a historic product (its age by the second), an active one with stored scores, or a new one."""
+    aged = F.date_sub(F.lit(_DAY), F.round(F.abs(F.get("embedding", F.lit(1))) * 1000).cast("int"))
+    vec = table(spark, d, "embeddings").select(F.col("vec_id").alias("product_id"), F.array(F.col("label").cast("string")).alias("labels"), F.col("embedding").alias("vector"), aged.alias("execution_date"))
+    active, historic = vec.where("vector[0] <= 0.05"), vec.where("vector[0] > 0.05")
+    known = active.where("vector[0] < -0.05").select("product_id", F.explode("labels").alias("label"))
+    other = known.withColumnRenamed("product_id", "similar_product_id")
+    stored = known.join(other, "label").where("product_id != similar_product_id").select("product_id", "similar_product_id", F.lit(0.5).alias("similarity_score"))
+    out = similarity.incremental_scores(active, historic, stored, F.lit(_DAY), 45, 0.2)
     return out.select("product_id", "similar_product_id", F.round("similarity_score", 4).alias("similarity_score"))
 
 
 @query(f"""
-WITH p AS (SELECT product_id, unnest(product_labels) AS label, CAST(product_image_embedding AS DOUBLE[]) AS v, product_secondary_labels AS s FROM active_products),
-pairs AS (SELECT DISTINCT a.product_id, b.product_id AS other, list_dot_product(a.v, b.v) AS score, list_intersect(a.s, b.s) AS common FROM p a JOIN p b ON a.label = b.label AND a.product_id != b.product_id AND list_dot_product(a.v, b.v) > 0.6),
-boosted AS (SELECT product_id, other, round(score * (1 + 0.8 * len(list_distinct(common)) + 0.24 * len(list_intersect(list_distinct(common), ['quilted', 'ribbed', 'lined']))), 6) AS score FROM pairs)
-SELECT product_id, CAST(place - 1 AS INTEGER) AS index, other AS similar_product_id FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY score DESC, other DESC) AS place FROM boosted) WHERE place <= 10
+WITH act AS (SELECT product_id, product_labels, CAST(product_image_embedding AS DOUBLE[]) AS v, product_secondary_labels AS s FROM active_products),
+his AS (SELECT product_id, product_labels, [0.5, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0, 0.0] AS v, product_secondary_labels AS s FROM product_info WHERE execution_date > DATE '2025-05-01' AND product_id NOT IN (SELECT product_id FROM act)),
+roots AS (SELECT product_id, unnest(product_labels) AS label, v, s FROM (SELECT * FROM act UNION ALL SELECT * FROM his)), p AS (SELECT product_id, unnest(product_labels) AS label, v, s FROM act),
+pairs AS (SELECT DISTINCT a.product_id, b.product_id AS other, list_dot_product(a.v, b.v) AS score, list_intersect(a.s, b.s) AS common FROM roots a JOIN p b ON a.label = b.label AND a.product_id != b.product_id AND list_dot_product(a.v, b.v) > 0.6),
+boosted AS (SELECT product_id, other, round(score * (1 + 0.8 * len(list_distinct(common)) + 0.24 * len(list_intersect(list_distinct(common), ['quilted', 'ribbed', 'lined']))), 6) AS score FROM pairs),
+best AS (SELECT product_id, CAST(place - 1 AS INTEGER) AS index, other AS similar_product_id FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY score DESC, other DESC) AS place FROM boosted) WHERE place <= 10)
+SELECT * FROM best UNION ALL SELECT DISTINCT product_id, 0, product_id FROM product_info WHERE product_id NOT IN (SELECT product_id FROM best)
 """)
 def similar_topn(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "active_products")
-    v = p.select(F.col("product_id").alias("id"), F.explode("product_labels").alias("label"), F.col("product_image_embedding").alias("vector"))
-    pairs = similarity.block_pairs(v, v, 0.6).withColumnsRenamed({"id": "product_id", "other": "similar_product_id", "score": "similarity_score"})
-    boosted = similarity.boosted(pairs, p, p, PRIORITY).withColumn("similarity_score", F.round("similarity_score", 6))
-    return similarity.top_neighbours(boosted, 10)
+    """Roots are active and historic products (those with one vector for all, loaded in May or later); every product has an earlier result, itself."""
+    cols = ["product_id", "product_labels", "product_secondary_labels"]
+    active, info = table(spark, d, "active_products").select(*cols, F.col("product_image_embedding").alias("vector")), table(spark, d, "product_info")
+    flat = F.array(*[F.lit(x) for x in (0.5, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0, 0.0)]).cast("array<float>").alias("vector")
+    historic = dml.delete_in(info.where("execution_date > DATE '2025-05-01'").select(*cols, flat), active, ["product_id"])
+    of = lambda x: x.select(F.col("product_id").alias("id"), F.explode("product_labels").alias("label"), "vector")
+    pairs = similarity.block_pairs(of(active.unionByName(historic)), of(active), 0.6).withColumnsRenamed({"id": "product_id", "other": "similar_product_id", "score": "similarity_score"})
+    stored = info.select("product_id", F.lit(0).alias("index"), F.col("product_id").alias("similar_product_id"))
+    return similarity.refreshed_neighbours(pairs, active, historic, stored, PRIORITY, 10)
 
 
 @query(f"""
@@ -377,8 +401,9 @@ SELECT user_id, CAST(place - 1 AS INTEGER) AS index, product_id FROM r WHERE pla
 def recs_vector(spark: SparkSession, d: str) -> DataFrame:
     ev = _events(spark, d).select("user_id", F.col("event_type").alias("event"), "product_id", F.to_date("ts").alias("event_date"))
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("product_id"), F.col("embedding").alias("vector"))
-    users = similarity.user_vectors(ev, vectors, F.lit(datetime.date(2024, 2, 1)), TASTE, 0.1, 0.05, 64)
-    return similarity.vector_recommendations(users, vectors, 5)
+    day = F.lit(datetime.date(2024, 2, 1))
+    users = checkpointed(similarity.user_vectors(ev, vectors, day, TASTE, 0.1, 0.05, 64))  # one row per user, used three times
+    return similarity.vector_recommendations(users, vectors, 5, similarity.weighed_events(ev, day, TASTE))
 
 
 # tags

@@ -48,6 +48,43 @@ def test_chunks_make_no_difference(spark):
     assert similarity.block_pairs(v.where("false"), v, 0.2).collect() == []
 
 
+def test_null_and_broken_vectors_have_no_product(spark):
+    v = spark.createDataFrame([(1, "x", [1.0, 0.0]), (2, "x", None), (3, "x", [1.0, None]), (4, "x", [1.0, float("nan")]), (5, "x", [0.9, 0.1]), (6, "x", [1.0])], "id long, label string, vector array<float>")
+    assert {(r.id, r.other) for r in similarity.block_pairs(v, v, 0.1).collect()} == {(1, 5), (5, 1)}
+
+
+def test_recommendations_against_brute_force(spark):
+    rng = random.Random(4)
+    users = [(u, unit(rng) if u != 3 else None) for u in range(12)]
+    items = [(i, unit(rng) if i % 9 else None) for i in range(60)]
+    items += [(100 + i, items[1][1]) for i in range(4)]  # ties
+    seen = [(u, rng.choice(items)[0]) for u in range(12) for _ in range(u * 6)] + [(None, 1), (1, None)]
+    got: dict = {}
+    out = similarity.vector_recommendations(spark.createDataFrame(users, "user_id long, vector array<float>"), spark.createDataFrame(items, "product_id long, vector array<float>"), 4, spark.createDataFrame(seen, "user_id long, product_id long"))
+    for r in sorted(out.collect()):
+        got.setdefault(r.user_id, []).append(r.product_id)
+    for u, v in users:
+        if v is not None:
+            score = lambda w: round(float(np.dot(np.float32(v).astype(float), np.float32(w).astype(float))), 9)  # noqa: B023, E731
+            best = sorted(((-score(w), -i) for i, w in items if w is not None and (u, i) not in seen))[:4]
+            assert got[u] == [-i for _, i in best]
+    assert 3 not in got
+
+
+def test_new_scores_replace_stored_ones(spark):
+    act = products(spark, [(1, ["a"], [1.0, 0.0]), (2, ["a"], [0.8, 0.6])])
+    stored = spark.createDataFrame([(1, 2, 0.3), (1, 9, 0.9)], "product_id long, similar_product_id long, similarity_score double")
+    out = similarity.incremental_scores(act, act.limit(0), stored, F.lit(DAY), 45, 0.1)
+    assert scores(out) == {(1, 2): 0.8, (2, 1): 0.8}
+
+
+def test_color_variants_with_a_hot_name(spark):
+    rows = [(i, "a", "b", f"{c} dress", c) for i, c in enumerate(["red", "blue", "green", None] * 6)] + [(90, "a", "b", "red coat", "red"), (91, "a", None, "red dress", "blue")]
+    p = spark.createDataFrame(rows, "product_id long, advertiser_name string, product_brand string, product_name string, color string")
+    got = {tuple(r) for r in similarity.color_variants(p, ["red", "blue", "green"]).collect()}
+    assert got == {(i, j, d) for i, _, _, _, c in rows[:24] for j, _, _, _, d in rows[:24] if c and d and c != d}
+
+
 def test_top_neighbours_ties(spark):
     s = spark.createDataFrame([(1, 7, 0.1), (1, 3, 0.9), (1, 8, 0.9)], "product_id long, similar_product_id long, similarity_score double")
     assert [(r["index"], r.similar_product_id) for r in similarity.top_neighbours(s, 3).orderBy("index").collect()] == [(0, 8), (1, 3), (2, 7)]
