@@ -55,13 +55,19 @@ def field_values(raw: DataFrame, payload: str, keep: list[str], record_id: str =
 
 
 def promote(kinds: Column) -> Column:
-    """The least upper bound of an array of kinds."""
+    """The least upper bound in the lattice of an array of distinct kinds."""
     return F.when(F.size(kinds) == 0, "null").when(F.size(kinds) == 1, F.get(kinds, 0)).otherwise("string")
 
 
-def headers(values: DataFrame, file: list[str]) -> DataFrame:
-    """The schema of each file: file, field_name, kinds (sorted)."""
-    return values.groupBy(*file, "field_name").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
+def headers(raw: DataFrame, file: list[str], payload: str) -> DataFrame:
+    """The schema of each file: file, field_name, kind; the kinds a field has in its records are folded through the lattice.
+
+    Files are read in parallel, the sets of kinds (five at most) are merged per task and then
+    per file. Fields without any value other than null are none of the file's.
+    """
+    read = records(raw, payload).select(*file, "record")
+    fields = read.lateralJoin(read.sparkSession.tvf.variant_explode(F.col("record").outer())).select(*file, F.col("key").alias("field_name"), kind_of(F.col("value")).alias("kind"))
+    return fields.where("kind IS NOT NULL").groupBy(*file, "field_name").agg(promote(F.collect_set("kind")).alias("kind"))
 
 
 def file_order(raw: DataFrame, source: str, file: str, time: str) -> DataFrame:
@@ -73,44 +79,53 @@ def file_order(raw: DataFrame, source: str, file: str, time: str) -> DataFrame:
 def schema_changes(raw: DataFrame, source: str, file: str, time: str, payload: str, record_id: str = "id") -> DataFrame:
     """source, file, field_name, change_kind, new_name: each file against the one before of its source.
 
-    A field that ends and one that begins in the same file are one renamed field if the records
-    with a value in both files, at least one, all have the same value there; every such pair is
-    reported. Other fields are added, removed, or retyped if the set of their kinds differs. A
-    file without readable record has no field. new_name is '' unless renamed. Rows without
-    source or file are left out. Only values of fields that end or begin are compared, by
-    source, file and record, so large files spread over their records.
+    Header schemas are folded through the lattice and compared in the order of the files: a
+    field is added, removed, or retyped if its kind differs. A field that ends and one that
+    begins in the same file are one renamed field if the records with a value in both files, at
+    least one, all have the same value there; every such pair is reported, instead of as added
+    and removed. A file without readable record has no field. new_name is '' unless renamed.
+    Rows without source or file are left out.
+
+    Records are parsed once for the headers, and once more only those of the files where one
+    field ends and another begins. Old and new values meet by record and value, so only fields
+    that are equal somewhere are compared at all, and large files spread over their records.
     """
     raw = raw.where(F.col(source).isNotNull() & F.col(file).isNotNull())
     order = file_order(raw, source, file, time)
-    values = field_values(raw, payload, [source, file], record_id)
-    header = headers(values, [source, file]).join(order, [source, file]).select(source, "seq", "field_name", "kinds")
-    here = header.where("seq > 1").withColumnRenamed("kinds", "_now")
+    # a row per file and field: without the cut each of its uses would parse the records again
+    header = checkpointed(headers(raw, [source, file], payload).join(order, [source, file]).select(source, "seq", "field_name", "kind"))
+    here = header.where("seq > 1").withColumnRenamed("kind", "_now")
     last = order.groupBy(source).agg(F.max("seq").alias("_last"))
-    before = header.join(last, source).where(F.col("seq") < F.col("_last")).select(source, (F.col("seq") + 1).alias("seq"), "field_name", F.col("kinds").alias("_then"))
+    before = header.join(last, source).where(F.col("seq") < F.col("_last")).select(source, (F.col("seq") + 1).alias("seq"), "field_name", F.col("kind").alias("_then"))
     both = before.join(here, [source, "seq", "field_name"], "full")
     state = F.when(F.col("_then").isNull(), "added").when(F.col("_now").isNull(), "removed").when(F.col("_then") != F.col("_now"), "retyped")
-    # few rows, used five times below: without the cut every use would parse all records again
     changes = checkpointed(both.select(source, "seq", "field_name", state.alias("change_kind")).where("change_kind IS NOT NULL"))
 
-    ended = changes.where("change_kind = 'removed'").select(source, "seq", "field_name")
-    begun = changes.where("change_kind = 'added'").select(source, "seq", "field_name")
-    # only files where a field ends and another begins can hold a renaming
-    busy = ended.select(source, "seq").distinct().join(begun.select(source, "seq").distinct(), [source, "seq"])
-    placed = values.where(F.col("record_key").isNotNull()).join(order, [source, file])
-    old = placed.select(source, (F.col("seq") + 1).alias("seq"), "field_name", "record_key", "value").join(ended.join(busy, [source, "seq"]), [source, "seq", "field_name"], "left_semi").distinct()
-    new = placed.select(source, "seq", "field_name", "record_key", "value").join(begun.join(busy, [source, "seq"]), [source, "seq", "field_name"], "left_semi").distinct()
-    met = old.withColumnsRenamed({"field_name": "_old", "value": "_then"}).join(new.withColumnsRenamed({"field_name": "_new", "value": "_now"}), [source, "seq", "record_key"])
-    renamed = met.groupBy(source, "seq", "_old", "_new").agg(F.min(F.col("_then") == F.col("_now")).alias("_same")).where("_same").drop("_same")
-
-    moved = renamed.select(source, "seq", F.col("_old").alias("field_name"), F.lit("removed").alias("change_kind")).unionByName(renamed.select(source, "seq", F.col("_new").alias("field_name"), F.lit("added").alias("change_kind"))).distinct()
+    # only where a field ends and another begins can there be a renaming: wanted are its fields, in the file before and in the file
+    sides = F.collect_set(F.when(F.col("change_kind") != "retyped", F.col("change_kind")))
+    busy = changes.groupBy(source, F.col("seq").alias("_step")).agg(F.size(sides).alias("_n")).where("_n = 2").drop("_n")
+    moving = changes.where("change_kind != 'retyped'").withColumnRenamed("seq", "_step").join(busy, [source, "_step"])
+    old_side = F.col("change_kind") == "removed"
+    wanted = moving.select(source, (F.col("_step") - F.when(old_side, 1).otherwise(0)).alias("seq"), "field_name", "_step", old_side.alias("_old"))
+    files = wanted.select(source, "seq").distinct().join(order, [source, "seq"])
+    lines = raw.join(files, [source, file], "left_semi")
+    values = field_values(lines, payload, [source, file], record_id).where(F.col("record_key").isNotNull()).join(order, [source, file])
+    step = [source, "_step", "record_key"]
+    held = checkpointed(values.join(wanted, [source, "seq", "field_name"]).select(*step, "_old", "field_name", "value").distinct())
+    old, new = held.where("_old").select(*step, F.col("field_name").alias("_from"), "value"), held.where("NOT _old").select(*step, F.col("field_name").alias("_to"), "value")
+    equal = old.join(new, [*step, "value"]).groupBy(source, "_step", "_from", "_to").agg(F.count(F.lit(1)).alias("_equal"))
+    met = old.drop("value").join(equal, [source, "_step", "_from"]).join(new.drop("value"), [*step, "_to"])
+    renamed = met.groupBy(source, F.col("_step").alias("seq"), "_from", "_to").agg(F.count(F.lit(1)).alias("_met"), F.first("_equal").alias("_equal")).where("_met = _equal").drop("_met", "_equal")
+
+    moved = renamed.select(source, "seq", F.col("_from").alias("field_name"), F.lit("removed").alias("change_kind")).unionByName(renamed.select(source, "seq", F.col("_to").alias("field_name"), F.lit("added").alias("change_kind"))).distinct()
     rest = changes.join(moved, [source, "seq", "field_name", "change_kind"], "left_anti").withColumn("new_name", F.lit(""))
-    named = renamed.select(source, "seq", F.col("_old").alias("field_name"), F.lit("renamed").alias("change_kind"), F.col("_new").alias("new_name"))
+    named = renamed.select(source, "seq", F.col("_from").alias("field_name"), F.lit("renamed").alias("change_kind"), F.col("_to").alias("new_name"))
     return rest.unionByName(named).join(order, [source, "seq"]).select(source, file, "field_name", "change_kind", "new_name")
 
 
-def union_schema(values: DataFrame) -> DataFrame:
-    """field_name and kind of the one table that holds all files."""
-    return values.groupBy("field_name").agg(promote(F.array_sort(F.collect_set("kind"))).alias("kind"))
+def union_schema(raw: DataFrame, payload: str) -> DataFrame:
+    """field_name and kind of the one table that holds all files: all headers folded through the lattice."""
+    return headers(raw, [], payload)
 
 
 CASTS = {"boolean": "boolean", "number": "double", "string": "string"}
@@ -124,7 +139,7 @@ def unified(raw: DataFrame, keep: list[str], payload: str, schema: DataFrame | N
     are refused. A field named like a column of keep, or like another field but for case, gets
     the suffix _field and a number.
     """
-    found = (schema if schema is not None else union_schema(field_values(raw, payload, []))).orderBy("field_name").limit(MAX_COLUMNS + 1).collect()
+    found = (schema if schema is not None else union_schema(raw, payload)).orderBy("field_name").limit(MAX_COLUMNS + 1).collect()
     if len(found) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} fields")
     used, columns = {k.lower() for k in keep}, []

@@ -152,6 +152,42 @@ def p5_unified(spark: SparkSession, d: str) -> DataFrame:
     return drift.unified(table(spark, d, "daily_product_dump_raw"), ["feed_id", "file_id", "execution_date", "line_no"], "payload")
 
 
+def p5_schema(spark: SparkSession, d: str) -> DataFrame:
+    """The union schema, with the number of files that have each field."""
+    raw = table(spark, d, "daily_product_dump_raw")
+    files = drift.headers(raw, ["feed_id", "file_id"], "payload").groupBy("field_name").agg(F.count(F.lit(1)).alias("n_files"))
+    return drift.union_schema(raw, "payload").join(files, "field_name")
+
+
+_KIND_SQL = "CASE json_type(v) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END"
+_FIELDS_SQL = """
+ok AS (SELECT feed_id, file_id, line_no, json(payload) AS j FROM daily_product_dump_raw WHERE json_valid(payload) AND json_type(CASE WHEN json_valid(payload) THEN payload ELSE 'null' END) = 'OBJECT'),
+cell AS (SELECT * FROM (SELECT feed_id, file_id, line_no, k, json_extract(j, '$."' || k || '"') AS v FROM (SELECT *, unnest(json_keys(j)) AS k FROM ok)) WHERE json_type(v) != 'NULL')
+"""
+P5_SCHEMA_SQL = f"WITH {_FIELDS_SQL} SELECT k AS field_name, CASE WHEN count(DISTINCT {_KIND_SQL}) = 1 THEN any_value({_KIND_SQL}) ELSE 'string' END AS kind, count(DISTINCT (feed_id, file_id)) AS n_files FROM cell GROUP BY k"
+
+
+def p5_cells(spark: SparkSession, d: str) -> DataFrame:
+    """How many records have a value in each column of the unified table, how many different ones, and the least and greatest of those without an object."""
+    keep = ["feed_id", "file_id", "execution_date", "line_no"]
+    whole = drift.unified(table(spark, d, "daily_product_dump_raw"), keep, "payload")
+    names = [c for c in whole.columns if c not in keep]
+    kinds = dict(whole.dtypes)
+    text = lambda c: F.when(F.col(f"`{c}`").isNotNull(), F.format_string("%.4f", f"`{c}`") if kinds[c] == "double" else F.col(f"`{c}`").cast("string"))
+    cells = whole.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in names])).alias("x")).select("x.*").where("value IS NOT NULL")
+    plain = F.when(~F.col("value").contains("{"), F.col("value"))
+    return cells.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("value").alias("n_values"), F.min(plain).alias("least"), F.max(plain).alias("greatest"))
+
+
+# field names that differ only in case get a suffix, in order of the names
+P5_CELLS_SQL = f"""
+WITH {_FIELDS_SQL},
+kinds AS (SELECT k, CASE WHEN count(DISTINCT {_KIND_SQL}) = 1 THEN any_value({_KIND_SQL}) ELSE 'string' END AS kind, row_number() OVER (PARTITION BY lower(k) ORDER BY k) - 1 AS nth FROM cell GROUP BY k),
+t AS (SELECT k || CASE WHEN nth > 0 THEN '_field' || nth ELSE '' END AS column_name, CASE WHEN kind = 'number' THEN printf('%.4f', CAST(v AS DOUBLE)) WHEN json_type(v) = 'VARCHAR' THEN v->>'$' ELSE CAST(v AS VARCHAR) END AS value FROM cell JOIN kinds USING (k))
+SELECT column_name, count(*) AS n, count(DISTINCT value) AS n_values, min(value) FILTER (NOT contains(value, '{{')) AS least, max(value) FILTER (NOT contains(value, '{{')) AS greatest FROM t GROUP BY 1
+"""
+
+
 def _dump_states(spark: SparkSession, d: str) -> DataFrame:
     payload = {
         "product_name": F.col("product_name"), "product_price": history.cents("product_price"), "product_sale_price": history.cents("product_sale_price"),
@@ -196,5 +232,5 @@ FROM (
 ) WHERE was IS NULL OR now IS NULL OR other
 """
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p1_incremental, p2_found, p5_found, p5_unified, p7_found)}
-SQL = {"p1_found": P1_SQL, "p1_counts": P1_COUNTS_SQL, "p1_incremental": P1_INCREMENTAL_SQL, "p2_found": P2_SQL, "p5_found": P5_SQL, "p7_found": P7_SQL}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p1_incremental, p2_found, p5_found, p5_schema, p5_unified, p5_cells, p7_found)}
+SQL = {"p1_found": P1_SQL, "p1_counts": P1_COUNTS_SQL, "p1_incremental": P1_INCREMENTAL_SQL, "p2_found": P2_SQL, "p5_found": P5_SQL, "p5_schema": P5_SCHEMA_SQL, "p5_cells": P5_CELLS_SQL, "p7_found": P7_SQL}

@@ -40,6 +40,18 @@ def test_repeated_lines_and_one_large_file(spark):
     assert changes(spark, [(1, 1, many), (1, 2, renamed)]) == [(1, 2, "fresh", "added", ""), (1, 2, "old", "removed", "")]
 
 
+def test_two_fields_with_equal_values_and_one_that_differs_once(spark):
+    old = [{"id": i, "a": i % 2, "b": True, "c": i} for i in range(6)]
+    new = [{"id": i, "x": i % 2, "y": i % 2, "z": i != 3, "w": True} for i in range(6)]
+    assert changes(spark, [(1, 1, old), (1, 2, new)]) == [(1, 2, "a", "renamed", "x"), (1, 2, "a", "renamed", "y"), (1, 2, "b", "renamed", "w"), (1, 2, "c", "removed", ""), (1, 2, "z", "added", "")]
+
+
+def test_kinds_fold_through_the_lattice(spark):
+    df = frame(spark, [(1, 1, [{"a": 1, "b": None, "c": [1]}, {"a": "x", "b": True}]), (1, 2, [{"a": 2, "c": {"k": 1}}])])
+    assert sorted(tuple(r) for r in drift.headers(df, ["file"], "payload").collect()) == [(1, "a", "string"), (1, "b", "boolean"), (1, "c", "array"), (2, "a", "number"), (2, "c", "object")]
+    assert sorted(tuple(r) for r in drift.union_schema(df, "payload").collect()) == [("a", "string"), ("b", "boolean"), ("c", "string")]
+
+
 def test_empty(spark):
     assert changes(spark, []) == []
     assert drift.unified(frame(spark, []), ["file"], "payload").collect() == []
