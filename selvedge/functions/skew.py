@@ -22,6 +22,14 @@ def hot_keys(df: DataFrame, keys: list[str], one_in: int = 200) -> list[Row]:
     return counts.where(F.col("_rows") > least).select(*keys).collect() if most and most > least else []
 
 
+def broadcast_if_small(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """df, marked for broadcast if it has no more than `most` rows; else as it is, to be joined by exchange.
+
+    It is counted up to that bound, so it should be cheap to compute or checkpointed.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", one_in: int = 200, salts: int = 64) -> DataFrame:
     """big joined to small, which has at most one row per key (inner, left, left_semi or left_anti).
 

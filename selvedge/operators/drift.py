@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from selvedge.functions.skew import broadcast_if_small
 from selvedge.session import checkpointed
 
 #: Above this many fields a union schema as columns is refused; `records` and `headers` stay usable.
@@ -42,16 +43,18 @@ def records(raw: DataFrame, payload: str) -> DataFrame:
     return parsed.where(F.col("record").isNotNull()).where(F.schema_of_variant("record").startswith("OBJECT"))
 
 
-def field_values(raw: DataFrame, payload: str, keep: list[str], record_id: str = "id") -> DataFrame:
-    """One row per record and field that is not null: keep, record_key, field_name, kind, value.
+def field_values(raw: DataFrame, payload: str, file: list[str], wanted: DataFrame, record_id: str = "id") -> DataFrame:
+    """The columns of wanted, record_key and value: one row per record and wanted field that is not null.
 
-    Names are compared exactly. value is the canonical JSON text (object fields in order of
-    name, numbers as doubles); record_key that of the field record_id, null where it has none.
+    wanted has the columns of file and field_name, compared exactly, case included. value is the
+    canonical JSON text (object fields in order of name, numbers as doubles), made for wanted
+    fields only; record_key is that of the field record_id, null where it has none.
     """
-    read = records(raw, payload).select(*keep, "record", F.to_json(F.try_variant_get("record", f"$.{record_id}", "variant")).alias("record_key"))
-    fields = read.lateralJoin(read.sparkSession.tvf.variant_explode(F.col("record").outer())).select(*keep, "record_key", F.col("key").alias("field_name"), kind_of(F.col("value")).alias("kind"), "value")
-    text = F.when(F.col("kind") == "number", F.try_variant_get("value", "$", "double").cast("string")).otherwise(F.to_json("value"))
-    return fields.where(F.col("kind").isNotNull()).withColumn("value", text)
+    read = records(raw, payload).select(*file, "record", F.to_json(F.try_variant_get("record", f"$.{record_id}", "variant")).alias("record_key"))
+    fields = read.lateralJoin(read.sparkSession.tvf.variant_explode(F.col("record").outer())).select(*file, "record_key", F.col("key").alias("field_name"), F.col("value").alias("_v"))
+    kind = kind_of(F.col("_v"))
+    text = F.when(kind == "number", F.try_variant_get("_v", "$", "double").cast("string")).when(kind.isNotNull(), F.to_json("_v"))
+    return fields.join(wanted, [*file, "field_name"]).select(*wanted.columns, "record_key", text.alias("value")).where("value IS NOT NULL")
 
 
 def promote(kinds: Column) -> Column:
@@ -107,11 +110,11 @@ def schema_changes(raw: DataFrame, source: str, file: str, time: str, payload: s
     moving = changes.where("change_kind != 'retyped'").withColumnRenamed("seq", "_step").join(busy, [source, "_step"])
     old_side = F.col("change_kind") == "removed"
     wanted = moving.select(source, (F.col("_step") - F.when(old_side, 1).otherwise(0)).alias("seq"), "field_name", "_step", old_side.alias("_old"))
-    files = wanted.select(source, "seq").distinct().join(order, [source, "seq"])
-    lines = raw.join(files, [source, file], "left_semi")
-    values = field_values(lines, payload, [source, file], record_id).where(F.col("record_key").isNotNull()).join(order, [source, file])
+    wanted = checkpointed(wanted.join(order, [source, "seq"]).drop("seq"))
+    files = broadcast_if_small(wanted.select(source, file).distinct())
+    values = field_values(raw.join(files, [source, file], "left_semi"), payload, [source, file], broadcast_if_small(wanted), record_id)
     step = [source, "_step", "record_key"]
-    held = checkpointed(values.join(wanted, [source, "seq", "field_name"]).select(*step, "_old", "field_name", "value").distinct())
+    held = checkpointed(values.where("record_key IS NOT NULL").select(*step, "_old", "field_name", "value").distinct())
     old, new = held.where("_old").select(*step, F.col("field_name").alias("_from"), "value"), held.where("NOT _old").select(*step, F.col("field_name").alias("_to"), "value")
     equal = old.join(new, [*step, "value"]).groupBy(source, "_step", "_from", "_to").agg(F.count(F.lit(1)).alias("_equal"))
     met = old.drop("value").join(equal, [source, "_step", "_from"]).join(new.drop("value"), [*step, "_to"])
