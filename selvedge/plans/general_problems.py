@@ -100,7 +100,9 @@ P1_COUNTS_SQL = f"SELECT table_name, period, reason, count(*) AS n_orphans, coun
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    versions = history.entity_versions(table(spark, d, "product_price_history"), "product_id", "execution_date", history.cents("product_price"), "loaded_at")
+    """The rows that arrived in one month are one run."""
+    month = F.coalesce(F.year("loaded_at") * 12 + F.month("loaded_at"), F.lit(0))
+    versions = history.entity_versions(table(spark, d, "product_price_history"), "product_id", "execution_date", history.cents("product_price"), "loaded_at", month)
     return versions.select("product_id", F.col("valid_from").cast("string").alias("valid_from"), F.coalesce(F.col("valid_to").cast("string"), F.lit("")).alias("valid_to"))
 
 

@@ -26,21 +26,27 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that spark.checkpoint.dir names.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, shared by all executors.
 
     Only where that setting is missing and the master is local (tests, bench) is a temporary
     folder taken; on a cluster a missing folder is an error, because a folder of one machine
     is lost with it.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="selvedge-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in checkpoint_folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -1,6 +1,8 @@
 import datetime
 import random
 
+from pyspark.sql import functions as F
+
 from selvedge.operators import history
 
 DAY = datetime.date(2025, 1, 1)
@@ -48,6 +50,27 @@ def test_several_snapshots_are_one(spark):
     assert versions(parts) == brute(data)
 
 
+def test_small_batches_many_runs_and_long_histories(spark, monkeypatch):
+    monkeypatch.setattr(history, "AHEAD", 0)  # batches of 256 rows
+    rng = random.Random(6)
+    data = [(rng.choice([1, 1, 1, 2, 3]), DAY + datetime.timedelta(rng.randrange(3000)), float(rng.randrange(2)), datetime.datetime(2025, 1, 1) + datetime.timedelta(hours=rng.randrange(40)), "x", 1) for _ in range(9000)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = history.entity_versions(df, "id", "day", history.cents("price"), "loaded", F.hour("loaded"), 2)
+    assert sorted((r.id, r.valid_from, r.valid_to, r.payload) for r in got.collect()) == brute(data)
+
+
+def test_a_new_snapshot_is_one_more_run_and_a_lost_writer_leaves_none(spark, tmp_path):
+    store = history.RunStore(spark, str(tmp_path / "runs"), 2)
+    frame = lambda data: spark.createDataFrame(data, "entity string, time timestamp, loaded int, payload string")
+    t = [datetime.datetime(2025, 1, d) for d in range(1, 6)]
+    store.add(frame([("a", t[0], 1, "x"), ("b", t[0], 1, "p"), ("a", t[2], 1, "y")]))
+    store.add(frame([("a", t[1], None, "x"), ("b", t[0], 2, "q"), ("a", t[2], 0, "z"), ("a", t[4], 1, "y")]))
+    (tmp_path / "runs" / "lost").mkdir()
+    assert sorted(map(tuple, store.versions().collect()), key=str) == [("a", t[0], t[2], "x"), ("a", t[2], None, "y"), ("b", t[0], None, "q")]
+    store.add(frame([("a", t[3], 1, "w")]))
+    assert sorted(map(tuple, store.versions().where("entity = 'a'").collect()), key=str) == [("a", t[0], t[2], "x"), ("a", t[2], t[3], "y"), ("a", t[3], t[4], "w"), ("a", t[4], None, "y")]
+
+
 def test_returning_price_and_empty(spark):
     data = [(1, DAY + datetime.timedelta(k), p, None, "", 0) for k, p in enumerate([1.0, 1.004, 2.0, 1.0])]
     assert [v[3] for v in sorted(versions(spark.createDataFrame(data, SCHEMA)), key=lambda v: v[1])] == [100, 200, 100]
