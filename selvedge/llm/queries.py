@@ -81,8 +81,8 @@ def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
-    """The documents of the largest mix that meets every share, and how often each is used."""
-    return mixing.copies(mixing.sized_documents(table(spark, d, "documents")), table(spark, d, "mix_target"), "doc_id", "source", "n_tokens")
+    """The documents of the largest mix that meets every share, and how often each is used; text of many characters a token is likelier."""
+    return mixing.copies(mixing.sized_documents(table(spark, d, "documents")), table(spark, d, "mix_target"), "doc_id", "source", "n_tokens", weight=F.col("weight"))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
