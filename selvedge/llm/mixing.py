@@ -25,16 +25,16 @@ def _rounded(weight: Column) -> Column:
     return F.pow(F.lit(2.0), F.round(F.log2(weight) * STEPS) / STEPS)
 
 
-def expectation_scales(sized: DataFrame, plan: DataFrame) -> DataFrame:
+def expectation_scales(masses: DataFrame, plan: DataFrame) -> DataFrame:
     """source, _scale: the factor by which a source's weights become expected copies that fill its part.
 
-    sized: source, _size, _w; plan: source, max_repeats, _part. An expectation is min(max_repeats,
+    masses: source, _w, _mass (the size of all documents of that weight); plan: source, max_repeats, _part. An expectation is min(max_repeats,
     scale * weight); what documents at max_repeats cannot take goes to the others. Weights are
     clipped from the greatest down until the next one needs no clipping, which a window over
     the different weights of a source finds. The scale is null where even all documents at
     max_repeats don't fill more than the part.
     """
-    masses = sized.groupBy("source", "_w").agg(F.sum("_size").alias("_mass")).join(F.broadcast(plan.select("source", "max_repeats", "_part")), "source")
+    masses = masses.join(F.broadcast(plan.select("source", "max_repeats", "_part")), "source")
     down = Window.partitionBy("source").orderBy(F.desc("_w"))
     clipped = F.coalesce(F.sum("_mass").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     weighted = F.sum(F.col("_mass") * F.col("_w")).over(down.rowsBetween(0, Window.unboundedFollowing))
@@ -74,11 +74,12 @@ def copies(docs: DataFrame, target: DataFrame, key: str, source: str, size: str,
     goal = target.where(F.col("source").isNotNull() & (F.col("target_share") > 0)).groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").cast("double").alias("max_repeats"))
     w = (weight if weight is not None else F.lit(1.0)).cast("double")
     sized = docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), F.col(size).cast("double").alias("_size"), w.alias("_w")).where("source IS NOT NULL AND _size > 0 AND _w > 0 AND NOT isnan(_w)").withColumn("_w", _rounded(F.col("_w")))
-    have = sized.groupBy("source").agg(F.sum("_size").alias("_have"))
+    masses = checkpointed(sized.groupBy("source", "_w").agg(F.sum("_size").alias("_mass")))  # a few hundred rows a source
+    have = masses.groupBy("source").agg(F.sum("_mass").alias("_have"))
     plan = goal.join(have, "source", "left").withColumn("_cap", F.coalesce(F.col("_have"), F.lit(0.0)) * F.col("max_repeats"))
     whole = F.lit(float(total)) if total is not None else F.min(F.when(F.col("_cap") > 0, F.col("_cap") / F.col("target_share"))).over(Window.partitionBy())
     plan = plan.withColumn("_part", F.least("_cap", F.col("target_share") * whole)).select("source", "max_repeats", "_part")
-    plan = checkpointed(plan.join(expectation_scales(sized, plan), "source", "left"))  # a row per source, used four times
+    plan = checkpointed(plan.join(expectation_scales(masses, plan), "source", "left"))  # a row per source, used four times
 
     expect = F.coalesce(F.least(F.col("max_repeats"), F.col("_scale") * F.col("_w")), F.col("max_repeats"))
     drawn = sized.join(F.broadcast(plan), "source").withColumn("_expect", expect).withColumn("_sure", F.floor(F.col("_expect") + 1e-9)).withColumn("_p", F.greatest(F.lit(0.0), F.col("_expect") - F.col("_sure")))

@@ -56,7 +56,7 @@ def test_scales_against_brute_force(spark):
     total = sum(x for _, x, _ in sized)
     for share in (0.01, 0.3, 0.9, 1.7, 2.5, 3.0):
         plan = spark.createDataFrame([("s", 3.0, share * total)], "source string, max_repeats double, _part double")
-        found = mixing.expectation_scales(spark.createDataFrame(sized, "source string, _size double, _w double"), plan).collect()
+        found = mixing.expectation_scales(spark.createDataFrame(sized, "source string, _size double, _w double").groupBy("source", "_w").agg({"_size": "sum"}).toDF("source", "_w", "_mass"), plan).collect()
         scale = found[0][1] if found else float("inf")
         assert abs(sum(x * min(3.0, scale * w) for _, x, w in sized) - share * total) < 1e-6 * total
 
