@@ -10,19 +10,25 @@ best entry must be clearly better than the next. What is left means no entry.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import math
 import unicodedata
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most names and aliases a reference list may have: it is held by every task.
-MAX_NAMES = 1_000_000
+#: Most names and aliases a reference list may have: every Python worker holds one copy, measured at 0.65 GB for this many names of two words.
+MAX_NAMES = 200_000
+#: Letters of a word that its deletions are made of; what follows them is compared in full.
+PREFIX = 7
 #: Distinct values a task remembers.
 CACHE = 200_000
 
@@ -94,6 +100,43 @@ def deletions(s: str, most: int) -> set[str]:
     return found
 
 
+class Near:
+    """The words of a list that lie within `allowed` edits of a given one.
+
+    Two words within d edits have a common subsequence that both become by leaving out at most
+    d letters; the beginnings of the two words then share a string of that kind as well, so it
+    is enough to look up the deletions of the first PREFIX letters. They are held as two sorted
+    arrays (hash of the string, number of the word), 12 bytes a string. Every word found is
+    compared in full.
+    """
+
+    def __init__(self, found: Iterable[str]):
+        self.words = list(found)
+        self.longest = max(map(len, self.words), default=0) + 2
+        keys, ids = array("q"), array("i")
+        for i, w in enumerate(self.words):
+            for x in deletions(w[:PREFIX], allowed(len(w))):
+                keys.append(hash(x))
+                ids.append(i)
+        k = np.frombuffer(keys, np.int64) if keys else np.zeros(0, np.int64)
+        order = np.argsort(k, kind="stable")
+        self.keys, self.ids = k[order], (np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32))[order]
+
+    def __call__(self, word: str) -> Iterator[tuple[str, float]]:
+        """(word of the list, similarity)."""
+        if not self.words or len(word) > self.longest:
+            return
+        wanted = np.array([hash(x) for x in deletions(word[:PREFIX], min(2, allowed(len(word) + 1)))], np.int64)
+        low, high = np.searchsorted(self.keys, wanted, "left"), np.searchsorted(self.keys, wanted, "right")
+        seen = {int(i) for a, b in zip(low, high) if b > a for i in self.ids[a:b]}
+        for i in seen:
+            t = self.words[i]
+            most = min(allowed(len(t)), allowed(len(word) + 1))
+            d = distance(word, t, most)
+            if d <= most:
+                yield t, 1 - d / max(len(t), len(word))
+
+
 class Names:
     """A reference list: entries with their names and aliases."""
 
@@ -104,7 +147,7 @@ class Names:
         self.exact: dict[str, int] = {}
         self.compact: dict[str, int] = {}
         self.names: list[tuple[int, tuple[str, ...]]] = []
-        holders: dict[str, set[int]] = defaultdict(set)
+        holders: dict[str, list[int]] = defaultdict(list)
         for entry, names in sorted(entries, key=lambda x: x[0]):
             for name in names:
                 tokens = words(name or "")
@@ -114,7 +157,8 @@ class Names:
                     self.compact.setdefault("".join(core), entry)
                     self.names.append((entry, core))
                     for t in core:
-                        holders[t].add(entry)
+                        if entry not in holders[t][-1:]:  # entries come in order, so a repeat is the last one
+                            holders[t].append(entry)
         self.holders = dict(holders)
         n = len({e for e, _ in self.names}) or 1
         self.weight = {t: math.log(1 + n / len(h)) ** 2 for t, h in holders.items()}
@@ -127,16 +171,7 @@ class Names:
                 self.automaton.add_word(f" {name}s ", (len(name), entry))
         if self.names:
             self.automaton.make_automaton()
-        self.by_token: dict[str, set[str]] = defaultdict(set)
-        for t in holders:
-            for x in deletions(t, allowed(len(t))):
-                self.by_token[x].add(t)
-        self.by_compact: dict[str, set[str]] = defaultdict(set)
-        for t in self.compact:
-            for x in deletions(t, allowed(len(t))):
-                self.by_compact[x].add(t)
-        # a longer word is like none of the names, so its many spellings needn't be tried
-        self.longest = {id(self.by_token): max(map(len, holders), default=0) + 2, id(self.by_compact): max(map(len, self.compact), default=0) + 2}
+        self.near_token, self.near_compact = Near(holders), Near(self.compact)
         self.having: dict[str, list[int]] = defaultdict(list)
         for i, (_, core) in enumerate(self.names):
             for t in core:
@@ -165,19 +200,6 @@ class Names:
             at += len(t) + 1
         return sorted(out)
 
-    def _near(self, word: str, index: dict[str, set[str]]) -> Iterator[tuple[str, float]]:
-        if len(word) > self.longest[id(index)]:
-            return
-        seen = set()
-        for x in deletions(word, min(2, allowed(len(word) + 1))):
-            for t in index.get(x, ()):
-                if t not in seen:
-                    seen.add(t)
-                    most = min(allowed(len(t)), allowed(len(word) + 1))
-                    d = distance(word, t, most)
-                    if d <= most:
-                        yield t, 1 - d / max(len(t), len(word))
-
     def entry(self, value: str | None) -> int:
         """The entry that the value means, 0 for none. Null and blank values mean none."""
         if not value or not (raw := folded(value)).strip():
@@ -200,9 +222,9 @@ class Names:
         if joined in self.compact:
             return self.compact[joined]
         scores: dict[int, float] = defaultdict(float)
-        for name, sim in self._near(joined, self.by_compact):
+        for name, sim in self.near_compact(joined):
             scores[self.compact[name]] = max(scores[self.compact[name]], sim)
-        near = {t: ({t: 1.0} if t in self.weight else dict(self._near(t, self.by_token))) for t in core}
+        near = {t: ({t: 1.0} if t in self.weight else dict(self.near_token(t))) for t in core}
         touched = {i for t in core for hit in near[t] for i in self.having[hit]}
         for i in touched:
             entry, name = self.names[i]
@@ -234,42 +256,57 @@ def reference_names(reference: DataFrame, key: str, name: str, aliases: str | No
     return [(int(r[0]), [x for x in [r[1], *(r[2] or [])] if x]) for r in rows if r[0] is not None]
 
 
+#: The lists a Python worker has built, by what they were built from: tasks of one worker share them.
+_BUILT: dict[str, Names] = {}
+
+
+def built(entries: list[tuple[int, list[str]]]) -> Names:
+    """The list, built once per worker process; an older one goes when it is no longer the same."""
+    key = hashlib.sha256(repr(entries).encode()).hexdigest()
+    if key not in _BUILT:
+        if len(_BUILT) >= 4:
+            _BUILT.clear()
+        _BUILT[key] = Names(entries)
+    return _BUILT[key]
+
+
 def _mapper(lists: dict[str, list[tuple[int, list[str]]]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = {f: Names(entries) for f, entries in lists.items()}
+        names = {f: built(entries) for f, entries in lists.items()}
+        literal = {f: {n[0] for _, n in entries if n} for f, entries in lists.items()}
         known: dict[tuple[str, str], int] = {}
         for b in batches:
-            out: dict[str, list] = {n: [] for n in (*b.schema.names[: len(b.schema.names) - len(lists)], "field_name", "value", "ref_id")}
+            kept_names = b.schema.names[: len(b.schema.names) - len(lists)]
             for f in lists:
                 column = b[f].dictionary_encode()  # each distinct value of a batch is mapped once
                 values = column.dictionary.to_pylist()
-                ids = []
                 for v in values:
                     if (f, v) not in known:
                         if len(known) >= CACHE:
                             known.clear()
                         known[f, v] = names[f].entry(v)
-                    ids.append(known[f, v])
-                codes = column.indices.to_pylist()
-                kept = [i for i, c in enumerate(codes) if c is not None and values[c].strip()]
-                for n in b.schema.names[: len(b.schema.names) - len(lists)]:
-                    out[n] += b[n].take(pa.array(kept, pa.int64())).to_pylist()
-                out["field_name"] += [f] * len(kept)
-                out["value"] += [values[codes[i]] for i in kept]
-                out["ref_id"] += [ids[codes[i]] for i in kept]
-            yield pa.RecordBatch.from_arrays([pa.array(out[n], b.schema.field(n).type if n in b.schema.names else pa.string() if n != "ref_id" else pa.int64()) for n in out], names=list(out))
+                ids = pa.array([known.get((f, v)) if (f, v) in known else names[f].entry(v) for v in values], pa.int64())
+                said = pa.array([v in literal[f] for v in values], pa.bool_())
+                there = pa.array([bool(v.strip()) for v in values], pa.bool_())
+                codes = column.indices
+                rows = pc.indices_nonzero(pc.fill_null(there.take(codes), False))
+                at = codes.take(rows)
+                columns = [b[n].take(rows) for n in kept_names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([f] * len(rows), pa.string()), column.dictionary.take(at), ids.take(at), said.take(at)], names=[*kept_names, "field_name", "value", "ref_id", "is_literal"])
 
     return run
 
 
 def canonicalized(df: DataFrame, keep: list[str], lists: dict[str, list[tuple[int, list[str]]]]) -> DataFrame:
-    """keep, field_name, value, ref_id: one row per row and field of lists whose value is not null or blank.
+    """keep, field_name, value, ref_id, is_literal: one row per row and field of lists whose value is not null or blank.
 
-    ref_id is the entry meant, 0 if none is. A narrow pass without shuffle, so it makes no
-    difference how often a value occurs; a value that mentions two different entries means none.
+    ref_id is the entry meant, 0 if none is; is_literal tells whether the value is letter for
+    letter the first name of an entry. A narrow pass without shuffle, so it makes no difference
+    how often a value occurs; a value that mentions two different entries means none. Names of
+    an empty list match nothing.
     """
     rows = df.select(*keep, *lists)
-    return rows.mapInArrow(_mapper(lists), f"{rows.select(*keep).schema.simpleString()[7:-1]}, field_name: string, value: string, ref_id: bigint")
+    return rows.mapInArrow(_mapper(lists), f"{rows.select(*keep).schema.simpleString()[7:-1]}, field_name: string, value: string, ref_id: bigint, is_literal: boolean")
 
 
 def unmatched(mapped: DataFrame) -> DataFrame:

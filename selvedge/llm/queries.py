@@ -20,12 +20,7 @@ def _brands(spark: SparkSession, d: str) -> list[tuple[int, list[str]]]:
 def _mapped_products(spark: SparkSession, d: str) -> DataFrame:
     colors, brands = _colors(spark, d), _brands(spark, d)
     lists = {"color": colors, "internal_color": colors, "product_brand": brands}
-    exact = {f: {names[0] for _, names in entries} for f, entries in lists.items()}
-    mapped = canonical.canonicalized(table(spark, d, "active_products"), ["product_id"], lists)
-    literal = F.lit(False)
-    for f, names in exact.items():
-        literal = literal | ((F.col("field_name") == f) & F.col("value").isin(*names))
-    return mapped.where(~literal)
+    return canonical.canonicalized(table(spark, d, "active_products"), ["product_id"], lists).where("NOT is_literal")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -58,3 +58,36 @@ def test_very_long_values():
     assert names.entry("".join(letters[(i * i) % 26] for i in range(60_000))) == 0
     assert names.entry(" ".join(letters[i % 26] * 5 + letters[i // 26 % 26] for i in range(20_000))) == 0
     assert names.entry("black " * 50_000) == 1
+
+
+SIZE = """
+import random, resource
+from selvedge.llm import canonical
+rng = random.Random(1)
+word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(5, 11)))
+entries = [(i + 1, [f"{word()} {word()}".title()]) for i in range(canonical.MAX_NAMES)]
+names = canonical.Names(entries)
+found = [names.entry(n[:3] + n[4] + n[3] + n[5:]) == e for e, [n] in entries[::2000]]
+print(sum(found), len(found), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+
+
+def test_the_largest_list_fits_a_worker():
+    import os
+    import subprocess
+    import sys
+
+    out = subprocess.run([sys.executable, "-c", SIZE], capture_output=True, text=True, timeout=300, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), check=True).stdout.split()
+    assert out[0] == out[1] and int(out[2]) < 1500
+
+
+def test_near_words_against_brute_force():
+    import random
+
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(1, 12))) for _ in range(300)})
+    near = canonical.Near(words)
+    for _ in range(300):
+        w = "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 12)))
+        expected = {t for t in words if (most := min(canonical.allowed(len(t)), canonical.allowed(len(w) + 1))) >= canonical.distance(w, t, most)}
+        assert {t for t, _ in near(w)} == expected
