@@ -1,50 +1,64 @@
 """Personal information in free text, found by bootstrapped contextual extraction.
 
-Loose grammars propose candidates for each kind. A candidate has features (the words of a name,
-the digit mask of a number, the top-level domain of an address, ...) and stands in contexts
-(the tokens before and after it). Some features are seeds: words of the email addresses in the
-corpus for names, formats of public standards for numbers, a postcode for addresses. Features
-and context patterns form a graph over all documents, and scores pass from seeds to patterns,
-from patterns to other features, and on, for a few rounds:
+1. Candidates. Loose grammars propose spans of each kind, once, in one pass over the texts. A
+   candidate has features (the words of a name, the digit mask of a number, the top-level
+   domain of an address, ...) and stands in contexts: patterns of the tokens before and after it.
+2. Graph. Some features are seeds: words of the email addresses in the corpus for names, formats
+   of public standards and labels for numbers, a postcode or label for addresses. Features and
+   patterns form a graph over all documents, and scores pass from seeds to patterns, from
+   patterns to other features, and on, for a few rounds:
 
     score(pattern) = sum(n * score(feature)) / (sum(n) + SMOOTHING)
     score(feature) = the same over its patterns of one side, for the side that tells most; 1 for seeds
 
-Patterns that reach THRESHOLD then find the identifiers in every document, among them those no
-seed resembles. Town and street names that stand before a clear end are learnt alike, to know
-where an address ends that runs into the next sentence.
+3. Extraction. Candidates are joined with the patterns they stand in. A seed needs one pattern that
+   is not against it (SEED_THRESHOLD, or unknown), any other candidate one that is for it (THRESHOLD), so
+   identifiers are found that no seed resembles. Names in small letters beside a sure context,
+   and the ends of addresses that run into the next sentence, are looked for in a second, gated
+   pass, which knows fixed-size filters of the learnt words and contexts; what it proposes is
+   joined with the patterns like all else.
+
+Patterns, features and candidates stay in tables and meet by joins, so their number is not
+bounded. Only names of towns and streets and of persons in ideographs are held by tasks.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
+from selvedge.functions.skew import broadcast_if_small
 from selvedge.llm.canonical import folded
-from selvedge.session import checkpointed
+from selvedge.session import checkpointed, written
 
 KINDS = ("person", "email", "phone", "id_number", "address")
 ROUNDS = 4
 SMOOTHING = 2.0
 THRESHOLD = 0.55
-#: In words without capitals a context must be surer.
+#: In words without capitals, and on one token alone, a context must be surer.
 THRESHOLD_LOWER = 0.7
+#: A seed counts unless all its known contexts score less: a context seen once, with a seed, scores 1 / (1 + SMOOTHING).
+SEED_THRESHOLD = 0.3
 #: From this score on a feature lends its score to patterns.
 PROMOTED = 0.7
 PROMOTED_FORM = 0.55
-#: Bits of the filter of known words of names: a fixed size, whatever the corpus.
+#: Bits of a filter of learnt words or contexts: a fixed size, whatever the corpus.
 WORD_BITS = 1 << 22
-#: Most patterns, and most towns and streets, that a task holds. Beyond that the run is refused, not cut.
+#: Most names of towns, streets and persons in ideographs that a task holds. Beyond that the run is refused, not cut.
 MAX_LEARNT = 500_000
-#: Least occurrences of a pattern or name that is learnt.
+#: Least occurrences of a pattern that finds what is no seed.
 LEAST = 3
+#: Longer tokens and masks stand in patterns as a digest, which tells them apart as well.
+LONG = 48
 
 # Titles, which are no part of a name.
 TITLES = frozenset("mr mrs ms miss mx dr prof sir herr frau hr fr sr sra srta señor señora don doña mme mlle monsieur madame mademoiselle".split())
@@ -59,7 +73,10 @@ LABELS = {
     "id_number": "passport|passeport|pasaporte|reisepass|ssn|social security|national insurance|ni number|nino|tax id|taxpayer|tin|steuer-id|steuer-identifikationsnummer|steuernummer|ausweis|ausweisnummer|personalausweis|führerschein|sozialversicherungsnummer|driver(?:'s)? licen[cs]e|driving licen[cs]e|licen[cs]e|permis|sécurité sociale|carte d'identité|dni|d\\.n\\.i\\.|nif|n\\.i\\.f\\.|nie|seguridad social|identity card|id card|マイナンバー|個人番号|パスポート|旅券番号|免許証",
     "address": "address|adresse|anschrift|dirección|住所|ship(?: it)? to|deliver to|lieferung an|livrer (?:au|à)|enviar a",
 }
-_LABELLED = {k: regex.compile(rf"(?<![\p{{Latin}}])(?:{v})(?![\p{{Latin}}])[^\d\n]{{0,14}}$", regex.I) for k, v in LABELS.items()}
+#: Characters between a label and its number, and those back to which a label can begin: the longest, what follows it, and one before.
+AFTER_LABEL = 14
+_BACK = {k: max(map(len, v.split("|"))) + AFTER_LABEL + 1 for k, v in LABELS.items()}
+_LABELLED = {k: regex.compile(rf"(?<![\p{{Latin}}])(?:{v})(?![\p{{Latin}}])[^\d\n]{{0,{AFTER_LABEL}}}$", regex.I) for k, v in LABELS.items()}
 
 TOKEN = regex.compile(r"[\p{Latin}\p{M}][\p{Latin}\p{M}’']*|[\p{Han}々]+|\p{Hiragana}+|[\p{Katakana}ー]+|\p{L}+|\d+|[\n\r]+|[^\s\w]|_")
 _UP = r"\p{Lu}[\p{Latin}\p{M}'’]+"
@@ -73,7 +90,6 @@ def _name(word: str) -> regex.Pattern:
 
 
 NAME, NAME_LOWER = _name(_UP), _name(_LOW)
-HAN_NAME = regex.compile(r"[\p{Han}々]{2,5}[  　]?[\p{Han}々]{0,5}")
 EMAIL = regex.compile(r"(?<![\p{Latin}\d._+@＠-])[\p{Latin}\d][\p{Latin}\d._+'-]*(?:\s?[@＠]\s?|\s?[(\[{]\s?at\s?[)\]}]\s?)[\p{Latin}\d-]+(?:(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?|\sdot\s)[\p{Latin}\d-]+)+", regex.I)
 _DIG = r"[\d０-９]"
 _JOIN = r"(?:[ \u00a0.\-‐‑–－/]|[)）][ \u00a0.-]?|[ \u00a0]?[(（]|)"
@@ -95,6 +111,10 @@ SEP, TOWNS = regex.compile(_SEP), regex.compile(rf"{_TOWN}(?:\s{_TOWN}){{0,2}}")
 _END = regex.compile(r"\s*(?:$|[.!?:;,)<\n\r&]|\s\s)")
 
 
+def short(token: str) -> str:
+    return token if len(token) <= LONG else "#" + hashlib.blake2b(token.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
 class Text:
     """A text with its tokens, for contexts."""
 
@@ -102,26 +122,29 @@ class Text:
         spans = [m.span() for m in TOKEN.finditer(text)]
         self.text, self.starts, self.ends = text, [a for a, _ in spans], [b for _, b in spans]
         whole = [text[a:b] for a, b in spans]
-        self.tokens = ["0" if t[0].isdigit() else "¶" if t[0] in "\n\r" else t.casefold()[:24] for t in whole]
+        self.tokens = ["0" if t[0].isdigit() else "¶" if t[0] in "\n\r" else short(t.casefold()) for t in whole]
+        #: Digits in the text, to know which grammars can find anything.
+        self.digits = sum(b - a for a, b, t in zip(self.starts, self.ends, self.tokens) if t == "0")
 
-    def patterns(self, start: int, end: int) -> list[str]:
-        """Contexts of text[start:end], from the nearest token outwards on either side and across."""
+    def sides(self, start: int, end: int) -> tuple[list[str], list[str]]:
+        """The three tokens before text[start:end] and the three after it; a token that the span parts counts with its rest."""
         i, j = bisect_left(self.ends, start + 1), bisect_left(self.starts, end)
-        if i < len(self.starts) and self.starts[i] < start:  # a token that the span begins within
-            left = [*self.tokens[max(0, i - 2) : i], self.text[self.starts[i] : start].casefold()[-24:]]
+        if i < len(self.starts) and self.starts[i] < start:
+            left = [*self.tokens[max(0, i - 2) : i], short(self.text[self.starts[i] : start].casefold())]
         else:
             left = self.tokens[max(0, i - 3) : i]
-        left = ["^"] * (3 - len(left)) + left
         if j and self.ends[j - 1] > end:
-            right = [self.text[end : self.ends[j - 1]].casefold()[:24], *self.tokens[j : j + 2]]
+            right = [short(self.text[end : self.ends[j - 1]].casefold()), *self.tokens[j : j + 2]]
         else:
             right = self.tokens[j : j + 3]
-        right = right + ["$"] * (3 - len(right))
-        out = [f"L2 {left[1]} {left[2]}", f"L3 {' '.join(left)}", f"R2 {right[0]} {right[1]}", f"R3 {' '.join(right)}", f"X {left[2]} _ {right[0]}"]
+        return ["^"] * (3 - len(left)) + left, right + ["$"] * (3 - len(right))
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """Contexts of text[start:end], from the nearest token outwards on either side and across."""
+        left, right = self.sides(start, end)
+        out = [f"L2 {left[1]} {left[2]}", f"L3 {left[0]} {left[1]} {left[2]}", f"R2 {right[0]} {right[1]}", f"R3 {right[0]} {right[1]} {right[2]}", f"X {left[2]} _ {right[0]}"]
         if left[2][:1].isalpha():
             out.append(f"L1 {left[2]}")
-        if right[0] in ("様", "様です", "さん", "殿"):
-            out.append(f"R1 {right[0]}")
         return out
 
 
@@ -133,11 +156,11 @@ def mask(number: str) -> str:
     out = []
     for c in number:
         out.append("9" if c.isdigit() else "A" if c.isalpha() else "-" if c in "‐‑–－" else " " if c.isspace() else c)
-    return "".join(out)[:40]
+    return short("".join(out))
 
 
 def labelled(kind: str, text: str, at: int) -> bool:
-    return bool(_LABELLED[kind].search(text[max(0, at - 60) : at]))
+    return bool(_LABELLED[kind].search(text[max(0, at - _BACK[kind]) : at]))
 
 
 def _digits(s: str) -> int:
@@ -159,15 +182,18 @@ def name_words(span: str) -> list[str]:
     return _NAME_WORD.findall(folded(span))
 
 
-_HAN_RUN = regex.compile(r"[\p{Han}々]{1,6}(?:[  　][\p{Han}々]{1,6})?")
+_HAN_RUN = regex.compile(r"[\p{Han}々]+(?:[  　][\p{Han}々]+)?")
 _HAN_START = regex.compile(r"(?:^|[。．！？\n])\s*([\p{Han}]{2,4})(?=[\p{Hiragana}])")
+# Forms of address after a name, and what stands before one.
+HONORIFICS = ("様", "殿")
+_BEFORE_NAME = frozenset("はがの、。：:")
 
 
 def han_runs(t: Text) -> Iterator[tuple[int, int, str]]:
     """(start, end, run): runs of ideographs, over one blank, up to a form of address."""
     for m in _HAN_RUN.finditer(t.text):
         run = m[0]
-        if run.endswith("様") or run.endswith("殿"):
+        if run.endswith(HONORIFICS):
             run = run[:-1]
         if len(run) >= 2:
             yield m.start(), m.start() + len(run), run
@@ -189,6 +215,8 @@ _SMALL_WORD = regex.compile(r"(?i)(?:id|no|nr|is|es|le|at|on|of|to|in|al|am|by|i
 
 
 def phones(t: Text) -> Iterator[tuple[int, int, str]]:
+    if t.digits < 7:
+        return
     for m in NUMBER.finditer(t.text):
         s, e = m.span()
         if e - s < 7:
@@ -199,21 +227,28 @@ def phones(t: Text) -> Iterator[tuple[int, int, str]]:
         while span.rstrip()[-1:] in ")）" and t.text[s:e].count("(") + t.text[s:e].count("（") < t.text[s:e].count(")") + t.text[s:e].count("）"):
             e -= 1
             span = t.text[s:e]
-        if 7 <= _digits(t.text[s:e]) <= 20:
+        if _digits(t.text[s:e]) >= 7:
             yield s, e, mask(_EXTENSION.sub("", t.text[s:e])) + " label" * labelled("phone", t.text, s)
 
 
 def personal_numbers(t: Text) -> Iterator[tuple[int, int, str]]:
+    if t.digits < 6:
+        return
     for m in PERSONAL_NUMBER.finditer(t.text):
         s, e = m.span()
         if e - s < 6:
             continue
         if m := _SMALL_WORD.match(t.text[s:e]):
             s = m.end() + s
-        if 6 <= _digits(t.text[s:e]) <= 20:
+        if _digits(t.text[s:e]) >= 6:
             yield s, e, mask(t.text[s:e]) + " label" * labelled("id_number", t.text, s)
 
 
+# The tokens of which a text has one at least if the grammar of that language finds anything.
+_EN_CUES = frozenset("ave street st road rd lane ln avenue boulevard blvd court ct drive dr place pl square sq way close terrace crescent row walk parkway pkwy".split())
+_CUES = {"fr": frozenset("rue avenue av bd bld boulevard impasse place allée chemin quai cours route square".split()), "es": frozenset("calle c avda avenida av plaza pza paseo pº p camino ronda travesía".split())}
+
+
 def _prefix(words: str, known: set[str]) -> str | None:
     """The longest beginning of words that is known and not followed by a small letter."""
     best = None
@@ -225,8 +260,10 @@ def _prefix(words: str, known: set[str]) -> str | None:
 
 def addresses(t: Text, towns: set[str], streets: set[str]) -> Iterator[tuple[int, int, str, list[tuple[str, str]]]]:
     """(start, end, feature, learnt): spans, their form, and (kind, name) of what stands before a clear end."""
-    text = t.text
-    for m in EN.finditer(text):
+    text, seen = t.text, set(t.tokens)
+    if not t.digits:
+        return
+    for m in EN.finditer(text) if seen & _EN_CUES else ():
         if tail := EN_TAIL.match(text, m.end()):
             yield m.start(), tail.end(), "en zip", [("town", folded(tail[1]))]
             continue
@@ -237,7 +274,7 @@ def addresses(t: Text, towns: set[str], streets: set[str]) -> Iterator[tuple[int
                 end = sep.end() + len(town)
         yield m.start(), end, "en" + " label" * labelled("address", text, m.start()), []
     for lang, grammar in (("de", DE), ("es", ES), ("fr", FR)):
-        if lang == "de" and not _DE_GATE.search(text):
+        if not (_DE_GATE.search(text) if lang == "de" else seen & _CUES[lang]):
             continue
         for m in grammar.finditer(text):
             start, end, learnt = m.start(), m.end(), []
@@ -272,137 +309,223 @@ def addresses(t: Text, towns: set[str], streets: set[str]) -> Iterator[tuple[int
             yield start, end, feature + " label" * (feature == lang and labelled("address", text, start)), learnt
 
 
-def _proposals(text: str) -> Iterator[tuple[str, str, str]]:
-    """(kind, feature, pattern) of every candidate of a text, and what is learnt besides, without a pattern."""
+@dataclass
+class Found:
+    """A candidate. mode: `sure` for a seed, `learn` if it only teaches, else how it is judged (see _judged)."""
+
+    start: int
+    end: int
+    kind: str
+    mode: str
+    features: list[str]
+    patterns: list[str]
+
+
+def candidates_of(text: str) -> tuple[list[Found], list[tuple[str, str]]]:
+    """All candidates of a text, and the (kind, name)s that are learnt from it without a pattern."""
     t = Text(text)
+    out: list[Found] = []
+    learnt: list[tuple[str, str]] = []
     for s, e, domain in emails(t):
-        for p in t.patterns(s, e):
-            yield "email", domain, p
+        out.append(Found(s, e, "email", "sure" if domain in DOMAINS else "", [domain], t.patterns(s, e)))
         if domain in DOMAINS:
-            for w in regex.split(r"[^\p{L}]+", folded(regex.split(r"[@＠(\[{+]", text[s:e])[0])):
-                if len(w) >= 3:
-                    yield "mailword", w, ""
+            learnt += [("mailword", w) for w in regex.split(r"[^\p{L}]+", folded(regex.split(r"[@＠(\[{+]", text[s:e])[0])) if len(w) >= 3]
     for s, e in names(t, NAME):
-        ws, ps = name_words(text[s:e]), t.patterns(s, e)
-        for w in ws:
-            for p in ps:
-                yield "person", w, p
+        out.append(Found(s, e, "person", "learn" if _capitals(t, s, e) else "", name_words(text[s:e]), t.patterns(s, e)))
     for s, e, run in han_runs(t):
-        if text[e : e + 1] in ("様", "殿"):
+        if text[e : e + 1] in HONORIFICS:
             parts = regex.split(r"[  　]", run)
-            for w in parts if len(parts) > 1 else [run]:
-                yield ("han" if len(parts) > 1 else "hanfull"), w, ""
-    for m in _HAN_START.finditer(text):
-        yield "hanstart", m[1], ""
+            learnt += [("han", w) for w in parts] if len(parts) > 1 else [("hanfull", run)]
+            out.append(Found(s, e, "person", "honoured sure" if text[max(0, s - 1) : s] in _BEFORE_NAME else "honoured", [run], [f"R1 {text[e]}", *(p for p in t.patterns(s, e) if p[0] != "L")]))
+        elif text[max(0, s - 2) : s].strip()[-1:] in (":", "："):
+            out.append(Found(s, e, "person", "after colon", [], [p for p in t.patterns(s, e) if p[0] == "L"]))
+    learnt += [("hanstart", m[1]) for m in _HAN_START.finditer(text)]
     for kind, spans in (("phone", phones(t)), ("id_number", personal_numbers(t))):
         for s, e, f in spans:
-            for p in t.patterns(s, e):
-                yield kind, f, p
-                if f.endswith(" label"):  # the form as such has met a label as well
-                    yield kind, f.removesuffix(" label") + " shadow", p
-    for s, e, f, learnt in addresses(t, set(), set()):
-        for p in t.patterns(s, e):
-            yield "address", f, p
-        for kind, name in learnt:
-            yield kind, name, ""
-
-
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def flushed() -> pa.RecordBatch:
-        keys = list(counts)
-        out = pa.RecordBatch.from_arrays([pa.array([k[i] for k in keys], pa.string()) for i in range(3)] + [pa.array([counts[k] for k in keys], pa.int64())], names=["kind", "feature", "pattern", "n"])
-        counts.clear()
-        return out
+            form = f.removesuffix(" label")
+            known = form[:1] in "+＋" or form[:2] == "(+" if kind == "phone" else form in ID_SEEDS
+            # a labelled number's form as such (its shadow) has met the label's contexts as well
+            mode = "learn" if form == f and DATE.fullmatch(text[s:e]) else "sure" if form != f or known else ""
+            out.append(Found(s, e, kind, mode, [f, f"{form} shadow"] if form != f else [f], t.patterns(s, e)))
+    for s, e, f, names_ in addresses(t, set(), set()):
+        out.append(Found(s, e, "address", "learn", [f], t.patterns(s, e)))
+        learnt += names_
+    return out, learnt
+
+
+SPANS = "array<struct<start: int, end: int, kind: string, mode: string, piece: string, features: array<string>, patterns: array<string>>>"
+_SPAN = [("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("mode", pa.string()), ("piece", pa.string()), ("features", pa.list_(pa.string())), ("patterns", pa.list_(pa.string()))]
+
+
+def _lists(rows: list[list], kinds: list[tuple[str, pa.DataType]]) -> pa.Array:
+    """Lists of structs from lists of tuples."""
+    offsets, flat = [0], []
+    for r in rows:
+        flat += r
+        offsets.append(len(flat))
+    columns = [pa.array([x[i] for x in flat], kind) for i, (_, kind) in enumerate(kinds)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, names=[n for n, _ in kinds]))
+
+
+def _with(df: DataFrame, columns: list[str], more: str = "") -> StructType:
+    """The schema of some columns of df, whatever their names, and of more ones."""
+    return StructType([df.schema[c] for c in columns] + (list(_parse_datatype_string(more).fields) if more else []))
+
+
+def _tuple(f: Found, text: str) -> tuple:
+    return f.start, f.end, f.kind, f.mode, text[f.start : f.end], f.features, f.patterns
+
+
+def candidates(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """_row, _keep (a struct), _text, spans and learnt of every document, written once: all later steps read it."""
+    rows = documents.select(F.struct(*[F.col(f"`{k}`") for k in keep], F.lit(None).cast("string").alias("_none")).alias("_keep"), F.col(text).alias("_text")).withColumn("_row", F.monotonically_increasing_id())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans, learnt = [], []
+            for x in b["_text"].to_pylist():
+                found, names_ = candidates_of(x) if x else ([], [])
+                spans.append([_tuple(f, x) for f in found])
+                learnt.append(names_)
+            yield pa.RecordBatch.from_arrays([*b.columns, _lists(spans, _SPAN), _lists(learnt, [("kind", pa.string()), ("name", pa.string())])], names=["_keep", "_text", "_row", "spans", "learnt"])
 
-    for b in batches:
-        for text in b["text"].to_pylist():
-            if text:
-                counts.update(_proposals(text))
-                if len(counts) > 200_000:
-                    yield flushed()
-    if counts:
-        yield flushed()
+    return written(rows.mapInArrow(run, _with(rows, ["_keep", "_text", "_row"], f"spans {SPANS}, learnt array<struct<kind: string, name: string>>")))
 
 
-def scored_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def scored_graph(edges: DataFrame, mailwords: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(kind, pattern, score, n) and (kind, feature, score): the graph, scored for some rounds.
 
     edges: kind, feature, pattern, n, already summed, so a frequent pattern is as many rows as
-    it has features.
+    it has features. mailwords: feature. A round touches only edges of features that are known
+    and of patterns that have any score: those are joined by broadcast where they are few, else
+    by exchange. Patterns without score are left out; features have one, 0 if need be.
     """
-    mail = edges.where("kind = 'mailword'").groupBy("feature").agg(F.lit(1.0).alias("_mail"))
-    graph = edges.where(F.col("kind").isin(*KINDS)).join(mail.withColumn("kind", F.lit("person")), ["kind", "feature"], "left")
+    mail = mailwords.distinct().select(F.lit("person").alias("kind"), "feature", F.lit(True).alias("_mail"))
     seed = (
-        F.when(F.col("kind") == "person", F.coalesce("_mail", F.lit(0.0)) == 1.0)
+        F.when(F.col("kind") == "person", F.coalesce("_mail", F.lit(False)) | F.col("feature").endswith(" honoured sure"))
         .when(F.col("kind") == "email", F.col("feature").isin(*DOMAINS))
         .when(F.col("kind") == "phone", F.col("feature").rlike(r"^\(?[+＋]") | F.col("feature").endswith(" label"))
         .when(F.col("kind") == "id_number", F.col("feature").isin(*ID_SEEDS) | F.col("feature").endswith(" label"))
         .otherwise(F.col("feature").rlike(" (zip|label)$"))
     )
-    # a labelled number counts for the form as such too (its shadow), but once for its patterns
     form = F.regexp_replace("feature", " shadow$", "").alias("feature")
-    graph = checkpointed(graph.select("kind", form, "pattern", "n", seed.alias("seed"), F.col("feature").endswith(" shadow").alias("shadow")))
-    scores = graph.select("kind", "feature").distinct().withColumn("score", F.lit(0.0))
-    patterns = None
-    for _ in range(rounds):
-        sure = F.when(F.col("score") >= F.when(F.col("kind") == "person", PROMOTED).otherwise(PROMOTED_FORM), F.col("score")).otherwise(0.0)  # a half-known feature lends nothing, so errors don't creep
-        known = graph.where("NOT shadow").join(scores, ["kind", "feature"]).withColumn("score", F.when(F.col("seed"), 1.0).otherwise(sure))
-        patterns = known.groupBy("kind", "pattern").agg((F.sum(F.col("n") * F.col("score")) / (F.sum("n") + SMOOTHING)).alias("score"), F.sum("n").alias("n"))
-        patterns = checkpointed(patterns)
-        # of the sides of a context that one counts which tells most; every occurrence has one pattern of each
-        sides = graph.join(patterns.select("kind", "pattern", "score"), ["kind", "pattern"]).groupBy("kind", "feature", F.substring("pattern", 1, 2).alias("side"))
-        sides = sides.agg(F.sum(F.col("n") * F.col("score")).alias("mass"), F.sum("n").alias("n"))
-        scores = sides.groupBy("kind", "feature").agg((F.max("mass") / (F.max("n") + SMOOTHING)).alias("score"))
-    return patterns, graph.select("kind", "feature", "seed").distinct().join(scores, ["kind", "feature"]).select("kind", "feature", F.when(F.col("seed"), 1.0).otherwise(F.col("score")).alias("score"))
+    graph = edges.join(broadcast_if_small(mail), ["kind", "feature"], "left").select("kind", form, "pattern", "n", seed.alias("seed"), F.col("feature").endswith(" shadow").alias("shadow"))
+    graph = checkpointed(graph.withColumn("side", F.substring("pattern", 1, 2)))
+    counted = graph.where("NOT shadow")  # a labelled number counts once for its patterns
+    seeds = checkpointed(counted.where("seed").select("kind", "feature").distinct().withColumn("score", F.lit(1.0)))
+    # of the sides of a context that one counts which tells most; every occurrence has one pattern of each
+    met = checkpointed(graph.groupBy("kind", "feature", "side").agg(F.sum("n").alias("n")).groupBy("kind", "feature").agg(F.max("n").alias("n")))
+    known, patterns, scores = seeds, None, None
+    for i in range(rounds):
+        mass = counted.join(broadcast_if_small(known), ["kind", "feature"]).groupBy("kind", "pattern").agg(F.sum(F.col("n") * F.col("score")).alias("mass"))
+        mass = checkpointed(mass)
+        totals = counted.join(broadcast_if_small(mass.select("kind", "pattern")), ["kind", "pattern"], "left_semi").groupBy("kind", "pattern").agg(F.sum("n").alias("n"))
+        patterns = checkpointed(mass.join(totals, ["kind", "pattern"]).select("kind", "pattern", (F.col("mass") / (F.col("n") + SMOOTHING)).alias("score"), "n"))
+        sides = graph.join(broadcast_if_small(patterns.select("kind", "pattern", "score")), ["kind", "pattern"]).groupBy("kind", "feature", "side").agg(F.sum(F.col("n") * F.col("score")).alias("mass"))
+        best = sides.groupBy("kind", "feature").agg(F.max("mass").alias("mass"))
+        scores = checkpointed(met.join(best, ["kind", "feature"], "left").select("kind", "feature", F.coalesce(F.col("mass") / (F.col("n") + SMOOTHING), F.lit(0.0)).alias("score")))
+        # a half-known feature lends nothing, so errors don't creep
+        sure = scores.where(F.col("score") >= F.when(F.col("kind") == "person", PROMOTED).otherwise(PROMOTED_FORM))
+        known = seeds.unionByName(sure.join(broadcast_if_small(seeds.select("kind", "feature")), ["kind", "feature"], "left_anti")) if i + 1 < rounds else known
+    own = scores.join(broadcast_if_small(seeds.select("kind", "feature", F.lit(1.0).alias("_seed"))), ["kind", "feature"], "left")
+    return patterns, own.select("kind", "feature", F.coalesce("_seed", "score").alias("score"))
 
 
 def _bits(word: str) -> tuple[int, int]:
     return zlib.crc32(word.encode()) % WORD_BITS, zlib.crc32(word.encode(), 77) % WORD_BITS
 
 
-def _word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(sorted({x for w in b["feature"].to_pylist() for x in _bits(w)}), pa.int64())], names=["bit"])
-
-
-def learn(documents: DataFrame, text: str) -> dict:
-    """Patterns and names learnt from all documents, as a dictionary of bounded size."""
-    edges = documents.select(F.col(text).alias("text")).mapInArrow(_edges, "kind string, feature string, pattern string, n long")
-    edges = checkpointed(edges.groupBy("kind", "feature", "pattern").agg(F.sum("n").alias("n")))
-    patterns, features = scored_graph(edges)
-    good = patterns.where((F.col("score") >= THRESHOLD) & (F.col("n") >= LEAST)).select("kind", "pattern", "score").limit(MAX_LEARNT + 1).collect()
-    named = edges.where(F.col("kind").isin("town", "street", "han", "hanfull", "hanstart") & (F.col("n") >= F.when(F.col("kind").startswith("han"), 1).otherwise(2))).select("kind", "feature").limit(MAX_LEARNT + 1).collect()
-    if max(len(good), len(named)) > MAX_LEARNT:
-        raise ValueError(f"more than {MAX_LEARNT} patterns or names learnt")
-    bits = features.where((F.col("kind") == "person") & (F.col("score") >= PROMOTED)).select("feature").mapInArrow(_word_bits, "bit long").distinct().collect()  # WORD_BITS at most
-    words = bytearray(WORD_BITS // 8)
-    for (x,) in bits:
-        words[x >> 3] |= 1 << (x & 7)
-    masks = features.where(F.col("kind").isin("phone", "id_number") & ~F.col("feature").endswith(" label")).limit(MAX_LEARNT + 1).collect()
-    if len(masks) > MAX_LEARNT:
-        raise ValueError(f"more than {MAX_LEARNT} forms of numbers")
-    model: dict = {k: {} for k in KINDS} | {"words": zlib.compress(bytes(words)), "masks": {(k, f): x for k, f, x in masks}}
-    for kind, pattern, score in good:
-        if pattern[:2] not in ("L1", "X ") or score >= THRESHOLD_LOWER:
-            model[kind][pattern] = score
-    for kind in ("town", "street", "han", "hanfull", "hanstart"):
-        model[kind] = {f for k, f in named if k == kind}
-    return model
-
-
-def _han_end(run: str, model: dict) -> int:
-    """Characters of a run of ideographs that are a name: the longest known one, else up to a known start of a sentence."""
+def _filter(words: DataFrame) -> bytes:
+    """A filter of the texts in the one column of words, as compressed bits: each task makes one of fixed size, and they are united."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = 0
+        held = bytearray(WORD_BITS // 8)
+        for b in batches:
+            for w in b.column(0).to_pylist():
+                for x in _bits(w):
+                    held[x >> 3] |= 1 << (x & 7)
+                    bits += 1
+        if bits:
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(bytes(held))], pa.binary())], names=["bits"])
+
+    # a task's filter is half a megabyte at most; neighbours are united in eight tasks, so few come to the driver
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = 0
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                whole |= int.from_bytes(zlib.decompress(x), "little")
+        if whole:
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(whole.to_bytes(WORD_BITS // 8, "little"))], pa.binary())], names=["bits"])
+
+    whole = 0
+    for (x,) in words.mapInArrow(run, "bits binary").repartition(8).mapInArrow(united, "bits binary").collect():
+        whole |= int.from_bytes(zlib.decompress(x), "little")
+    return zlib.compress(whole.to_bytes(WORD_BITS // 8, "little"))
+
+
+class Filter:
+    """Whether a word may be among those a filter was made of; remembers what it was asked."""
+
+    def __init__(self, packed: bytes):
+        self.bits, self.known = zlib.decompress(packed), {}
+
+    def __contains__(self, word: str) -> bool:
+        hit = self.known.get(word)
+        if hit is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            hit = self.known[word] = all(self.bits[x >> 3] >> (x & 7) & 1 for x in _bits(word))
+        return hit
+
+
+@dataclass
+class Model:
+    """What was learnt: two tables of any size, and what tasks hold, of bounded size."""
+
+    patterns: DataFrame  # kind, pattern, score, n
+    features: DataFrame  # kind, feature, score
+    words: bytes  # filter of the words of names
+    contexts: bytes  # filter of sure contexts of names, and of their nearest tokens
+    held: dict[str, set[str]]  # town, street, han, hanfull, hanstart
+
+    def tasks(self) -> dict:
+        return {"words": self.words, "contexts": self.contexts, "held": self.held}
+
+
+def learn(found: DataFrame) -> Model:
+    """A model from all documents' candidates."""
+    spans = found.select(F.explode("spans").alias("s"))
+    # a name after a form of address teaches by itself; one in small letters, or one after a colon, teaches nothing
+    features = F.when(F.col("s.mode").startswith("honoured"), F.transform("s.features", lambda x: F.concat(x, F.lit(" "), F.col("s.mode")))).otherwise(F.col("s.features"))
+    edges = spans.select("s.kind", F.explode(features).alias("feature"), "s.patterns").select("kind", "feature", F.explode("patterns").alias("pattern"))
+    edges = checkpointed(edges.groupBy("kind", "feature", "pattern").agg(F.count(F.lit(1)).alias("n")))
+    names_ = checkpointed(found.select(F.explode("learnt").alias("x")).groupBy("x.kind", "x.name").agg(F.count(F.lit(1)).alias("n")))
+    patterns, features = scored_graph(edges, names_.where("kind = 'mailword'").select(F.col("name").alias("feature")))
+    named = names_.where(F.col("kind").startswith("han") | (F.col("kind").isin("town", "street") & (F.col("n") >= 2))).select("kind", "name").limit(MAX_LEARNT + 1).collect()
+    if len(named) > MAX_LEARNT:
+        raise ValueError(f"more than {MAX_LEARNT} names of places or persons learnt")
+    words = _filter(features.where(F.col("kind") == "person").where(F.col("score") >= PROMOTED).where(~F.col("feature").contains(" honoured")).select("feature"))
+    sure = patterns.where((F.col("kind") == "person") & (F.col("score") >= THRESHOLD_LOWER) & (F.col("n") >= LEAST)).select("pattern")
+    parts = F.split("pattern", " ")
+    # the token next to the name, before it or after it, tells cheaply where a context may be
+    near = F.when(F.col("pattern").startswith("R2"), F.concat(F.lit("after "), F.get(parts, F.lit(1)))).when(F.col("pattern").startswith("X"), F.concat(F.lit("before "), F.get(parts, F.lit(1)))).when(F.col("pattern").startswith("L"), F.concat(F.lit("before "), F.element_at(parts, -1)))
+    contexts = _filter(sure.select("pattern").unionByName(sure.select(near.alias("pattern")).where("pattern IS NOT NULL")))
+    return Model(patterns, features, words, contexts, {k: {r.name for r in named if r.kind == k} for k in ("town", "street", "han", "hanfull", "hanstart")})
+
+
+def _han_end(run: str, held: dict[str, set[str]]) -> int:
+    """Characters of a run of ideographs that are a name: the longest known one, else up to a known start of a sentence, else all."""
     flat = regex.sub(r"[  　]", "", run)
+    longest = max(max(map(len, held["hanfull"]), default=0), 2 * max(map(len, held["han"]), default=0))
     best = 0
-    for n in range(2, len(flat) + 1):
+    for n in range(2, min(len(flat), longest) + 1):
         head = flat[:n]
-        if head in model["hanfull"] or any(head[:k] in model["han"] and head[k:] in model["han"] for k in range(1, n)):
+        if head in held["hanfull"] or any(head[:k] in held["han"] and head[k:] in held["han"] for k in range(1, n)):
             best = n
     if not best:
-        cuts = [flat.find(w) for w in model["hanstart"] if flat.find(w) >= 2]
-        best = min(cuts, default=min(len(flat), 5))
+        cuts = [flat.find(w) for w in held["hanstart"] if flat.find(w) >= 2]
+        best = min(cuts, default=len(flat))
     kept = out = 0
     for c in run:
         if kept == best:
@@ -412,132 +535,162 @@ def _han_end(run: str, model: dict) -> int:
     return out
 
 
+_CAPITALS = regex.compile(r"[\p{Latin}]{2,}")
+
+
 def _capitals(t: Text, start: int, end: int) -> bool:
     """Whether text[start:end] is in capitals like the words around it, so that they tell nothing."""
     if t.text[start:end].upper() != t.text[start:end]:
         return False
-    near = regex.findall(r"[\p{Latin}]{2,}", t.text[max(0, start - 40) : start])[-1:] + regex.findall(r"[\p{Latin}]{2,}", t.text[end : end + 40])[:1]
-    return any(w.isupper() for w in near)
+    i, j = bisect_left(t.ends, start + 1) - 1, bisect_left(t.starts, end)
+    while i >= 0 and not _CAPITALS.search(t.text, t.starts[i], t.ends[i]):
+        i -= 1
+    while j < len(t.starts) and not _CAPITALS.search(t.text, t.starts[j], t.ends[j]):
+        j += 1
+    return (i >= 0 and t.text[t.starts[i] : t.ends[i]].isupper()) or (j < len(t.starts) and t.text[t.starts[j] : t.ends[j]].isupper())
 
 
-def _known(word: str, model: dict) -> bool:
-    if "bits" not in model:
-        model["bits"] = zlib.decompress(model["words"])
-    return all(model["bits"][x >> 3] >> (x & 7) & 1 for x in _bits(word))
+#: Tokens of the longest name in small letters: two double names, each of parts with hyphens between.
+NAME_TOKENS = 8
 
 
-def _beside_context(t: Text, model: dict) -> Iterator[tuple[int, int]]:
-    """Spans of the form of a name, whatever their case, beside a context that is sure."""
-    known = model["person"]
-    if "lefts" not in model:  # the left halves of two-sided patterns, to know where to look
-        model["lefts"] = {p.split(" ")[1] for p, x in known.items() if p[0] == "X" and x >= THRESHOLD_LOWER}
-    lefts, tokens = model["lefts"], t.tokens
-    a, b, c = "^", "^", "^"
+def _beside_context(t: Text, contexts: Filter) -> Iterator[tuple[int, int]]:
+    """Spans of the form of a name, whatever their case, beside a context that may be sure."""
+    tokens, before = t.tokens, "^"
     for i, (s, token) in enumerate(zip(t.starts, tokens)):
-        if token[0].isalpha() and token not in TITLES:
-            left = max(known.get(f"L3 {a} {b} {c}", 0.0), known.get(f"L2 {b} {c}", 0.0), known.get(f"L1 {c}", 0.0) if c[0].isalpha() else 0.0) >= THRESHOLD_LOWER
-            if (left or c in lefts) and (m := NAME_LOWER.match(t.text, s)):
-                if left or max((known.get(p, 0.0) for p in t.patterns(*m.span()) if p[0] == "X"), default=0.0) >= THRESHOLD_LOWER:
-                    yield m.span()
-        if i >= 2 and (i + 1 < len(tokens)) and known.get(f"R2 {token} {tokens[i + 1]}", 0.0) >= THRESHOLD_LOWER:
-            for j in range(max(0, i - 5), i - 1):
+        if f"before {before}" in contexts and token[0].isalpha() and token not in TITLES and (m := NAME_LOWER.match(t.text, s)):
+            yield m.span()
+        if i >= 2 and f"after {token}" in contexts and i + 1 < len(tokens) and f"R2 {token} {tokens[i + 1]}" in contexts:
+            for j in range(max(0, i - NAME_TOKENS), i - 1):
                 m = NAME_LOWER.match(t.text, t.starts[j]) if tokens[j] not in TITLES else None
                 if m and m.end() == t.ends[i - 1]:
                     yield m.span()
                     break
-        a, b, c = b, c, token
+        before = token
 
 
-def found(text: str, model: dict) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the personal information in a text, in order, without overlaps."""
-    t = Text(text)
-    hits: list[tuple[float, int, int, str]] = []
+_JUDGED_LOWER = ("L1 ", "L2 ", "L3 ", "X ", "R2 ")
 
-    def score(kind: str, s: int, e: int) -> float:
-        known = model[kind]
-        return max((known.get(p, 0.0) for p in t.patterns(s, e)), default=0.0)
 
-    for s, e, domain in emails(t):
-        if domain in DOMAINS or score("email", s, e) >= THRESHOLD:
-            hits.append((5.0, s, e, "email"))
-    for s, e, feature, _ in addresses(t, model["town"], model["street"]):
-        if feature.endswith((" zip", " label")) or score("address", s, e) >= THRESHOLD:
-            hits.append((4.0, s, e, "address"))
-    for kind, spans in (("phone", phones(t)), ("id_number", personal_numbers(t))):
-        for s, e, m in spans:
-            form = m.removesuffix(" label")
-            sure = form != m or (form[:1] in "+＋" or form[:2] == "(+" if kind == "phone" else form in ID_SEEDS)
-            if (x := max(score(kind, s, e), 0.95 * sure)) >= THRESHOLD and (form != m or not DATE.fullmatch(text[s:e])):
-                # of two kinds for one number, that counts whose form it has
-                hits.append((2.0 + x * (1.0 if sure else 0.5 + 0.5 * model["masks"].get((kind, form), 0.5)), s, e, kind))
-    cased = set()
-    for s, e in names(t, NAME):
-        if not _capitals(t, s, e):
-            cased.add(s)
-            if (x := score("person", s, e)) >= THRESHOLD:
-                hits.append((1.0 + x, s, e, "person"))
-    for s, e in _beside_context(t, model):
-        if s not in cased and (text[s].islower() or _capitals(t, s, e)) and any(_known(w, model) for w in name_words(text[s:e]) if len(w) > 2):
-            hits.append((1.0, s, e, "person"))
-    for s, e, run in han_runs(t):
-        if text[e : e + 1] in ("様", "殿"):
-            if any(p in model["person"] for p in t.patterns(s, e)) or text[max(0, s - 1) : s] in tuple("はがの、。：:"):
-                hits.append((1.9, s, e, "person"))
-        elif text[max(0, s - 2) : s].strip()[-1:] in (":", "：") and any(p in model["person"] for p in t.patterns(s, e) if p[0] == "L"):
-            hits.append((1.9, s, s + _han_end(run, model), "person"))
-    kept: list[tuple[int, int, str]] = []  # in order of their starts, without overlaps
-    for _, s, e, kind in sorted(hits, key=lambda h: (-h[0], h[1], h[1] - h[2])):
-        i = bisect_left(kept, (s, e, kind))
+def second_look(text: str, cased: set[int], has_address: bool, words: Filter, contexts: Filter, held: dict[str, set[str]]) -> list[Found]:
+    """Candidates that need what was learnt: addresses up to known towns and streets, and names in small letters."""
+    out, t = [], Text(text)
+    if has_address:
+        for s, e, f, _ in addresses(t, held["town"], held["street"]):
+            out.append(Found(s, e, "address", "sure" if f.endswith((" zip", " label")) else "", [f], t.patterns(s, e)))
+    seen = set()
+    for s, e in _beside_context(t, contexts):
+        if (s, e) not in seen and s not in cased and (text[s].islower() or _capitals(t, s, e)) and any(w in words for w in name_words(text[s:e]) if len(w) > 2):
+            seen.add((s, e))
+            if kept := [p for p in t.patterns(s, e) if p.startswith(_JUDGED_LOWER) and p in contexts]:
+                out.append(Found(s, e, "person", "lower", [], kept))
+    return out
+
+
+def second_looks(found: DataFrame, model: Model) -> DataFrame:
+    """_row, _keep and s, one candidate a row."""
+    known = model.tasks()
+    rows = found.where(F.length("_text") > 0).select("_row", "_keep", "_text", F.transform(F.filter("spans", lambda s: (s["kind"] == "person") & (s["mode"] == "")), lambda s: s["start"]).alias("cased"), F.exists("spans", lambda s: s["kind"] == "address").alias("address"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, contexts = Filter(known["words"]), Filter(known["contexts"])
+        for b in batches:
+            index, spans = [], []
+            for i, (x, cased, address) in enumerate(zip(b["_text"].to_pylist(), b["cased"].to_pylist(), b["address"].to_pylist())):
+                more = second_look(x, set(cased), address, words, contexts, known["held"])
+                index += [i] * len(more)
+                spans += [_tuple(f, x) for f in more]
+            at = pa.array(index, pa.int64())
+            s = pa.StructArray.from_arrays([pa.array([x[i] for x in spans], kind) for i, (_, kind) in enumerate(_SPAN)], names=[n for n, _ in _SPAN])
+            yield pa.RecordBatch.from_arrays([b["_row"].take(at), b["_keep"].take(at), s], names=["_row", "_keep", "s"])
+
+    return rows.mapInArrow(run, _with(rows, ["_row", "_keep"], f"s {SPANS[6:-1]}"))
+
+
+def _judged(model: Model, spans: DataFrame) -> DataFrame:
+    """spans (_row, _keep, s) that count, with their priority: joined with the patterns they stand in, and with the score of their form."""
+    # one token alone, or one on either side, must be surer
+    strict = F.when(F.substring("pattern", 1, 2).isin("L1", "X "), THRESHOLD_LOWER).otherwise(THRESHOLD)
+    good = (F.col("n") >= LEAST) & (F.col("score") >= strict)
+    every = model.patterns.select("kind", "pattern", F.col("score").alias("any_score"), F.when(good, F.col("score")).alias("good_score"))
+    used = spans.where("s.mode != 'learn'").select("_row", "_keep", "s.*").withColumn("form", F.regexp_replace(F.coalesce(F.get("features", F.lit(0)), F.lit("")), " label$", "")).drop("features")
+    met = used.withColumn("pattern", F.explode("patterns")).drop("patterns")
+    sure = F.col("mode").endswith("sure")
+    # what is no seed needs only the good patterns, which are few; a seed is held against all that have a score
+    parts = met.where(~sure).join(broadcast_if_small(checkpointed(every.where("good_score IS NOT NULL"))), ["kind", "pattern"])
+    parts = parts.unionByName(met.where(sure).join(broadcast_if_small(every), ["kind", "pattern"], "left"))
+    best = parts.groupBy("_row", "start", "end", "kind", "mode", "form").agg(F.max("good_score").alias("best"), F.max("any_score").alias("any"), F.first("piece").alias("piece"), F.first("_keep").alias("_keep"))
+    best = best.where(~sure | F.coalesce(F.col("any") >= SEED_THRESHOLD, F.lit(True)))
+    forms = checkpointed(model.features.where(F.col("kind").isin("phone", "id_number") & ~F.col("feature").endswith(" label")).select("kind", F.col("feature").alias("form"), F.col("score").alias("form_score")))
+    known = best.join(broadcast_if_small(forms), ["kind", "form"], "left")
+    x = F.greatest(F.coalesce("best", F.lit(0.0)), F.when(sure, 0.95).otherwise(0.0))
+    # of two kinds for one number, that counts whose form it has
+    number = 2.0 + x * F.when(sure, 1.0).otherwise(0.5 + 0.5 * F.coalesce("form_score", F.lit(0.5)))
+    least = F.when(F.col("mode") == "lower", THRESHOLD_LOWER).otherwise(THRESHOLD)
+    priority = F.when(F.col("kind") == "email", 5.0).when(F.col("kind") == "address", 4.0).when(F.col("kind").isin("phone", "id_number"), number).when(F.col("mode") == "lower", 1.0).when(F.col("mode") != "", 1.9).otherwise(1.0 + x)
+    return known.where(x >= least).select("_row", "_keep", "start", "end", "kind", "mode", "piece", priority.alias("priority"))
+
+
+def _without_overlaps(hits: list[dict], held: dict[str, set[str]]) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, piece) in order: of overlapping hits the one that ranks first stays."""
+    kept: list[tuple[int, int, str, str]] = []
+    for h in sorted(hits, key=lambda h: (-h["priority"], h["start"], h["start"] - h["end"])):
+        s, piece = h["start"], h["piece"]
+        if h["mode"] == "after colon":
+            piece = piece[: _han_end(piece, held)]
+        e = s + len(piece)
+        i = bisect_left(kept, (s, e, h["kind"], piece))
         if (not i or kept[i - 1][1] <= s) and (i == len(kept) or kept[i][0] >= e):
-            kept.insert(i, (s, e, kind))
+            kept.insert(i, (s, e, h["kind"], piece))
     return kept
 
 
-SPAN = "start int, end int, pii_kind string, pii_text string"
+def _found(found: DataFrame, model: Model) -> DataFrame:
+    """_row, _keep and the final spans, one document a row; documents without any are left out."""
+    spans = found.select("_row", "_keep", F.explode("spans").alias("s")).unionByName(second_looks(found, model))
+    hits = _judged(model, spans).groupBy("_row").agg(F.first("_keep").alias("_keep"), F.collect_list(F.struct("priority", "start", "end", "kind", "mode", "piece")).alias("hits"))
+    held = model.held
+    final = [("start", pa.int32()), ("end", pa.int32()), ("pii_kind", pa.string()), ("pii_text", pa.string())]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b["_row"], b["_keep"], _lists([_without_overlaps(h, held) for h in b["hits"].to_pylist()], final)], names=["_row", "_keep", "final"])
 
-def extract(documents: DataFrame, text: str, keep: list[str], model: dict | None = None) -> DataFrame:
+    return hits.mapInArrow(run, _with(hits, ["_row", "_keep"], "final array<struct<start: int, end: int, pii_kind: string, pii_text: string>>"))
+
+
+def extract(documents: DataFrame, text: str, keep: list[str], model: Model | None = None) -> DataFrame:
     """keep, start, end, pii_kind, pii_text: one row per piece, exactly as it stands in the text.
 
     model: from `learn`, by default learnt from these documents. Null and empty texts have no
     piece. Offsets count code points.
     """
-    model = model if model is not None else learn(documents, text)
-    rows = documents.select(*keep, F.col(text).alias("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            index, spans = [], []
-            for i, x in enumerate(b["_text"].to_pylist()):
-                for s, e, kind in found(x, model) if x else ():
-                    index.append(i)
-                    spans.append((s, e, kind, x[s:e]))
-            taken = [b[k].take(pa.array(index, pa.int64())) for k in keep]
-            types = [pa.int32(), pa.int32(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([*taken, *[pa.array([s[i] for s in spans], ty) for i, ty in enumerate(types)]], names=[*keep, "start", "end", "pii_kind", "pii_text"])
-
-    return rows.mapInArrow(run, f"{rows.select(*keep).schema.simpleString()[7:-1]}, {SPAN}")
+    found = candidates(documents, text, keep)
+    final = _found(found, model if model is not None else learn(found))
+    return final.select(*[F.col(f"_keep.`{k}`").alias(k) for k in keep], F.explode("final").alias("_f")).select(*[F.col(f"`{k}`") for k in keep], "_f.*")
 
 
-def redact(documents: DataFrame, text: str, keep: list[str], model: dict | None = None) -> DataFrame:
+def redact(documents: DataFrame, text: str, keep: list[str], model: Model | None = None) -> DataFrame:
     """keep and the text with each piece replaced by its kind, such as [PHONE]; all else stays as it is.
 
     Null stays null.
     """
-    model = model if model is not None else learn(documents, text)
-    rows = documents.select(*keep, F.col(text).alias("_text"))
+    found = candidates(documents, text, keep)
+    final = _found(found, model if model is not None else learn(found)).select("_row", "final")
+    rows = found.select("_row", "_keep", "_text").join(final, "_row", "left").drop("_row")
 
-    def replaced(x: str | None) -> str | None:
-        if not x:
+    def replaced(x: str | None, spans: list[dict] | None) -> str | None:
+        if not x or not spans:
             return x
         out, at = [], 0
-        for s, e, kind in found(x, model):
-            out += [x[at:s], f"[{kind.upper()}]"]
-            at = e
+        for h in spans:
+            out += [x[at : h["start"]], f"[{h['pii_kind'].upper()}]"]
+            at = h["end"]
         return "".join([*out, x[at:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*[b[k] for k in keep], pa.array([replaced(x) for x in b["_text"].to_pylist()], pa.string())], names=[*keep, text])
+            yield pa.RecordBatch.from_arrays([b["_keep"], pa.array([replaced(x, s) for x, s in zip(b["_text"].to_pylist(), b["final"].to_pylist())], pa.string())], names=["_keep", "_text"])
 
-    return rows.mapInArrow(run, f"{rows.select(*keep).schema.simpleString()[7:-1]}, {text} string")
+    done = rows.mapInArrow(run, _with(rows, ["_keep", "_text"]))
+    return done.select(*[F.col(f"_keep.`{k}`").alias(k) for k in keep], F.col("_text").alias(text))
