@@ -30,6 +30,16 @@ def broadcast_if_small(df: DataFrame, most: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if it has fewer: for steps that cost far more time than bytes.
+
+    Files of a few megabytes are one partition each, however much work their rows make. Tables
+    of more partitions than cores, so all large ones, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", one_in: int = 200, salts: int = 64) -> DataFrame:
     """big joined to small, which has at most one row per key (inner, left, left_semi or left_anti).
 
