@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from selvedge.functions.skew import broadcast_if_small
+from selvedge.functions.skew import broadcast_if_small, spread_for_cpu
 from selvedge.llm.canonical import folded
 from selvedge.session import checkpointed, written
 
@@ -73,6 +73,7 @@ LABELS = {
     "id_number": "passport|passeport|pasaporte|reisepass|ssn|social security|national insurance|ni number|nino|tax id|taxpayer|tin|steuer-id|steuer-identifikationsnummer|steuernummer|ausweis|ausweisnummer|personalausweis|führerschein|sozialversicherungsnummer|driver(?:'s)? licen[cs]e|driving licen[cs]e|licen[cs]e|permis|sécurité sociale|carte d'identité|dni|d\\.n\\.i\\.|nif|n\\.i\\.f\\.|nie|seguridad social|identity card|id card|マイナンバー|個人番号|パスポート|旅券番号|免許証",
     "address": "address|adresse|anschrift|dirección|住所|ship(?: it)? to|deliver to|lieferung an|livrer (?:au|à)|enviar a",
 }
+_HAN_LABELS = [w for v in LABELS.values() for w in v.split("|") if regex.fullmatch(r"\p{Han}+", w)]
 #: Characters between a label and its number, and those back to which a label can begin: the longest, what follows it, and one before.
 AFTER_LABEL = 14
 _BACK = {k: max(map(len, v.split("|"))) + AFTER_LABEL + 1 for k, v in LABELS.items()}
@@ -378,7 +379,8 @@ def _tuple(f: Found, text: str) -> tuple:
 
 def candidates(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """_row, _keep (a struct), _text, spans and learnt of every document, written once: all later steps read it."""
-    rows = documents.select(F.struct(*[F.col(f"`{k}`") for k in keep], F.lit(None).cast("string").alias("_none")).alias("_keep"), F.col(text).alias("_text")).withColumn("_row", F.monotonically_increasing_id())
+    rows = documents.select(F.struct(*[F.col(f"`{k}`") for k in keep], F.lit(None).cast("string").alias("_none")).alias("_keep"), F.col(text).alias("_text"))
+    rows = spread_for_cpu(rows).withColumn("_row", F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -410,58 +412,67 @@ def scored_graph(edges: DataFrame, mailwords: DataFrame, rounds: int = ROUNDS) -
     )
     form = F.regexp_replace("feature", " shadow$", "").alias("feature")
     graph = edges.join(broadcast_if_small(mail), ["kind", "feature"], "left").select("kind", form, "pattern", "n", seed.alias("seed"), F.col("feature").endswith(" shadow").alias("shadow"))
-    graph = checkpointed(graph.withColumn("side", F.substring("pattern", 1, 2)))
-    counted = graph.where("NOT shadow")  # a labelled number counts once for its patterns
+    graph = graph.withColumn("side", F.substring("pattern", 1, 2))
+    # totals stand on every edge, so a round needs no join to find them: of a pattern (a labelled
+    # number counts once), and of the side of a feature that has most
+    of_pattern = graph.where("NOT shadow").groupBy("kind", "pattern").agg(F.sum("n").alias("of_pattern"))
+    met = graph.groupBy("kind", "feature", "side").agg(F.sum("n").alias("n")).groupBy("kind", "feature").agg(F.max("n").alias("of_feature"))
+    graph = checkpointed(graph.join(of_pattern, ["kind", "pattern"], "left").join(met, ["kind", "feature"]))
+    counted = graph.where("NOT shadow")
     seeds = checkpointed(counted.where("seed").select("kind", "feature").distinct().withColumn("score", F.lit(1.0)))
-    # of the sides of a context that one counts which tells most; every occurrence has one pattern of each
-    met = checkpointed(graph.groupBy("kind", "feature", "side").agg(F.sum("n").alias("n")).groupBy("kind", "feature").agg(F.max("n").alias("n")))
+    own = broadcast_if_small(seeds.select("kind", "feature"))
     known, patterns, scores = seeds, None, None
-    for i in range(rounds):
-        mass = counted.join(broadcast_if_small(known), ["kind", "feature"]).groupBy("kind", "pattern").agg(F.sum(F.col("n") * F.col("score")).alias("mass"))
-        mass = checkpointed(mass)
-        totals = counted.join(broadcast_if_small(mass.select("kind", "pattern")), ["kind", "pattern"], "left_semi").groupBy("kind", "pattern").agg(F.sum("n").alias("n"))
-        patterns = checkpointed(mass.join(totals, ["kind", "pattern"]).select("kind", "pattern", (F.col("mass") / (F.col("n") + SMOOTHING)).alias("score"), "n"))
-        sides = graph.join(broadcast_if_small(patterns.select("kind", "pattern", "score")), ["kind", "pattern"]).groupBy("kind", "feature", "side").agg(F.sum(F.col("n") * F.col("score")).alias("mass"))
-        best = sides.groupBy("kind", "feature").agg(F.max("mass").alias("mass"))
-        scores = checkpointed(met.join(best, ["kind", "feature"], "left").select("kind", "feature", F.coalesce(F.col("mass") / (F.col("n") + SMOOTHING), F.lit(0.0)).alias("score")))
+    for _ in range(rounds):
+        mass = counted.join(broadcast_if_small(known), ["kind", "feature"]).groupBy("kind", "pattern").agg(F.sum(F.col("n") * F.col("score")).alias("mass"), F.first("of_pattern").alias("n"))
+        patterns = checkpointed(mass.select("kind", "pattern", (F.col("mass") / (F.col("n") + SMOOTHING)).alias("score"), "n"))
+        sides = graph.join(broadcast_if_small(patterns.select("kind", "pattern", "score")), ["kind", "pattern"]).groupBy("kind", "feature", "side").agg(F.sum(F.col("n") * F.col("score")).alias("mass"), F.first("of_feature").alias("n"))
+        # of the sides of a context that one counts which tells most; every occurrence has one pattern of each
+        best = sides.groupBy("kind", "feature").agg((F.max("mass") / (F.first("n") + SMOOTHING)).alias("score"))
+        scores = checkpointed(best)
         # a half-known feature lends nothing, so errors don't creep
         sure = scores.where(F.col("score") >= F.when(F.col("kind") == "person", PROMOTED).otherwise(PROMOTED_FORM))
-        known = seeds.unionByName(sure.join(broadcast_if_small(seeds.select("kind", "feature")), ["kind", "feature"], "left_anti")) if i + 1 < rounds else known
-    own = scores.join(broadcast_if_small(seeds.select("kind", "feature", F.lit(1.0).alias("_seed"))), ["kind", "feature"], "left")
-    return patterns, own.select("kind", "feature", F.coalesce("_seed", "score").alias("score"))
+        known = seeds.unionByName(sure.join(own, ["kind", "feature"], "left_anti"))
+    whole = graph.select("kind", "feature").distinct().join(broadcast_if_small(scores), ["kind", "feature"], "left")
+    whole = whole.join(broadcast_if_small(seeds.select("kind", "feature", F.lit(1.0).alias("_seed"))), ["kind", "feature"], "left")
+    return patterns, whole.select("kind", "feature", F.coalesce("_seed", "score", F.lit(0.0)).alias("score"))
 
 
 def _bits(word: str) -> tuple[int, int]:
     return zlib.crc32(word.encode()) % WORD_BITS, zlib.crc32(word.encode(), 77) % WORD_BITS
 
 
-def _filter(words: DataFrame) -> bytes:
-    """A filter of the texts in the one column of words, as compressed bits: each task makes one of fixed size, and they are united."""
+def _filters(words: DataFrame) -> dict[str, bytes]:
+    """A filter, as compressed bits, of the words of each name; words: name (a handful of different ones), word.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = 0
-        held = bytearray(WORD_BITS // 8)
-        for b in batches:
-            for w in b.column(0).to_pylist():
-                for x in _bits(w):
-                    held[x >> 3] |= 1 << (x & 7)
-                    bits += 1
-        if bits:
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(bytes(held))], pa.binary())], names=["bits"])
-
-    # a task's filter is half a megabyte at most; neighbours are united in eight tasks, so few come to the driver
-    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = 0
+    Each task makes filters of fixed size, eight tasks unite them, so few come to the driver.
+    """
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, bytearray] = {}
         for b in batches:
-            for x in b.column(0).to_pylist():
-                whole |= int.from_bytes(zlib.decompress(x), "little")
+            for name, word in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                bits = held.setdefault(name, bytearray(WORD_BITS // 8))
+                for x in _bits(word):
+                    bits[x >> 3] |= 1 << (x & 7)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([zlib.compress(bytes(x)) for x in held.values()], pa.binary())], names=["name", "bits"])
+
+    def united(rows: Iterator[tuple[str, bytes]]) -> dict[str, int]:
+        whole: dict[str, int] = {}
+        for name, x in rows:
+            whole[name] = whole.get(name, 0) | int.from_bytes(zlib.decompress(x), "little")
+        return whole
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = united((n, x) for b in batches for n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         if whole:
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(whole.to_bytes(WORD_BITS // 8, "little"))], pa.binary())], names=["bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(whole), pa.string()), pa.array([zlib.compress(x.to_bytes(WORD_BITS // 8, "little")) for x in whole.values()], pa.binary())], names=["name", "bits"])
+
+    parts = words.mapInArrow(made, "name string, bits binary").repartition(8).mapInArrow(few, "name string, bits binary").collect()
+    return {name: zlib.compress(x.to_bytes(WORD_BITS // 8, "little")) for name, x in united(map(tuple, parts)).items()}
+
 
-    whole = 0
-    for (x,) in words.mapInArrow(run, "bits binary").repartition(8).mapInArrow(united, "bits binary").collect():
-        whole |= int.from_bytes(zlib.decompress(x), "little")
-    return zlib.compress(whole.to_bytes(WORD_BITS // 8, "little"))
+EMPTY = zlib.compress(bytes(WORD_BITS // 8))
 
 
 class Filter:
@@ -505,17 +516,18 @@ def learn(found: DataFrame) -> Model:
     named = names_.where(F.col("kind").startswith("han") | (F.col("kind").isin("town", "street") & (F.col("n") >= 2))).select("kind", "name").limit(MAX_LEARNT + 1).collect()
     if len(named) > MAX_LEARNT:
         raise ValueError(f"more than {MAX_LEARNT} names of places or persons learnt")
-    words = _filter(features.where(F.col("kind") == "person").where(F.col("score") >= PROMOTED).where(~F.col("feature").contains(" honoured")).select("feature"))
     sure = patterns.where((F.col("kind") == "person") & (F.col("score") >= THRESHOLD_LOWER) & (F.col("n") >= LEAST)).select("pattern")
     parts = F.split("pattern", " ")
     # the token next to the name, before it or after it, tells cheaply where a context may be
     near = F.when(F.col("pattern").startswith("R2"), F.concat(F.lit("after "), F.get(parts, F.lit(1)))).when(F.col("pattern").startswith("X"), F.concat(F.lit("before "), F.get(parts, F.lit(1)))).when(F.col("pattern").startswith("L"), F.concat(F.lit("before "), F.element_at(parts, -1)))
-    contexts = _filter(sure.select("pattern").unionByName(sure.select(near.alias("pattern")).where("pattern IS NOT NULL")))
-    return Model(patterns, features, words, contexts, {k: {r.name for r in named if r.kind == k} for k in ("town", "street", "han", "hanfull", "hanstart")})
+    words = features.where("kind = 'person'").where(F.col("score") >= PROMOTED).where(~F.col("feature").contains(" honoured")).select(F.lit("words").alias("name"), F.col("feature").alias("word"))
+    contexts = sure.select(F.lit("contexts").alias("name"), F.explode(F.filter(F.array("pattern", near), lambda x: x.isNotNull())).alias("word"))
+    made = _filters(words.unionByName(contexts))
+    return Model(patterns, features, made.get("words", EMPTY), made.get("contexts", EMPTY), {k: {r.name for r in named if r.kind == k} for k in ("town", "street", "han", "hanfull", "hanstart")})
 
 
 def _han_end(run: str, held: dict[str, set[str]]) -> int:
-    """Characters of a run of ideographs that are a name: the longest known one, else up to a known start of a sentence, else all."""
+    """Characters of a run of ideographs that are a name: the longest known one, else up to a known start of a sentence or a label, else all."""
     flat = regex.sub(r"[  　]", "", run)
     longest = max(max(map(len, held["hanfull"]), default=0), 2 * max(map(len, held["han"]), default=0))
     best = 0
@@ -524,7 +536,7 @@ def _han_end(run: str, held: dict[str, set[str]]) -> int:
         if head in held["hanfull"] or any(head[:k] in held["han"] and head[k:] in held["han"] for k in range(1, n)):
             best = n
     if not best:
-        cuts = [flat.find(w) for w in held["hanstart"] if flat.find(w) >= 2]
+        cuts = [flat.find(w) for w in (*held["hanstart"], *_HAN_LABELS) if flat.find(w) >= 2]
         best = min(cuts, default=len(flat))
     kept = out = 0
     for c in run:
