@@ -41,9 +41,13 @@ WORDS = regex.compile(r"[^\W\d_]+|\d+")
 CAMEL = regex.compile(r"(?<=\p{Ll})(?=\p{Lu}\p{Ll})")
 
 
+_TWICE = regex.compile(r"[ÂÃâ][\u0080-¿€‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜™š›œžŸ]")
+_LATIN = regex.compile(r"\p{Latin}")
+
+
 def repaired(s: str) -> str:
     """Undoes one decoding of UTF-8 as Latin-1 or Windows-1252, where that is what happened."""
-    if regex.search(r"[ÂÃâ][\u0080-¿€‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜™š›œžŸ]", s):
+    if not s.isascii() and _TWICE.search(s):
         for codec in ("cp1252", "latin-1"):
             try:
                 return s.encode(codec).decode("utf-8")
@@ -54,9 +58,12 @@ def repaired(s: str) -> str:
 
 def folded(s: str) -> str:
     """One spelling of letters: no entities, invisible characters, accents, case or look-alikes."""
-    s = unicodedata.normalize("NFKC", repaired(html.unescape(s)))
+    s = html.unescape(s)
+    if s.isascii():  # nothing of what follows changes it but case, and the Latin letters' look-alikes are none
+        return s.casefold()
+    s = unicodedata.normalize("NFKC", repaired(s))
     s = "".join(c for c in s if unicodedata.category(c) != "Cf")
-    if regex.search(r"\p{Latin}", s):
+    if _LATIN.search(s):
         s = s.translate(LOOKALIKES)
     s = unicodedata.normalize("NFD", s.casefold())
     return unicodedata.normalize("NFC", "".join(c for c in s if unicodedata.category(c) != "Mn"))

@@ -29,6 +29,7 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -123,9 +124,9 @@ class Text:
         spans = [m.span() for m in TOKEN.finditer(text)]
         self.text, self.starts, self.ends = text, [a for a, _ in spans], [b for _, b in spans]
         whole = [text[a:b] for a, b in spans]
-        self.tokens = ["0" if t[0].isdigit() else "¶" if t[0] in "\n\r" else short(t.casefold()) for t in whole]
+        self.tokens = [("0" if t[0].isdigit() else "¶" if t[0] in "\n\r" else t.casefold()) if len(t) <= LONG else "0" if t[0].isdigit() else short(t.casefold()) for t in whole]
         #: Digits in the text, to know which grammars can find anything.
-        self.digits = sum(b - a for a, b, t in zip(self.starts, self.ends, self.tokens) if t == "0")
+        self.digits = sum(b - a for a, b, t in zip(self.starts, self.ends, self.tokens) if t == "0") if "0" in self.tokens else 0
 
     def sides(self, start: int, end: int) -> tuple[list[str], list[str]]:
         """The three tokens before text[start:end] and the three after it; a token that the span parts counts with its rest."""
@@ -179,6 +180,7 @@ def names(t: Text, pattern: regex.Pattern) -> Iterator[tuple[int, int]]:
 _NAME_WORD = regex.compile(r"[\p{Latin}\p{M}]{2,}")
 
 
+@lru_cache(1 << 16)
 def name_words(span: str) -> list[str]:
     return _NAME_WORD.findall(folded(span))
 
@@ -204,11 +206,14 @@ _AT = regex.compile(r"[@＠]|[(\[{]\s?at\s?[)\]}]", regex.I)
 _DE_GATE = regex.compile(r"(?:straße|strasse|str\.|weg|allee|platz|gasse|ring|damm|ufer)\s\d", regex.I)
 
 
+_NO_WORD, _NO_LETTER, _MAIL_PART = regex.compile(r"[^\p{L}\d]+"), regex.compile(r"[^\p{L}]+"), regex.compile(r"[@＠(\[{+]")
+
+
 def emails(t: Text) -> Iterator[tuple[int, int, str]]:
     if not _AT.search(t.text):
         return
     for m in EMAIL.finditer(t.text):
-        yield m.start(), m.end(), regex.split(r"[^\p{L}\d]+", m[0].casefold())[-1]
+        yield m.start(), m.end(), _NO_WORD.split(m[0].casefold())[-1]
 
 
 _EXTENSION = regex.compile(r"(?i),?\s?(?:ext\.?|extension|x|durchwahl|dw\.?|poste|int\.?|内線)\s?\d+$")
@@ -330,7 +335,7 @@ def candidates_of(text: str) -> tuple[list[Found], list[tuple[str, str]]]:
     for s, e, domain in emails(t):
         out.append(Found(s, e, "email", "sure" if domain in DOMAINS else "", [domain], t.patterns(s, e)))
         if domain in DOMAINS:
-            learnt += [("mailword", w) for w in regex.split(r"[^\p{L}]+", folded(regex.split(r"[@＠(\[{+]", text[s:e])[0])) if len(w) >= 3]
+            learnt += [("mailword", w) for w in _NO_LETTER.split(folded(_MAIL_PART.split(text[s:e])[0])) if len(w) >= 3]
     for s, e in names(t, NAME):
         out.append(Found(s, e, "person", "learn" if _capitals(t, s, e) else "", name_words(text[s:e]), t.patterns(s, e)))
     for s, e, run in han_runs(t):
@@ -479,7 +484,16 @@ class Filter:
     """Whether a word may be among those a filter was made of; remembers what it was asked."""
 
     def __init__(self, packed: bytes):
-        self.bits, self.known = zlib.decompress(packed), {}
+        self.bits, self.known, self.sides = zlib.decompress(packed), {}, {}
+
+    def near(self, token: str) -> int:
+        """1 if the token may stand right before a name in a sure context, 2 if right after, 3 for both."""
+        hit = self.sides.get(token)
+        if hit is None:
+            if len(self.sides) > 200_000:
+                self.sides.clear()
+            hit = self.sides[token] = (f"before {token}" in self) + 2 * (f"after {token}" in self)
+        return hit
 
     def __contains__(self, word: str) -> bool:
         hit = self.known.get(word)
@@ -568,17 +582,19 @@ NAME_TOKENS = 8
 
 def _beside_context(t: Text, contexts: Filter) -> Iterator[tuple[int, int]]:
     """Spans of the form of a name, whatever their case, beside a context that may be sure."""
-    tokens, before = t.tokens, "^"
-    for i, (s, token) in enumerate(zip(t.starts, tokens)):
-        if f"before {before}" in contexts and token[0].isalpha() and token not in TITLES and (m := NAME_LOWER.match(t.text, s)):
+    tokens = t.tokens
+    sides = list(map(contexts.near, tokens))
+    before = contexts.near("^")
+    for i, (s, token, side) in enumerate(zip(t.starts, tokens, sides)):
+        if before & 1 and token[0].isalpha() and token not in TITLES and (m := NAME_LOWER.match(t.text, s)):
             yield m.span()
-        if i >= 2 and f"after {token}" in contexts and i + 1 < len(tokens) and f"R2 {token} {tokens[i + 1]}" in contexts:
+        if side & 2 and i >= 2 and i + 1 < len(tokens) and f"R2 {token} {tokens[i + 1]}" in contexts:
             for j in range(max(0, i - NAME_TOKENS), i - 1):
                 m = NAME_LOWER.match(t.text, t.starts[j]) if tokens[j] not in TITLES else None
                 if m and m.end() == t.ends[i - 1]:
                     yield m.span()
                     break
-        before = token
+        before = side
 
 
 _JUDGED_LOWER = ("L1 ", "L2 ", "L3 ", "X ", "R2 ")
@@ -659,7 +675,8 @@ def _without_overlaps(hits: list[dict], held: dict[str, set[str]]) -> list[tuple
 
 def _found(found: DataFrame, model: Model) -> DataFrame:
     """_row, _keep and the final spans, one document a row; documents without any are left out."""
-    spans = found.select("_row", "_keep", F.explode("spans").alias("s")).unionByName(second_looks(found, model))
+    # written, because what is judged below is read once as seeds and once as the rest
+    spans = found.select("_row", "_keep", F.explode("spans").alias("s")).unionByName(written(second_looks(found, model)))
     hits = _judged(model, spans).groupBy("_row").agg(F.first("_keep").alias("_keep"), F.collect_list(F.struct("priority", "start", "end", "kind", "mode", "piece")).alias("hits"))
     held = model.held
     final = [("start", pa.int32()), ("end", pa.int32()), ("pii_kind", pa.string()), ("pii_text", pa.string())]
