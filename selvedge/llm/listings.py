@@ -5,19 +5,22 @@
 2. Rare text. What is left of the words after the facts and the words that many brands share
    (marketing, care, layout) names the model.
 3. Blocks. Listings that agree in facts and rare text are one representative. Representatives
-   meet in blocks on rare tokens; a token goes in with each of its letters left out once, so one
-   misspelt letter keeps the block. The facts are part of the block: numbers or variants that
-   conflict veto a pair before it is made.
+   meet in blocks on pieces of their rare tokens (see `pieces`), so that a misspelt letter
+   anywhere keeps one block, and other models with like syllables are met as well.
 4. Cosine. A pair is confirmed by the cosine of the character trigrams of its rare texts,
    weighted by inverse frequency over all representatives.
-5. Clusters. Confirmed pairs are joined to connected components, members follow their
+5. Veto. Numbers or variants that conflict part a pair; what one side doesn't say conflicts with
+   nothing, if just one group fits.
+6. Clusters. Confirmed pairs are joined to connected components, members follow their
    representative.
 """
 
 from __future__ import annotations
 
 import html
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from selvedge.functions.components import connected_components
-from selvedge.functions.skew import hot_keys
-from selvedge.llm.canonical import Names, folded
+from selvedge.functions.skew import broadcast_if_small, hot_keys, join_spread, spread_for_cpu
+from selvedge.llm.canonical import Names, built, folded
 from selvedge.session import checkpointed
 
 # Words for one kind of article, one material.
@@ -53,17 +56,16 @@ STEPS = {"length": 0.5, "volume": 0.5, "weight": 5.0}
 _UNIT = {u: (what, f) for what, us in UNITS.items() for u, f in us.items()}
 _MEASURE = regex.compile(rf"(?<![\w.,])(\d+(?:[.,]\d+)?)\s*({'|'.join(sorted(map(regex.escape, _UNIT), key=len, reverse=True))})(?!\w)", regex.I)
 _PIECES = regex.compile(r"\b(?:pack|set) of (\d+)\b|(?<![\w.,])(\d+)\s?(?:-|er)?[ -]?(?:pack|pcs|pieces|pairs)\b|\bx\s?(\d+)\b|(?<![\w.,])(\d+)\s?x\b", regex.I)
-_MARKUP = regex.compile(r"<[^>]{0,200}>")
-_INSIDE = regex.compile(r"(?<=\p{L})[·•\-‐‑­​⁠](?=\p{L})")
+_MARKUP = regex.compile(r"<[/!?\p{L}][^<>]*>")
+_INSIDE = regex.compile(r"(\p{L}+)([·•\-‐‑­​⁠])(?=\p{L})")
 _WORD = regex.compile(r"\p{L}+|\d+")
 
-#: A word that occurs with this many brands and in this share of all contexts names no model.
-MANY_BRANDS, COMMON_SHARE = 3, 0.002
-#: Letters of the shortest rare token that blocks.
-SHORTEST = 3
-GRAM_BUCKETS = 1 << 16
-MAX_BROADCAST_WORDS = 500_000
-#: Pairs that meet agree in all facts and nearly in spelling, so little more is asked; a swap of two letters costs three of some nine trigrams a side.
+#: A word that occurs with this many brands, and with this share of all brands, names no model.
+MANY_BRANDS, COMMON_SHARE = 3, 0.05
+#: Trigrams of Latin letters have a number each; those of other letters share this many more.
+LETTERS = "^$abcdefghijklmnopqrstuvwxyz"
+GRAM_BUCKETS = len(LETTERS) ** 3 + (1 << 18)
+#: Set by a sweep (see README): one swap of letters costs three of some nine trigrams a side.
 LEAST_COSINE = 0.25
 
 
@@ -78,9 +80,8 @@ def measure(text: str) -> str | None:
 
 
 def _joined(m: regex.Match) -> str:
-    """What a sign inside a word is replaced by: nothing, but a blank for a hyphen after a short part, as in T-shirt."""
-    before = regex.search(r"\p{L}+$", m.string[max(0, m.start() - 24) : m.start()])
-    return " " if m[0] in "-‐‑" and before and len(before[0]) <= 3 else ""
+    """A word with the sign inside it replaced: by nothing, but by a blank for a hyphen after a short part, as in T-shirt."""
+    return f"{m[1]} " if m[2] in "-‐‑" and len(m[1]) <= 3 else m[1]
 
 
 class _Phrases:
@@ -89,10 +90,14 @@ class _Phrases:
     def __init__(self, lexicon: dict[str, tuple[str, ...]]):
         self.names = {tuple(p.split()): k for k, ps in lexicon.items() for p in ps}
         self.longest = max(map(len, self.names))
+        self.firsts = {p[0] for p in self.names}
 
     def find(self, words: list[str]) -> list[tuple[int, int, str]]:
         out, i = [], 0
         while i < len(words):
+            if words[i] not in self.firsts:
+                i += 1
+                continue
             for n in range(min(self.longest, len(words) - i), 0, -1):
                 if (k := self.names.get(tuple(words[i : i + n]))) is not None:
                     out.append((i, n, k))
@@ -111,7 +116,7 @@ class Reader:
     """Facts and candidate words of listings."""
 
     def __init__(self, brands, colors):
-        self.brands, self.colors = Names(brands), Names(colors)
+        self.brands, self.colors = (x if isinstance(x, Names) else Names(x) for x in (brands, colors))
         self.kinds, self.materials = _Phrases(KINDS), _Phrases(MATERIALS)
 
     def read(self, name: str | None, description: str | None, brand: str | None, colors: list[str | None]):
@@ -164,11 +169,11 @@ def facts(listings: DataFrame, keep: list[str], brands, colors) -> DataFrame:
     text gives is null; null and empty texts give no word.
     """
     fields = ["product_name", "product_description", "product_brand", "color", "internal_color"]
-    rows = listings.select(*keep, *[F.col(f).alias(f"_{f}") for f in fields])
+    rows = spread_for_cpu(listings.select(*keep, *[F.col(f).alias(f"_{f}") for f in fields]))
     kept = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(brands, colors)
+        reader = Reader(built(brands), built(colors))
         types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())]))]
         for b in batches:
             got = [reader.read(n, d, br, [c, i]) for n, d, br, c, i in zip(*[b[kept + i].to_pylist() for i in range(5)])]
@@ -182,39 +187,50 @@ FIELDS = ["brand", "kind", "material", "color", "measure"]
 
 
 def rare_texts(read: DataFrame, key: str) -> DataFrame:
-    """key and models: the rare words of each listing, neighbours written together, distinct and sorted.
+    """key and models: the rare words of each listing, neighbours written together, distinct and sorted; one row per key with any.
 
-    A context is a brand, kind and colour that occur together. A word is common if it occurs
-    with MANY_BRANDS brands or more and in COMMON_SHARE of all contexts or more: copies of one
-    listing, however many, are one context, so they make no word common.
+    A word is common if it occurs with MANY_BRANDS brands or more and with COMMON_SHARE of all
+    brands or more: copies of one listing, however many, make no word common, nor does the size
+    of the table.
     """
-    context = ["brand", "kind", "color"]
-    total = read.where("brand IS NOT NULL").select(*context).distinct().count()
-    words = read.select(key, *context, F.explode("words").alias("_w")).select(key, *context, F.col("_w.at").alias("at"), F.col("_w.word").alias("word"))
-    spread = words.where("brand IS NOT NULL").groupBy("word", *context).agg(F.lit(1)).groupBy("word", "brand").agg(F.count(F.lit(1)).alias("n"))
-    spread = spread.groupBy("word").agg(F.count(F.lit(1)).alias("brands"), F.sum("n").alias("contexts"))
-    common = spread.where((F.col("brands") >= MANY_BRANDS) & (F.col("contexts") >= COMMON_SHARE * total)).select("word")
-    common = checkpointed(common)
-    few = common.limit(MAX_BROADCAST_WORDS + 1).count() <= MAX_BROADCAST_WORDS  # else the words are joined by exchange
-    rare = words.join(F.broadcast(common) if few else common, "word", "left_anti").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("_rare"))
+    brands = read.agg(F.countDistinct("brand")).first()[0] or 0
+    words = read.select(key, "brand", F.explode("words").alias("_w")).select(key, "brand", F.col("_w.at").alias("at"), F.col("_w.word").alias("word"))
+    spread = words.where("brand IS NOT NULL").select("word", "brand").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("brands"))
+    common = checkpointed(spread.where(F.col("brands") >= max(MANY_BRANDS, COMMON_SHARE * brands)).select("word"))
+    rare = words.join(broadcast_if_small(common), "word", "left_anti").groupBy(key).agg(F.array_sort(F.collect_set(F.struct("at", "word"))).alias("_rare"))
     start = F.struct(F.lit(-9).alias("at"), F.array().cast("array<string>").alias("runs"))
+
     def step(acc: Column, x: Column) -> Column:
         glued = F.concat(F.slice(acc["runs"], F.lit(1), F.size(acc["runs"]) - 1), F.array(F.concat(F.element_at(acc["runs"], -1), x["word"])))
         return F.struct(x["at"].alias("at"), F.when((x["at"] == acc["at"] + 1) & (F.size(acc["runs"]) > 0), glued).otherwise(F.concat(acc["runs"], F.array(x["word"]))).alias("runs"))
+
     runs = F.aggregate("_rare", start, step, lambda acc: acc["runs"])
-    return rare.select(key, F.array_sort(F.array_distinct(F.filter(runs, lambda x: F.length(x) >= SHORTEST))).alias("models")).where(F.size("models") > 0)
+    return rare.select(key, F.array_sort(F.array_distinct(runs)).alias("models")).where(F.size("models") > 0)
+
 
+def pieces(token: Column) -> Column:
+    """What a rare token is met by: its first three letters, its last three, and its first two with its last two.
 
-def _deletions(token: Column) -> Column:
-    """The token and the token with each of its letters left out once."""
-    return F.array_union(F.array(token), F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: F.concat(F.substring(token, F.lit(1), i - 1), F.substring(token, i + 1, F.length(token)))))
+    One misspelt, missing, added or swapped letter leaves at least one of them as it is, in
+    tokens of six letters or more; shorter ones are met with each letter left out once as well.
+    """
+    n = F.length(token)
+    ends = F.array(F.concat(F.lit("<"), F.substring(token, 1, 3)), F.concat(F.lit(">"), F.substring(token, n - 2, F.lit(3))), F.concat(F.lit("="), F.substring(token, 1, 2), F.substring(token, n - 1, F.lit(2))))
+    less = F.array_union(F.array(token), F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(token, F.lit(1), i - 1), F.substring(token, i + 1, n))))
+    return F.array_distinct(F.when(n >= 6, ends).when(n <= 2, F.array(token)).otherwise(F.array_union(ends, less)))
 
 
-def _grams(text: str) -> list[int]:
-    import zlib
+_NUMBER = {c: i for i, c in enumerate(LETTERS)}
+
 
-    t = f"^{text}$"
-    return [zlib.crc32(t[i : i + 3].encode()) % GRAM_BUCKETS for i in range(len(t) - 2)]
+def _grams(text: str) -> list[int]:
+    """Numbers of the trigrams of a text: one each for Latin letters, a hash for others."""
+    t, n = f"^{text}$", len(LETTERS)
+    try:
+        x = [_NUMBER[c] for c in t]
+        return [(x[i] * n + x[i + 1]) * n + x[i + 2] for i in range(len(x) - 2)]
+    except KeyError:
+        return [n**3 + zlib.crc32(t[i : i + 3].encode()) % (GRAM_BUCKETS - n**3) for i in range(len(t) - 2)]
 
 
 def _cosine(idf: np.ndarray):
@@ -234,6 +250,9 @@ def _cosine(idf: np.ndarray):
                 for x in xs:
                     u = memo.get(x) or memo.setdefault(x, vector(x))
                     for y in ys:
+                        if x == y:
+                            best = 1.0
+                            break
                         w = memo.get(y) or memo.setdefault(y, vector(y))
                         best = max(best, sum(p * w[g] for g, p in u.items() if g in w))
                 out.append(best)
@@ -243,7 +262,7 @@ def _cosine(idf: np.ndarray):
 
 
 def gram_weights(models: DataFrame) -> np.ndarray:
-    """Inverse frequency of trigram buckets over all representatives: GRAM_BUCKETS numbers, whatever the corpus."""
+    """Inverse frequency of trigrams over all representatives: GRAM_BUCKETS numbers, whatever the corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(GRAM_BUCKETS, np.int64)
@@ -261,47 +280,63 @@ def gram_weights(models: DataFrame) -> np.ndarray:
     return idf
 
 
+def _representatives(member: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
+    """(member with rep, one row per rep): listings with the same text share a number.
+
+    A second hash tells texts apart that share the first by chance; then others are tried.
+    """
+    for seed in range(16):
+        marked = checkpointed(member.withColumn("rep", F.xxhash64(F.lit(seed), text)).withColumn("_other", F.hash(text)))
+        reps = checkpointed(marked.groupBy("rep").agg(*[F.first(c).alias(c) for c in (*FIELDS, "models")], F.min("_other").alias("_least"), F.max("_other").alias("_most")))
+        if not reps.where("_least != _most").limit(1).count():
+            return marked.drop("_other"), reps.drop("_least", "_most")
+    raise RuntimeError("no hash tells the representatives apart")
+
+
 def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None = None, least: float = LEAST_COSINE) -> DataFrame:
-    """key, keep and component: the group of each listing that has a model name; listings of one article share it.
+    """key, keep and component: the group of each listing; listings of one article share it.
 
     A fact that one listing lacks conflicts with nothing only if just one group fits: such a
     listing joins the single group of its model whose known facts it doesn't contradict, else
-    it stays with those that know as little. Listings without rare word are left out. Repeated
-    keys are kept.
+    it stays with those that know as little. A listing without any rare word names no model and
+    is a group of its own; listings of a null key are one group. Repeated rows share their group. Blocks that
+    hold more than a two-hundredth of all tokens are spread.
     """
     keep = keep or []
     read = checkpointed(facts(listings, [key, *keep], brands, colors))
     models = rare_texts(read, key)
     known = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in FIELDS]
-    full = F.lit(True)
-    for f in FIELDS:
-        full = full & F.col(f).isNotNull()
-    member = read.select(key, *keep, *FIELDS).join(models, key).withColumn("rep", F.xxhash64(F.concat_ws("\u0001", *known, F.concat_ws("\u0002", "models"))))
-    member = checkpointed(member)
-    reps = checkpointed(member.select("rep", *FIELDS, "models").dropDuplicates(["rep"]).withColumn("full", full))
-    tokens = reps.select("rep", "full", *FIELDS, F.explode("models").alias("_m")).select("rep", "full", *FIELDS, F.explode(_deletions(F.col("_m"))).alias("token"))
-    tokens = tokens.where(F.length("token") >= SHORTEST)
-
-    # a block is a token with all facts, as one number; what collides is told apart below
-    block = F.xxhash64("token", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in FIELDS]).alias("block")
-    blocked = tokens.select(block, "rep").distinct()
-    pairs = blocked.withColumnRenamed("rep", "a").join(blocked.withColumnRenamed("rep", "b"), "block").where("a < b").select("a", "b").distinct()
-    side = lambda x: reps.select(F.col("rep").alias(x), F.col("models").alias(f"models_{x}"), F.struct(*FIELDS).alias(f"facts_{x}"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(F.col("facts_a").eqNullSafe(F.col("facts_b"))).select("a", "b", "models_a", "models_b")
-
-    parts, whole = tokens.where("NOT full"), tokens.where("full")
-    agree = F.lit(True)
-    for f in FIELDS:
-        agree = agree & (F.col(f"p.{f}").isNull() | (F.col(f"p.{f}") == F.col(f"w.{f}")))
-    loose = parts.alias("p").join(whole.alias("w"), (F.col("p.token") == F.col("w.token")) & agree).select(F.col("p.rep").alias("a"), F.col("w.rep").alias("b")).distinct()
-    loose = loose.join(side("a"), "a").join(side("b"), "b").select("a", "b", "models_a", "models_b")
-
-    weights = gram_weights(reps)
-    confirm = lambda df: df.mapInArrow(_cosine(weights), "a long, b long, cosine double").where(F.col("cosine") >= least).select("a", "b")
-    edges = checkpointed(confirm(pairs))
+    whole = F.concat_ws("\u0001", *known, F.concat_ws("\u0002", "models"))
+    text = F.when(F.size("models") > 0, whole).otherwise(F.concat(F.lit("\u0003"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    member, reps = _representatives(read.select(key, *keep, *FIELDS).join(models, key, "left"), text)
+    unknown = [F.when(F.col(f).isNull(), F.lit(1 << i)).otherwise(0) for i, f in enumerate(FIELDS)]
+    named = reps.where(F.size("models") > 0).withColumn("mask", reduce(lambda x, y: x + y, unknown))
+    tokens = checkpointed(named.select("rep", "mask", *FIELDS, F.explode("models").alias("_m")).select("rep", "mask", *FIELDS, F.explode(pieces(F.col("_m"))).alias("piece")).distinct())
+
+    def block(mask: Column) -> Column:
+        """A piece with those facts that are no part of the mask, as one number; what collides is told apart by the veto."""
+        return F.xxhash64("piece", mask, *[F.when(mask.bitwiseAND(1 << i) == 0, F.coalesce(F.col(f).cast("string"), F.lit(""))).otherwise("") for i, f in enumerate(FIELDS)])
+
+    side = lambda x: named.select(F.col("rep").alias(x), F.col("models").alias(f"models_{x}"), F.struct(*FIELDS).alias(f"facts_{x}"))
+    weights = gram_weights(named)
+
+    def confirmed(pairs: DataFrame, veto: Column) -> DataFrame:
+        met = pairs.join(side("a"), "a").join(side("b"), "b").where(~veto)
+        return met.select("a", "b", "models_a", "models_b").mapInArrow(_cosine(weights), "a long, b long, cosine double").where(F.col("cosine") >= least).select("a", "b")
+
+    blocked = tokens.select(block(F.lit(0)).alias("block"), "rep")
+    pairs = join_spread(blocked.withColumnRenamed("rep", "a"), blocked.withColumnRenamed("rep", "b"), ["block"]).where("a < b").select("a", "b").distinct()
+    edges = checkpointed(confirmed(pairs, ~F.col("facts_a").eqNullSafe(F.col("facts_b"))))
     found = connected_components(edges, "a", "b")
     component = reps.select(F.col("rep").alias("node")).join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    fits = confirm(loose).join(component.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("_to"), F.max("component").alias("_other")).where("_to = _other").select("node", "_to")
+
+    # a listing that lacks facts meets those that have all of them in blocks of the facts it has
+    masks = [r[0] for r in tokens.where("mask != 0").select("mask").distinct().collect()]  # fewer than 2 ** len(FIELDS)
+    parts = tokens.where("mask != 0").select(block(F.col("mask")).alias("block"), F.col("rep").alias("a"))
+    wholes = tokens.where("mask = 0").drop("mask").withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks]).cast("array<int>"))).select(block(F.col("mask")).alias("block"), F.col("rep").alias("b"))
+    loose = join_spread(parts, wholes, ["block"]).select("a", "b").distinct()
+    conflict = reduce(lambda x, y: x | y, [F.coalesce(F.col(f"facts_a.{f}") != F.col(f"facts_b.{f}"), F.lit(False)) for f in FIELDS])
+    fits = confirmed(loose, conflict).join(component.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("_to"), F.max("component").alias("_other")).where("_to = _other").select("node", "_to")
     final = component.join(fits, "node", "left").select(F.col("node").alias("rep"), F.coalesce("_to", "component").alias("component"))
     return member.select(key, *keep, "rep").join(final, "rep").select(key, *keep, "component")
 
