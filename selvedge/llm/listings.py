@@ -89,7 +89,7 @@ class _Phrases:
 
     def __init__(self, lexicon: dict[str, tuple[str, ...]]):
         self.names = {tuple(p.split()): k for k, ps in lexicon.items() for p in ps}
-        self.longest = max(map(len, self.names))
+        self.longest = max(map(len, self.names), default=0)
         self.firsts = {p[0] for p in self.names}
 
     def find(self, words: list[str]) -> list[tuple[int, int, str]]:
@@ -107,17 +107,18 @@ class _Phrases:
         return out
 
 
-#: Words that name a kind or material are no hint at a brand on their own.
-LEXICON = {w for lexicon in (KINDS, MATERIALS) for phrases in lexicon.values() for p in phrases for w in p.split()}
+Lexicon = dict[str, tuple[str, ...]]
 FACTS = "brand long, kind string, material string, color long, measure string, words array<struct<at: int, word: string>>"
 
 
 class Reader:
     """Facts and candidate words of listings."""
 
-    def __init__(self, brands, colors):
+    def __init__(self, brands, colors, kinds: Lexicon = KINDS, materials: Lexicon = MATERIALS):
         self.brands, self.colors = (x if isinstance(x, Names) else Names(x) for x in (brands, colors))
-        self.kinds, self.materials = _Phrases(KINDS), _Phrases(MATERIALS)
+        self.kinds, self.materials = _Phrases(kinds), _Phrases(materials)
+        # words that name a kind or material are no hint at a brand on their own
+        self.plain = {w for lexicon in (self.kinds, self.materials) for p in lexicon.names for w in p}
 
     def read(self, name: str | None, description: str | None, brand: str | None, colors: list[str | None]):
         texts = [_MARKUP.sub(" ", html.unescape(x or "")) for x in (name, description)]
@@ -132,7 +133,7 @@ class Reader:
                 words.append(m[0])
                 last = m.end()
         used = [False] * len(words)
-        spots = self.brands.hints(["." * len(w) if w in LEXICON else w for w in words])
+        spots = self.brands.hints(["." * len(w) if w in self.plain else w for w in words])
         spots = sorted({*spots, *self.brands.mentions(words)})
         starts, at = {}, 0
         for i, w in enumerate(words):
@@ -162,10 +163,11 @@ class Reader:
         return entry or None, kinds[0][2] if kinds else None, materials[0][2] if materials else None, color or None, size, out
 
 
-def facts(listings: DataFrame, keep: list[str], brands, colors) -> DataFrame:
+def facts(listings: DataFrame, keep: list[str], brands, colors, kinds: Lexicon = KINDS, materials: Lexicon = MATERIALS) -> DataFrame:
     """keep and FACTS of listings (product_name, product_description, product_brand, color, internal_color).
 
-    brands, colors: reference names (see canonical.reference_names). A fact that no column or
+    brands, colors: reference names (see canonical.reference_names); kinds, materials: what the
+    catalogue calls its kinds of articles and materials, with their phrases. A fact that no column or
     text gives is null; null and empty texts give no word.
     """
     fields = ["product_name", "product_description", "product_brand", "color", "internal_color"]
@@ -173,7 +175,7 @@ def facts(listings: DataFrame, keep: list[str], brands, colors) -> DataFrame:
     kept = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(built(brands), built(colors))
+        reader = Reader(built(brands), built(colors), kinds, materials)
         types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())]))]
         for b in batches:
             got = [reader.read(n, d, br, [c, i]) for n, d, br, c, i in zip(*[b[kept + i].to_pylist() for i in range(5)])]
@@ -293,7 +295,7 @@ def _representatives(member: DataFrame, text: Column) -> tuple[DataFrame, DataFr
     raise RuntimeError("no hash tells the representatives apart")
 
 
-def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None = None, least: float = LEAST_COSINE) -> DataFrame:
+def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None = None, least: float = LEAST_COSINE, kinds: Lexicon = KINDS, materials: Lexicon = MATERIALS) -> DataFrame:
     """key, keep and component: the group of each listing; listings of one article share it.
 
     A fact that one listing lacks conflicts with nothing only if just one group fits: such a
@@ -303,7 +305,7 @@ def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None
     hold more than a two-hundredth of all tokens are spread.
     """
     keep = keep or []
-    read = checkpointed(facts(listings, [key, *keep], brands, colors))
+    read = checkpointed(facts(listings, [key, *keep], brands, colors, kinds, materials))
     models = rare_texts(read, key)
     known = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in FIELDS]
     whole = F.concat_ws("\u0001", *known, F.concat_ws("\u0002", "models"))

@@ -52,6 +52,49 @@ def test_repeated_rows_ties_and_empty(spark):
     assert listings.groups(df.where("false"), "product_id", BRANDS, COLORS).collect() == []
 
 
+def grouped(spark, rows, **kw):
+    # so that `wide` is a word of many brands
+    rows = rows + [(900 + i, "Z", b, f"{m} sandals silk 3 cm wide", None, "black", None) for i, (b, m) in enumerate([("Tertakel", "Ullorema"), ("Fenloka Mills", "Ghistopar"), ("Britosel Leather Co", "Vuntewil")])]
+    out = listings.groups(spark.createDataFrame(rows, SCHEMA), "product_id", BRANDS, COLORS, **kw).collect()
+    same: dict = {}
+    for r in (r for r in out if r.product_id < 900):
+        same.setdefault(r.component, set()).add(r.product_id)
+    return sorted(map(sorted, same.values()))
+
+
+def test_every_listing_has_a_group_and_short_models_count(spark):
+    name = lambda m: f"{m} belt leather 4.5 cm wide"
+    made = lambda i, m: (i, f"S{i}", "Tertakel", name(m), None, "navy", None)
+    rows = [made(1, "Zx"), made(2, "ZX"), made(3, "Qy"), (4, "S4", None, "", None, None, None), (5, "S5", None, None, None, None, None), made(6, "x" * 300), made(7, "x" * 300)]
+    assert grouped(spark, rows) == [[1, 2], [3], [4], [5], [6, 7]]
+
+
+def test_markup_of_any_length_is_no_text(spark):
+    long = '<p data-x="' + "zorbelino " * 40 + '">'
+    rows = [(i, f"S{i}", "Tertakel", "Hatomiru belt leather 4.5 cm wide", x, "navy", None) for i, x in enumerate([long, "", f"5 < 6 {long}"])]
+    reader = listings.Reader(BRANDS, COLORS)
+    assert all(w["word"] != "zorbelino" for r in rows for w in reader.read(r[3], r[4], r[2], [r[5]])[5])
+    assert grouped(spark, rows)[0][:2] == [0, 1]
+
+
+def test_the_cosine_decides(spark):
+    models = ["Delzomahel", "Delzoprifa", "Delzomahle", "Delzokunto"]
+    rows = [(i, f"S{i}", "Tertakel", f"{m} belt leather 4.5 cm wide", None, "navy", None) for i, m in enumerate(models)]
+    rows += [(100 + i, "T", "Fenloka Mills", f"{a}{b} belt silk 2 cm wide", None, "black", None) for i, (a, b) in enumerate((a, b) for a in ("Mar", "Sol", "Tun", "Vex") for b in ("ibondo", "akirel", "upasti", "owinga"))]
+    assert [0, 2] in grouped(spark, rows)
+    assert [0, 1, 2, 3] in grouped(spark, rows, least=-1.0)
+
+
+def test_pieces_survive_one_error(spark):
+    from pyspark.sql import functions as F
+
+    wrong = lambda w: {w[:i] + w[i + 1 :] for i in range(len(w))} | {w[:i] + w[i + 1] + w[i] + w[i + 2 :] for i in range(len(w) - 1)} | {w[:i] + "q" + w[i:] for i in range(len(w) + 1)} | {w[:i] + "q" + w[i + 1 :] for i in range(len(w))}
+    pairs = [(w, x) for w in ("abc", "abcd", "abcde", "abcdef", "abcdefg", "abcdefghijk") for x in wrong(w)]
+    df = spark.createDataFrame(pairs, "w string, x string")
+    lost = df.where(~F.arrays_overlap(listings.pieces(F.col("w")), listings.pieces(F.col("x")))).collect()
+    assert all(len(r.w) <= 5 for r in lost) and not [r for r in lost if len(r.w) > 3], lost
+
+
 def test_hot_group(spark):
     one = rows()[7]
     df = spark.createDataFrame([(i, f"S{i % 40}", *one[2:]) for i in range(1200)], SCHEMA)
