@@ -69,6 +69,30 @@ def numbered_variants(url: Column, pattern: str, template: str, first: int, last
     return F.when(url.rlike(pattern), F.transform(F.sequence(F.lit(first), F.lit(last)), lambda i: F.regexp_replace(url, F.lit(pattern), F.format_string(template, i)))).otherwise(A.strings())
 
 
+def named_variants(url: Column, pattern: str, names: Column | Sequence[str]) -> Column:
+    """url with what the pattern finds replaced by each name in turn (in the names, $1 is the first group); [] where it isn't found."""
+    each = A.strings(*names) if not isinstance(names, Column) else names
+    return F.when(url.rlike(pattern), F.transform(each, lambda x: F.regexp_replace(url, F.lit(pattern), x))).otherwise(A.strings())
+
+
+def chosen_variants(url: Column, pattern: str, condition: Column, names: Sequence[str], otherwise: Sequence[str]) -> Column:
+    """named_variants by one list of names where the condition holds, by another elsewhere."""
+    return named_variants(url, pattern, F.when(F.coalesce(condition, F.lit(False)), A.strings(*names)).otherwise(A.strings(*otherwise)))
+
+
+def rewritten_list(urls: Column, pattern: str, replacement: str) -> Column:
+    """Given image addresses, each rewritten."""
+    return F.transform(urls, lambda u: F.regexp_replace(u, pattern, replacement))
+
+
+def variants_by_advertiser(advertiser: Column, variants: dict[str, Column]) -> Column:
+    """The variants of each advertiser's rule, [] for advertisers without one: one expression over one scan."""
+    out = None
+    for name, found in variants.items():
+        out = F.when(advertiser == name, found) if out is None else out.when(advertiser == name, found)
+    return (out.otherwise(A.strings())) if out is not None else A.strings()
+
+
 def combined(basic: DataFrame, labels: DataFrame, overrides: dict[str, DataFrame], secondary: DataFrame, drop: Column | None = None) -> DataFrame:
     """basic with its labels, and each column of overrides taken from there if it has a value for the id.
 

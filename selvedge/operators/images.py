@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Decoder = Callable[[bytes], np.ndarray]
@@ -32,6 +34,66 @@ def decode_ppm(data: bytes) -> np.ndarray:
     return np.repeat(pixels, 3, 2) if planes == 1 else pixels
 
 
+def decode_png(data: bytes) -> np.ndarray:
+    """Height x width x 3 from a PNG of 8 bits a channel, not interlaced: grey, colour or palette, with or without alpha (which is dropped)."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("no PNG")
+    at, packed, palette, head = 8, [], None, None
+    while at < len(data):
+        size, kind = struct.unpack(">I4s", data[at : at + 8])
+        body = data[at + 8 : at + 8 + size]
+        if kind == b"IHDR":
+            head = struct.unpack(">IIBBBBB", body)
+        elif kind == b"PLTE":
+            palette = np.frombuffer(body, np.uint8).reshape(-1, 3)
+        elif kind == b"IDAT":
+            packed.append(body)
+        at += size + 12
+    width, height, depth, color, _, _, interlaced = head
+    planes = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[color]
+    if depth != 8 or interlaced:
+        raise ValueError("only 8 bits a channel, not interlaced")
+    lines = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(height, 1 + width * planes)
+    out = np.zeros((height, width, planes), np.int64)
+    above = np.zeros((width, planes), np.int64)
+    for y in range(height):
+        rule, raw = lines[y, 0], lines[y, 1:].reshape(width, planes).astype(np.int64)
+        if rule == 0:
+            row = raw
+        elif rule == 1:
+            row = np.cumsum(raw, 0) % 256
+        elif rule == 2:
+            row = (raw + above) % 256
+        else:  # average and Paeth look at the pixel just made
+            row, left, corner = np.zeros_like(raw), np.zeros(planes, np.int64), np.zeros(planes, np.int64)
+            for x in range(width):
+                up = above[x]
+                if rule == 3:
+                    guess = (left + up) // 2
+                else:
+                    p = left + up - corner
+                    a, b, c = np.abs(p - left), np.abs(p - up), np.abs(p - corner)
+                    guess = np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
+                row[x] = left = (raw[x] + guess) % 256
+                corner = up
+        out[y] = above = row
+    pixels = out.astype(np.uint8)
+    if palette is not None and color == 3:
+        return palette[pixels[..., 0]]
+    return np.repeat(pixels[..., :1], 3, 2) if planes < 3 else pixels[..., :3]
+
+
+def decode(data: bytes) -> np.ndarray:
+    """Any image that needs no library: PNG, PPM, PGM."""
+    return decode_png(data) if data[:1] == b"\x89" else decode_ppm(data)
+
+
+def linear_model(spark: SparkSession, weights: np.ndarray) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
+    """A model for `embedded` from features x pixels weights, which are broadcast once instead of sent with every task."""
+    held = spark.sparkContext.broadcast(np.asarray(weights, np.float64))
+    return lambda: lambda batch: batch.mean(3).reshape(len(batch), -1) @ held.value.T
+
+
 def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     """Bilinear, with pixel centres aligned."""
     h, w = image.shape[:2]
@@ -44,7 +106,7 @@ def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     return (f[y0][:, x0] * (1 - fx) + f[y0][:, x1] * fx) * (1 - fy) + (f[y1][:, x0] * (1 - fx) + f[y1][:, x1] * fx) * fy
 
 
-def difference_hash(data: bytes | None, decode: Decoder = decode_ppm, side: int = 5) -> bytes | None:
+def difference_hash(data: bytes | None, decode: Decoder = decode, side: int = 5) -> bytes | None:
     """Which of neighbouring pixels of a small grey image is brighter, as bits; null if it can't be decoded."""
     try:
         grey = resized(decode(data), side, side + 1).mean(2)
@@ -53,7 +115,7 @@ def difference_hash(data: bytes | None, decode: Decoder = decode_ppm, side: int
     return np.packbits((grey[:, 1:] > grey[:, :-1]).ravel()).tobytes()
 
 
-def with_hash(df: DataFrame, content: str, decode: Decoder = decode_ppm, name: str = "image_hash") -> DataFrame:
+def with_hash(df: DataFrame, content: str, decode: Decoder = decode, name: str = "image_hash") -> DataFrame:
     @F.pandas_udf("binary")
     def hashed(batch: pd.Series) -> pd.Series:
         return batch.map(lambda x: difference_hash(bytes(x), decode) if x is not None else None)
@@ -68,7 +130,7 @@ def color_histogram(batch: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(c, minlength=64) for c in codes]).astype(np.float64)
 
 
-def embedded(df: DataFrame, content: str, model: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None, decode: Decoder = decode_ppm, side: int = 200, batch: int = 8, name: str = "product_image_embedding") -> DataFrame:
+def embedded(df: DataFrame, content: str, model: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None, decode: Decoder = decode, side: int = 200, batch: int = 8, name: str = "product_image_embedding") -> DataFrame:
     """df with a vector of length 1 per image; a null or broken image counts as a black one.
 
     model is called once per task and returns a function from images (n, side, side, 3) in

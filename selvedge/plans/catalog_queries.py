@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from selvedge import schemas
 from selvedge.functions import arrays as A
-from selvedge.operators import catalog, dml, images, lifecycle, rules, serving, similarity, tags
+from selvedge.operators import catalog, dml, lifecycle, rules, serving, similarity, tags
 from selvedge.plans import sqlrun
 from selvedge.session import checkpointed
 from selvedge.sources import feeds
@@ -585,24 +585,7 @@ def sql_script(spark: SparkSession, d: str) -> DataFrame:
     return sqlrun.run(spark, script, {"least": 5}, {"all_products": table(spark, d, "active_products")})
 
 
-# images and streams
-
-
-def _ppm(spark: SparkSession, d: str) -> DataFrame:
-    """An 8 x 8 grey image of each vector: its 64 numbers as bytes."""
-    grey = F.transform("embedding", lambda x: F.lpad(F.hex(F.greatest(F.lit(0), F.least(F.lit(255), F.round(x.cast("double") * 255 + 128).cast("int"))).cast("long")), 2, "0"))
-    head = F.encode(F.lit("P5\n8 8\n255\n"), "utf-8")
-    return table(spark, d, "embeddings").select("vec_id", F.concat(head, F.unhex(F.array_join(grey, ""))).alias("image"))
-
-
-@query()
-def image_hash(spark: SparkSession, d: str) -> DataFrame:
-    return images.with_hash(_ppm(spark, d), "image").select("vec_id", F.hex("image_hash").alias("image_hash"))
-
-
-@query()
-def image_embedding(spark: SparkSession, d: str) -> DataFrame:
-    return images.embedded(_ppm(spark, d), "image", side=32).select("vec_id", F.round(A.norm(F.col("product_image_embedding")), 3).alias("length"), F.size("product_image_embedding").alias("n"))
+# windows over events
 
 
 @query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,3 +148,29 @@ def violations(df: DataFrame, rules: Constraints, tables: dict[str, DataFrame] |
         keys = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(there)).agg(F.count(F.lit(1)).alias("n"))
         out = out.unionByName(keys.join((tables or {})[other].select(there).distinct(), there, "left_anti").agg(F.lit(name).alias("rule"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")))
     return out.where("n_rows > 0")
+
+
+def enforced(df: DataFrame, rules: Constraints, tables: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that a store with these constraints would hold, rows it would refuse, with the first rule each breaks).
+
+    Of rows with one primary or unique key the first by all columns stays; rows with a null in a
+    unique key are never repeats. A null reference is no violation. Every rule is one join or
+    one window on its key.
+    """
+    order = [F.col(f"`{c}`").desc_nulls_last() for c, t in df.dtypes if not t.startswith(("map", "variant"))]
+    broken = F.lit(None).cast("string")
+    for c in dict.fromkeys((*rules.not_null, *rules.primary_key)):
+        broken = F.coalesce(broken, F.when(F.col(c).isNull(), F.lit(f"not null {c}")))
+    rows = df.withColumn("_broken", broken)
+    for i, (column, other, there) in enumerate(rules.foreign_keys):
+        known = (tables or {})[other].select(F.col(there).alias(column)).where(F.col(column).isNotNull()).distinct().withColumn(f"_known{i}", F.lit(True))
+        rows = rows.join(known, column, "left")
+        rows = rows.withColumn("_broken", F.coalesce("_broken", F.when(F.col(column).isNotNull() & F.col(f"_known{i}").isNull(), F.lit(f"{column} in {other}.{there}")))).drop(f"_known{i}")
+    for key in (*((rules.primary_key,) if rules.primary_key else ()), *rules.unique):
+        whole = F.lit(True)
+        for k in key:
+            whole = whole & F.col(k).isNotNull()
+        place = F.row_number().over(Window.partitionBy(*key, F.col("_broken").isNull() & whole).orderBy(*order))
+        rows = rows.withColumn("_broken", F.coalesce("_broken", F.when(whole & (place > 1), F.lit(f"unique {', '.join(key)}"))))
+    good = rows.where("_broken IS NULL").select(*df.columns)
+    return good, rows.where("_broken IS NOT NULL").select(*df.columns, F.col("_broken").alias("rule"))

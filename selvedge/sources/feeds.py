@@ -6,6 +6,7 @@ Credentials are options of the caller or of the environment, never part of the c
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -28,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
 
 def read_xml(spark: SparkSession, path: str, row: str = "product", schema: T.StructType | None = None) -> DataFrame:
     """One row per element of that name. With a schema the files are read once; else they are also scanned for it."""
-    reader = spark.read.format("xml").option("rowTag", row).option("mode", "PERMISSIVE")
+    reader = spark.read.format("xml").option("rowTag", row).option("mode", "PERMISSIVE").option("ignoreSurroundingSpaces", False)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
@@ -99,14 +100,101 @@ def mapped(df: DataFrame, spec: dict[str, Column], schema: T.StructType, constan
     return align(out, schema, keep_extra)
 
 
-def feed_spec(df: DataFrame) -> dict[str, Column]:
-    """The columns of the common schema from a feed with vendor names; what a feed lacks is null."""
+Fields = dict[str, "Fields | None"]
+
+
+def graphql_query(root: str, arguments: dict[str, Any], fields: Fields, operation: str = "") -> str:
+    """A GraphQL document: one call with its arguments and the fields wanted, nested by dictionaries.
+
+    Strings and lists are written as JSON. A field may carry arguments of its own, as in
+    `linkCode(pid: "7")`. operation is `query` or `subscription`; without it the short form.
+    """
+
+    def chosen(x: Fields, depth: int) -> str:
+        pad = "  " * depth
+        return "{\n" + "".join(f"{pad}  {name}{' ' + chosen(inner, depth + 1) if inner else ''}\n" for name, inner in x.items()) + pad + "}"
+
+    given = ", ".join(f"{k}: {json.dumps(v)}" for k, v in arguments.items() if v is not None)
+    call = {f"{root}({given})" if given else root: fields}
+    return f"{operation} {chosen(call, 0)}".strip()
+
+
+def records_at(response: dict | str, *path: str) -> list[dict]:
+    """The list of records inside a response; a missing or null step is an empty list, an error of the service is raised."""
+    found: Any = json.loads(response) if isinstance(response, str) else response
+    if isinstance(found, dict) and found.get("errors"):
+        raise OSError(f"the service answered {json.dumps(found['errors'])}")
+    for step in path:
+        found = found.get(step) if isinstance(found, dict) else None
+    return found or []
+
+
+def flat_record(record: dict, separator: str = ".") -> dict[str, Any]:
+    """A record with nested dictionaries flattened to dotted names; lists stay."""
+    out: dict[str, Any] = {}
+    for k, v in record.items():
+        if isinstance(v, dict):
+            out |= {f"{k}{separator}{x}": y for x, y in flat_record(v, separator).items()}
+        else:
+            out[k] = v
+    return out
+
+
+def recorded_page(page: int, options: dict[str, str]) -> list[dict]:
+    """A fetcher for PagedFeed that replays recorded responses: option `recorded` is a table with a folder page=<n> each and a column body."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    fs, root = pafs.FileSystem.from_uri(options["recorded"] if ":" in options["recorded"] else f"file://{options['recorded']}")
+    out: list[dict] = []
+    for f in sorted(i.path for i in fs.get_file_info(pafs.FileSelector(f"{root}/page={page}")) if i.path.endswith(".parquet")):
+        with fs.open_input_file(f) as handle:
+            for body in pq.ParquetFile(handle).read(columns=["body"])["body"].to_pylist():
+                out += [flat_record(r) for r in records_at(body, *options["path"].split("/"))]
+    return out
+
+
+def _chooser(df: DataFrame) -> Callable[..., Column]:
     have = set(df.columns)
 
     def col(*names: str) -> Column:
-        found = [F.when(F.length(F.col(f"`{n}`").cast("string")) > 0, F.col(f"`{n}`")) for n in names if n in have]
+        """The first of several columns that has a text; null if the feed has none of them."""
+        found = [F.when(F.length(F.col(f"`{n}`").cast("string")) > 0, F.col(f"`{n}`").cast("string")) for n in names if n in have]
         return F.coalesce(*found) if found else F.lit(None).cast("string")
 
+    return col
+
+
+def graph_spec(df: DataFrame) -> dict[str, Column]:
+    """The common columns from a GraphQL feed with flattened names: links through the tracking code first, labels from categories and custom labels."""
+    col = _chooser(df)
+    price, sale = first_number(col("price.amount")), first_number(col("salePrice.amount"))
+    labels = [col(c) for c in ("googleProductCategory.name", "gender", "availability", "customLabel0", "customLabel1", "customLabel2", "customLabel3")]
+    more = F.from_json(col("additionalImageLink"), "array<string>")
+    return {
+        "advertiser_name": col("advertiserName"), "advertiser_country": col("advertiserCountry"), "product_brand": col("brand"), "product_name": col("title"), "product_description": col("description"),
+        "product_purchase_url": col("linkCode.clickUrl", "link"), "product_image_url": col("imageLink", "linkCode.imageUrl"), "product_additional_image_urls": F.coalesce(more, A.strings()),
+        "product_price": F.coalesce(price, sale), "product_sale_price": F.coalesce(sale, price), "product_currency": col("price.currency", "salePrice.currency"),
+        "product_external_labels": array_of(*labels), "external_id": col("id"), "color": col("color"), "size": col("size"),
+    }
+
+
+def merchandiser_spec(df: DataFrame, advertiser: str) -> dict[str, Column]:
+    """The common columns from an XML feed, flattened with `_`: attributes have a leading underscore, one price stands for both."""
+    col = _chooser(df)
+    retail, sale = first_number(col("price_retail")), first_number(col("price_sale"))
+    return {
+        "advertiser_name": F.lit(advertiser), "product_brand": col("brand"), "product_name": col("_name"), "product_description": col("description_long", "description_short"),
+        "product_purchase_url": col("URL_product"), "product_image_url": col("URL_productImage"), "product_additional_image_urls": array_of(col("m1")),
+        "product_price": F.coalesce(retail, sale), "product_sale_price": F.coalesce(sale, retail), "product_currency": col("price__currency"),
+        "product_external_labels": array_of(col("category_primary"), col("category_secondary"), col("attributeClass_Gender"), col("shipping_availability")),
+        "external_id": col("_product_id"), "color": col("attributeClass_Color"), "size": col("attributeClass_Size"),
+    }
+
+
+def feed_spec(df: DataFrame) -> dict[str, Column]:
+    """The columns of the common schema from a feed with vendor names; what a feed lacks is null."""
+    have, col = set(df.columns), _chooser(df)
     extra = [F.col(f"`{n}`") for n in ("alternate_image", "alternate_image_two", "alternate_image_three", "alternate_image_four") if n in have]
     category = [F.col(f"`{n}`") for n in ("category_name", "merchant_category", "custom_1") if n in have]
     price = first_number(col("rrp_price", "product_price_old"), col("search_price"))
@@ -161,8 +249,12 @@ class PagedReader(DataSourceReader):
             yield tuple(x if x is None or isinstance(x, (int, float, str, bool)) else json.dumps(x) for x in (record.get(f) for f in self.fields))
 
 
-def fetched(df: DataFrame, url: str, fetch: Callable[[str], bytes | None], name: str = "content") -> DataFrame:
-    """df with the bytes behind each URL, null where fetching fails. The fetcher is given, so nothing here opens a connection."""
+def fetched(df: DataFrame, url: str, fetch: Callable[[str], bytes | None], name: str = "content", timeout: float = 5.0, threads: int = 16) -> DataFrame:
+    """df with the bytes behind each URL, null where fetching fails or takes longer than `timeout` seconds.
+
+    The fetcher is given, so nothing here opens a connection. A task waits for `threads`
+    addresses at a time; one that hangs costs its own thread until the task ends, no more.
+    """
     kinds = T.StructType([*df.schema.fields, T.StructField(name, T.BinaryType())])
 
     def one(u: str | None) -> bytes | None:
@@ -172,8 +264,21 @@ def fetched(df: DataFrame, url: str, fetch: Callable[[str], bytes | None], name:
             return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from concurrent.futures import ThreadPoolExecutor, TimeoutError
+
         for b in batches:
-            yield b.assign(**{name: [one(u) for u in b[url]]})
+            out: list[bytes | None] = []
+            for at in range(0, len(b), threads):
+                pool = ThreadPoolExecutor(threads)
+                waiting = [pool.submit(one, u) for u in b[url].iloc[at : at + threads]]
+                until = time.monotonic() + timeout
+                for w in waiting:
+                    try:
+                        out.append(w.result(max(0.0, until - time.monotonic())))
+                    except TimeoutError:
+                        out.append(None)
+                pool.shutdown(wait=False, cancel_futures=True)
+            yield b.assign(**{name: out})
 
     return df.mapInPandas(run, kinds)
 

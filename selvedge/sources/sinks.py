@@ -6,9 +6,11 @@ import json
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from selvedge.session import checkpointed
+
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w = df.write.mode("append")
@@ -136,6 +138,48 @@ def upload(df: DataFrame, send: Callable[[list[dict]], None], batch: int = 1000)
     documents(df).foreachPartition(run)
 
 
+def sync_index(new: DataFrame, old_keys: DataFrame, key: str, send: Callable[[list[dict]], None], delete: Callable[[list], None], batch: int = 300, delete_batch: int = 5000) -> None:
+    """Brings a search index to the documents of new: keys it no longer has are deleted, in batches, then all documents sent.
+
+    old_keys: the keys in the index now. Both run on the executors, whatever the size of the
+    index; sending is by key, so a task that Spark repeats changes nothing.
+    """
+    stale = old_keys.select(key).distinct().join(new.select(key), key, "left_anti")
+
+    def drop(rows: Iterator) -> None:
+        held: list = []
+        for r in rows:
+            held.append(r[0])
+            if len(held) == delete_batch:
+                delete(held)
+                held = []
+        if held:
+            delete(held)
+
+    stale.foreachPartition(drop)
+    upload(new, send, batch)
+
+
+def ranked_documents(df: DataFrame, order: list[Column] | None = None, seed: int = 5, name: str = "rank") -> DataFrame:
+    """df with a rank: its place in the order given, counted from 0, or without one a random number that depends on the row and the seed only.
+
+    Places are counted by one sort over all rows and one count per partition, so no row has to
+    pass through a single task.
+    """
+    if order is None:
+        return df.withColumn(name, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(2**31)) / float(2**31))
+    parted = df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    kept = checkpointed(parted)
+    sizes = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return kept.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at") - F.col("_first")).select(*df.columns, name)
+
+
+def write_sorted(df: DataFrame, path: str, *order: Column | str) -> None:
+    """Rows in one order over all files: each file holds a range, and the files' names are in the order of the ranges."""
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+
+
 def document_keys(df: DataFrame, columns: list[str], name: str = "document_id") -> DataFrame:
     """df with a key hashed from columns: the same in any process."""
     return df.withColumn(name, F.abs(F.xxhash64(*columns) % F.lit(2**62)))
@@ -145,5 +189,5 @@ def write_json(df: DataFrame, path: str) -> None:
     documents(df).write.mode("overwrite").text(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    df.write.mode("overwrite").csv(path, header=True, escape='"', compression=compression, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
