@@ -104,10 +104,5 @@ def display_text(*parts: Column) -> Column:
     return F.trim(F.regexp_replace(F.concat_ws(" ", *parts), " +", " "))
 
 
-def last_segment(url: Column) -> Column:
-    """What follows the last slash."""
-    return F.element_at(F.split(url, "/"), -1)
-
-
 def escaped(text: str) -> str:
     return re.escape(text)

@@ -132,7 +132,3 @@ def valid_images(images: DataFrame, invalid: DataFrame, column: str = "image_has
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     return last_per_key(df, keys, *order)
-
-
-def required(fields: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in fields])

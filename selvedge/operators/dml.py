@@ -63,14 +63,12 @@ def not_in(target: DataFrame, column: str, values: DataFrame, value: str, guard:
     With guard, nulls among the values are ignored; without it, one of them removes every row,
     as SQL has it. Written as an anti join on the non-null values, so it needn't be broadcast.
     """
-    some = values.limit(1).count() > 0
-    if not some:
+    kinds = {r[0] for r in values.select(F.col(value).isNull()).distinct().collect()}  # two rows at most
+    if not kinds or (guard and False not in kinds):
         return target
-    if not guard and values.where(F.col(value).isNull()).limit(1).count():
+    if not guard and True in kinds:
         return target.where(F.lit(False))
     known = values.where(F.col(value).isNotNull()).select(F.col(value).alias(column)).distinct()
-    if guard and not known.limit(1).count():
-        return target
     return target.where(F.col(column).isNotNull()).join(known, column, "left_anti").select(*target.columns)
 
 

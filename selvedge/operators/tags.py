@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from selvedge.functions import arrays as A
+from selvedge.session import written
 
 EMPTY = ("",)
 
@@ -56,7 +57,7 @@ def product_tags(products: DataFrame, synonyms: dict[str, list[str]], forbidden:
     return out.where(~F.col("suggestion").contains(forbidden)).distinct()
 
 
-def supported(tags: DataFrame, *more: str) -> DataFrame:
+def supported(tags: DataFrame) -> DataFrame:
     """suggestion, product_label, n_hits: distinct products per suggestion and label, and per suggestion the rows with the running maximum.
 
     In the order labelled first, then by count: a row stays if no earlier one has more. So an
@@ -80,8 +81,10 @@ def smart_tags(tags: DataFrame, include: int, redundancy: float = 0.65) -> DataF
 
     Tags with more than `include` products, one or two attributes and no colour in the text,
     without those that another tag continues by one word with more than `redundancy` of their
-    products; one row per set of words, the smallest by alphabet.
+    products; one row per set of words, the smallest by alphabet. tags are written once, since
+    two aggregations read them and making them multiplies the products.
     """
+    tags = written(tags.select("product_id", "suggestion", "product_label", "tag_words", "secondary_subset", "internal_color"))
     top = supported(tags).where((F.col("n_hits") > include) & (F.length("suggestion") > 0))
     forms = tags.groupBy("suggestion", "product_label", "tag_words").agg(F.min(F.struct(F.array_sort(F.array_remove("secondary_subset", "")).alias("labels"), F.coalesce("internal_color", F.lit("")).alias("color"))).alias("_f"))
     t = top.join(forms, ["suggestion", "product_label"]).where((F.col("_f.color") == "") | ~F.contains("suggestion", F.col("_f.color")))

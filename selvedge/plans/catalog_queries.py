@@ -193,11 +193,14 @@ def combine_info(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT product_id, count(DISTINCT row(lower(color), size, product_price, product_sale_price, product_purchase_url)) AS n_details, count(DISTINCT execution_date) > 0 AS dated FROM daily_product_dump WHERE product_id IS NOT NULL AND execution_date IS NOT NULL GROUP BY product_id
+WITH g AS (SELECT DISTINCT product_id, coalesce(lower(color), '?') || '/' || coalesce(size, '?') || '/' || coalesce(printf('%.2f', CAST(product_price AS DOUBLE)), '?') || '/' || coalesce(printf('%.2f', CAST(product_sale_price AS DOUBLE)), '?') AS x, lower(color) AS c, size, product_price AS a, product_sale_price AS b, product_purchase_url AS u FROM daily_product_dump WHERE product_id IS NOT NULL AND execution_date IS NOT NULL)
+SELECT product_id, count(*) AS n_details, string_agg(x, '|' ORDER BY x) AS details, (SELECT CAST(min(execution_date) AS VARCHAR) FROM daily_product_dump d WHERE d.product_id = g.product_id) IS NOT NULL AS dated FROM g GROUP BY product_id
 """)
 def group_details(spark: SparkSession, d: str) -> DataFrame:
     out = catalog.grouped(table(spark, d, "daily_product_dump").where("product_id IS NOT NULL AND execution_date IS NOT NULL"))
-    return out.select("product_id", F.size("product_details").cast("long").alias("n_details"), F.col("execution_date").isNotNull().alias("dated"))
+    price = lambda x: F.when(x.isNotNull(), F.format_string("%.2f", x.cast("double")))
+    text = lambda x: F.array_join(F.array(x["color"], x["size"], price(x["product_price"]), price(x["product_sale_price"])), "/", "?")
+    return out.select("product_id", F.size("product_details").cast("long").alias("n_details"), F.array_join(F.array_sort(F.transform("product_details", text)), "|").alias("details"), F.col("execution_date").isNotNull().alias("dated"))
 
 
 @query("SELECT product_id, x.size AS size, min(x.product_purchase_url) AS product_purchase_url FROM (SELECT product_id, unnest(product_details) AS x FROM active_products) WHERE x.size IS NOT NULL GROUP BY ALL")
@@ -469,18 +472,20 @@ def advertiser_top_tags(spark: SparkSession, d: str) -> DataFrame:
     return tags.advertiser_tags(table(spark, d, "product_smart_tag"), table(spark, d, "product_info"), table(spark, d, "smart_tag"), 1, 0.001).withColumn("score", F.round("score", 4))
 
 
-@query("""
-WITH o AS (SELECT a.product_id, b.product_id AS other_id, b.color FROM active_products a JOIN active_products b ON a.advertiser_name = b.advertiser_name AND a.product_brand = b.product_brand AND a.product_id != b.product_id AND a.color != b.color AND a.product_labels = b.product_labels),
-s AS (SELECT product_id, count(DISTINCT row(color, other_id)) AS n FROM o GROUP BY 1)
-SELECT a.product_id, coalesce(len(product_details), 0) AS n_sizes, coalesce(s.n, 0) AS n_options, round((n_likes + n_add_to_cart + 1) / CASE WHEN n_views = 0 THEN NULL ELSE n_views END, 6) AS swipe_rate FROM active_products a LEFT JOIN s ON a.product_id = s.product_id
+_SHADES = ["black", "white", "navy", "red", "green", "blue", "grey", "beige", "pink", "ivory", "olive", "sage"]
+
+
+@query(f"""
+WITH p AS (SELECT *, array_to_string(list_filter(string_split(regexp_replace(lower(product_name), '[^\\w\\s]|\\s', ' ', 'g'), ' '), lambda w: w != '' AND NOT list_contains({_SHADES!r}, w)), ' ') AS core FROM active_products),
+o AS (SELECT DISTINCT a.product_id, b.product_id AS other_id, b.color, b.product_image_url AS url FROM p a JOIN p b ON a.advertiser_name = b.advertiser_name AND a.product_brand = b.product_brand AND a.core = b.core AND a.product_id != b.product_id AND a.color != b.color),
+s AS (SELECT product_id, string_agg(color || ':' || other_id || ':' || coalesce(url, '?'), '|' ORDER BY color, other_id) AS options FROM o GROUP BY 1)
+SELECT a.product_id, coalesce(len(product_details), 0) AS n_sizes, coalesce(s.options, '') AS options, round((n_likes + n_add_to_cart + 1) / CASE WHEN n_views = 0 THEN NULL ELSE n_views END, 6) AS swipe_rate FROM active_products a LEFT JOIN s ON a.product_id = s.product_id
 """)
 def search_docs(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "active_products")
-    on = ["advertiser_name", "product_brand", "product_labels"]
-    other = p.select(F.col("product_id").alias("other_id"), *on, F.col("color").alias("other_color"))
-    options = p.select("product_id", *on, "color").join(other, on).where("product_id != other_id AND color != other_color").select("product_id", "other_id", F.col("other_color").alias("color"))
-    docs = tags.search_documents(p, options)
-    return docs.select("product_id", F.coalesce(F.size("sizes"), F.lit(0)).alias("n_sizes"), F.coalesce(F.size("product_color_options"), F.lit(0)).alias("n_options"), F.round("swipe_rate", 6).alias("swipe_rate"))
+    docs = tags.search_documents(p, similarity.color_variants(p, _SHADES))
+    options = F.array_join(F.transform("product_color_options", lambda x: F.concat_ws(":", x["color"], x["product_id"].cast("string"), F.coalesce(x["product_image_url"], F.lit("?")))), "|")
+    return docs.select("product_id", F.coalesce(F.size("sizes"), F.lit(0)).alias("n_sizes"), F.coalesce(options, F.lit("")).alias("options"), F.round("swipe_rate", 6).alias("swipe_rate"))
 
 
 @query("""
