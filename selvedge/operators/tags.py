@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from selvedge.functions import arrays as A
+from selvedge.functions.skew import spread_for_cpu
 from selvedge.session import written
 
 EMPTY = ("",)
@@ -43,7 +44,7 @@ def product_tags(products: DataFrame, synonyms: dict[str, list[str]], forbidden:
     labels = F.array_distinct(F.array_union(F.coalesce("product_labels", A.strings()), A.strings("")))
     roots = F.filter(A.strings(*table), lambda r: F.coalesce(F.array_contains("product_labels", r), F.lit(False)))
     roots = F.when(F.size(roots) > 0, roots).otherwise(F.array(F.lit(None).cast("string")))
-    base = products.select("product_id", "internal_color", "product_labels", "product_secondary_labels").withColumn("_at", attributes)
+    base = spread_for_cpu(products.select("product_id", "internal_color", "product_labels", "product_secondary_labels")).withColumn("_at", attributes)
     subsets = base.select("product_id", "internal_color", "product_labels", F.explode(F.array_distinct(triples)).alias("secondary_subset"))
     wide = subsets.withColumn("product_label", F.explode(labels)).withColumn("_root", F.explode(roots))
     found = F.get(F.filter("secondary_subset", lambda x: F.coalesce(F.array_contains(of(F.col("_root")), x), F.lit(False))), F.lit(0))
