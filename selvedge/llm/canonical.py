@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from selvedge.functions.skew import spread_for_cpu
+
 #: Most names and aliases a reference list may have: every Python worker holds one copy, measured at 0.65 GB for this many names of two words.
 MAX_NAMES = 200_000
 #: Letters of a word that its deletions are made of; what follows them is compared in full.
@@ -312,7 +314,7 @@ def canonicalized(df: DataFrame, keep: list[str], lists: dict[str, list[tuple[in
     how often a value occurs; a value that mentions two different entries means none. Names of
     an empty list match nothing.
     """
-    rows = df.select(*keep, *lists)
+    rows = spread_for_cpu(df.select(*keep, *lists))
     return rows.mapInArrow(_mapper(lists), f"{rows.select(*keep).schema.simpleString()[7:-1]}, field_name: string, value: string, ref_id: bigint, is_literal: boolean")
 
 

@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from selvedge.functions.skew import spread_for_cpu
 #: Characters that are encoded in one piece; a longer text is halved until its parts are no longer than this.
 LEAF_CHARS = 16_384
 #: First half-width in characters of the window around a seam.
@@ -170,17 +171,17 @@ def _mapped(path: str, counts: bool, drop: str):
 def encode(df: DataFrame, text: str, keep: list[str], path: str | None = None) -> DataFrame:
     """keep and ids (array of int): each text's ids without special tokens; [] for null and empty texts.
 
-    A narrow pass without shuffle: rows stay where they are read, whole texts are encoded, and
+    A narrow pass: rows stay where they are read (tables of fewer partitions than cores are spread), whole texts are encoded, and
     a text of any length is built up from leaves of LEAF_CHARS characters. keep must not hold a
     column named ids.
     """
-    rows = df.select(*keep, F.col(text).alias("_text"))
+    rows = spread_for_cpu(df.select(*keep, F.col(text).alias("_text")))
     return rows.mapInArrow(_mapped(path or tokenizer_path(), False, "_text"), f"{rows.drop('_text').schema.simpleString()[7:-1]}, ids: array<int>".lstrip(", "))
 
 
 def count_tokens(df: DataFrame, text: str, keep: list[str], path: str | None = None) -> DataFrame:
     """keep and n_tokens: the length of each text in tokens; 0 for null and empty texts."""
-    rows = df.select(*keep, F.col(text).alias("_text"))
+    rows = spread_for_cpu(df.select(*keep, F.col(text).alias("_text")))
     return rows.mapInArrow(_mapped(path or tokenizer_path(), True, "_text"), f"{rows.drop('_text').schema.simpleString()[7:-1]}, n_tokens: bigint".lstrip(", "))
 
 
