@@ -84,6 +84,16 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_target"), "n_tokens")
 
 
+def p9_reached(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each source has its target share, to a hundredth, and no document more than its repeats."""
+    target = table(spark, d, "mix_target")
+    got = p9_shares(spark, d).join(target.select("source", "max_repeats"), "source")
+    return got.select("source", F.round("target_share", 6).alias("target_share"), (F.abs(F.col("actual_share") - F.col("target_share")) < 0.01).alias("reached"), (F.col("most_repeats") <= F.col("max_repeats")).alias("within"))
+
+
+P9_REACHED_SQL = "SELECT source, round(target_share, 6) AS target_share, true AS reached, true AS within FROM mix_target"
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return privacy.extract(table(spark, d, "documents"), "text", ["doc_id"]).select("doc_id", "pii_kind", "pii_text").distinct()
 
@@ -93,5 +103,17 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return privacy.redact(table(spark, d, "documents"), "text", ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p6_found, p6_groups, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_redacted)}
-SQL = {"p4_found": P4_SQL}
+def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose redacted text is as long as the text without its pieces and with their placeholders, so that nothing else was touched."""
+    docs = table(spark, d, "documents").where("text IS NOT NULL")
+    cut = privacy.extract(docs, "text", ["doc_id"]).groupBy("doc_id").agg(F.sum(F.length("pii_kind") + 2 - F.length("pii_text")).alias("_more"))
+    clean = privacy.redact(docs, "text", ["doc_id"]).select("doc_id", F.length("text").alias("_after"))
+    both = docs.select("doc_id", F.length("text").alias("_before")).join(clean, "doc_id").join(cut, "doc_id", "left")
+    return both.groupBy((F.col("_after") == F.col("_before") + F.coalesce("_more", F.lit(0))).alias("same")).agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+P10_LENGTHS_SQL = "SELECT true AS same, count(*) AS n_documents FROM documents WHERE text IS NOT NULL"
+P8_ROUND_TRIP_SQL = "SELECT true AS same, count(*) AS n_documents FROM documents"
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p6_found, p6_groups, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_reached, p10_found, p10_redacted, p10_lengths)}
+SQL = {"p4_found": P4_SQL, "p8_round_trip": P8_ROUND_TRIP_SQL, "p9_reached": P9_REACHED_SQL, "p10_lengths": P10_LENGTHS_SQL}
