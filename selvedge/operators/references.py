@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from selvedge.functions.skew import join_unique
+from selvedge.session import written
 
 COUNTS = ("n_refs", "n_records", "n_traces")
 
@@ -78,11 +79,13 @@ def orphan_report(refs: DataFrame, state: DataFrame) -> DataFrame:
     exists but since after the reference, `deleted` if it does not exist and has traces, else
     `missing`. A null ref_id refers to nothing and is left out; a null at has a null period and
     is never late; a null owner_key is reported as null. Repeated references give one row.
-    References are reduced to one row per reported row before the join, and the join spreads
-    keys that hold more than a two-hundredth of them.
+    References are reduced to one row per reported row before the join and written, since hot
+    keys are looked for before the join; the join spreads keys that hold more than a
+    two-hundredth of them.
     """
     period = F.date_format(F.timestamp_seconds("at"), "yyyy-MM")
     once = refs.where(F.col("ref_id").isNotNull()).groupBy("kind", "table_name", "owner_key", "ref_id", period.alias("period")).agg(F.min("at").alias("at"))
+    once = written(once)
     keys = key_states(state).where("n_refs > 0").select("kind", "ref_id", "n_records", "n_traces", "exists_from")
     joined = join_unique(once, keys, ["kind", "ref_id"])
     reason = F.when(F.col("n_records") > 0, F.when(F.col("exists_from") > F.col("at"), "late")).when(F.col("n_traces") > 0, "deleted").otherwise("missing")
