@@ -40,16 +40,18 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", one_in: int = 200, salts: int = 64) -> DataFrame:
+def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", one_in: int = 200, salts: int = 64, hot: list[Row] | None = None) -> DataFrame:
     """big joined to small, which has at most one row per key (inner, left, left_semi or left_anti).
 
     Rows of hot keys are spread over `salts` values of an extra join key, and small's rows of
     those keys (fewer than one_in, by counting) are repeated that often; all other rows keep
     salt 0. The hot keys are the only thing broadcast. big should not hold a large group of
     rows that are equal in every column, because the salt comes from the row's content.
-    Null keys match nothing; with a left join they are spread as well.
+    Null keys match nothing; with a left join they are spread as well. To find the hot keys big
+    is computed once more: it should be cheap or kept, or `hot` give the hot keys of the kept
+    table it comes from.
     """
-    found = hot_keys(big, keys, one_in)
+    found = hot_keys(big, keys, one_in) if hot is None else hot
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in big.dtypes if not t.startswith(("map", "variant"))]), F.lit(salts)).cast("int")
     if not found:

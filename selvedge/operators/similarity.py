@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from selvedge.functions import arrays as A
-from selvedge.functions.skew import join_spread, join_unique
+from selvedge.functions.skew import hot_keys, join_spread, join_unique
 from selvedge.operators import dml
+from selvedge.session import checkpointed
 
 #: Vectors of a label that are multiplied at a time.
 CHUNK = 1024
@@ -169,11 +170,11 @@ def user_vectors(events: DataFrame, vectors: DataFrame, day: Column, weights: di
     vectors: product_id (unique), vector; null vectors take no part. Users and products with a
     large part of all events are spread in the joins; a mean is partial sums per task.
     """
-    weighed = weighed_events(events, day, weights)
+    weighed = checkpointed(weighed_events(events, day, weights).select("user_id", "product_id", "_w"))  # used for the totals, the hot keys and the joins
     totals = weighed.groupBy("user_id").agg(F.sum(F.when(F.col("_w") > 0, F.col("_w"))).alias("_p"), F.sum(F.when(F.col("_w") < 0, F.col("_w"))).alias("_n"))
     totals = totals.where((F.abs("_n") > least_negative) & (F.col("_p") > least_positive))
     scaled = join_unique(weighed, totals, ["user_id"]).withColumn("_w", F.when(F.col("_w") < 0, F.col("_w") * 0.8 * F.abs(F.col("_p") / F.col("_n"))).otherwise(F.col("_w")))
-    parts = join_unique(scaled, vectors.where("vector IS NOT NULL"), ["product_id"]).select("user_id", A.scaled(F.col("vector"), F.col("_w")).alias("_v"))
+    parts = join_unique(scaled, vectors.where("vector IS NOT NULL"), ["product_id"], hot=hot_keys(weighed, ["product_id"])).select("user_id", A.scaled(F.col("vector"), F.col("_w")).alias("_v"))
     return A.mean_vectors(parts, ["user_id"], "_v", dimensions).select("user_id", A.l2_normalized(F.col("vector")).alias("vector")).where("vector IS NOT NULL")
 
 
