@@ -97,16 +97,17 @@ def copies(docs: DataFrame, target: DataFrame, key: str, source: str, size: str,
     inside = marked.where("_bin = _cut").withColumn("_fine", finer)
     fine = inside.groupBy("source", F.col("_fine").alias("_bin")).agg(F.sum("_size").alias("_in_bin"))
     fine_cut = _first_over(fine, cut.select("source", F.col("_rest_of_bin").alias("_rest")), "_fine_cut", "_left")
-    inside = inside.join(F.broadcast(fine_cut), "source", "left")
+    placed = marked.withColumn("_fine", F.when(F.col("_bin") == F.col("_cut"), finer)).join(F.broadcast(fine_cut), "source", "left")
 
     no, yes = F.lit(0), F.lit(1)
-    before = marked.where("_bin IS NULL OR _cut IS NULL OR _bin != _cut").withColumn("_taken", F.when(F.col("_bin").isNull(), no).when(F.col("_cut").isNull() | (F.col("_bin") < F.col("_cut")), yes).otherwise(no))
-    near = inside.where("_fine_cut IS NULL OR _fine != _fine_cut").withColumn("_taken", F.when(F.col("_fine_cut").isNull() | (F.col("_fine") < F.col("_fine_cut")), yes).otherwise(no))
+    here = F.coalesce(F.col("_fine") == F.col("_fine_cut"), F.lit(False))
+    sides = F.when(F.col("_bin").isNull(), no).when(F.col("_cut").isNull() | (F.col("_bin") < F.col("_cut")), yes).when(F.col("_bin") > F.col("_cut"), no)
+    sides = sides.when(F.col("_fine_cut").isNull() | (F.col("_fine") < F.col("_fine_cut")), yes).otherwise(no)
     order = Window.partitionBy("source").orderBy("_rank", "_key")
-    at = inside.where("_fine = _fine_cut").withColumn("_sum", F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    at = placed.where(here).withColumn("_sum", F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     at = at.withColumn("_taken", F.when(F.col("_sum") - F.col("_size") / 2 <= F.col("_left"), yes).otherwise(no))
     kept = ["_key", "source", "_size", "_sure", "_taken"]
-    used = before.select(*kept).unionByName(near.select(*kept)).unionByName(at.select(*kept)).withColumn("copies", (F.col("_sure") + F.col("_taken")).cast("int")).where("copies > 0")
+    used = placed.where(~here).withColumn("_taken", sides).select(*kept).unionByName(at.select(*kept)).withColumn("copies", (F.col("_sure") + F.col("_taken")).cast("int")).where("copies > 0")
     return used.select(F.col("_key").alias(key), "source", F.col("_size").cast("long").alias(size), "copies")
 
 
