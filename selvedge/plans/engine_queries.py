@@ -350,8 +350,9 @@ def autocomplete_upload(spark: SparkSession, d: str) -> DataFrame:
 
     names = serving.joined_names(table(spark, d, "product_info"), "advertiser_name", "product_brand").withColumn("kind", F.lit("brand"))
     keyed, path = sinks.document_keys(names, ["advertiser_name", "product_brand"]), _folder(spark)
-    sinks.upload(keyed.limit(0), _writer(path))
-    sinks.upload(keyed, _writer(path), 1000)
+    stale = keyed.withColumn("kind", F.lit("stale"))
+    sinks.upload(stale, _writer(path))
+    sinks.replace_index(keyed, lambda: sinks.remove(spark, path), _writer(path), 1000)
     back = feeds.read_json(spark, path, keyed.schema).withColumnRenamed("document_id", "_was")
     return sinks.document_keys(back, ["advertiser_name", "product_brand"]).select("advertiser_name", "product_brand", "kind", (F.col("_was") == F.col("document_id")).alias("keyed"))
 

@@ -45,7 +45,7 @@ def _folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(n for n in numbers if fs.exists(hadoop(f"{path}/{prefix}={n}/_SUCCESS")))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
@@ -66,7 +66,7 @@ def swap(df: DataFrame, path: str) -> None:
     done = _folders(spark, path, "version")
     df.write.mode("overwrite").options(**MARKED).parquet(f"{path}/version={done[-1] + 1 if done else 0}")
     for old in done[:-1]:
-        _remove(spark, f"{path}/version={old}")
+        remove(spark, f"{path}/version={old}")
 
 
 def current(spark: SparkSession, path: str) -> DataFrame | None:
@@ -93,10 +93,10 @@ def add_counts(df: DataFrame, path: str, number: int, keys: list[str], compact_e
         top = max(open_)
         counts(spark, path, keys).write.mode("overwrite").options(**MARKED).parquet(f"{path}/base={top}")
         for n in bases:
-            _remove(spark, f"{path}/base={n}")
+            remove(spark, f"{path}/base={n}")
         for n in [*deltas, number]:
             if n <= top:
-                _remove(spark, f"{path}/delta={n}")
+                remove(spark, f"{path}/delta={n}")
 
 
 def counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
@@ -160,6 +160,13 @@ def sync_index(new: DataFrame, old_keys: DataFrame, key: str, send: Callable[[li
     upload(new, send, batch)
 
 
+def replace_index(df: DataFrame, clear: Callable[[], None], send: Callable[[list[dict]], None], batch: int = 1000) -> None:
+    """Empties an index, then sends it all documents of df in batches; df is computed before the index is emptied."""
+    kept = checkpointed(df)
+    clear()
+    upload(kept, send, batch)
+
+
 def ranked_documents(df: DataFrame, order: list[Column] | None = None, seed: int = 5, name: str = "rank") -> DataFrame:
     """df with a rank: its place in the order given, counted from 0, or without one a random number that depends on the row and the seed only.
 

@@ -117,7 +117,7 @@ def test_counters_survive_a_crash_between_any_two_steps(spark, tmp_path, monkeyp
         raise RuntimeError("lost")
 
     with monkeypatch.context() as m:  # and again after the sum was written, before the batches went
-        m.setattr(sinks, "_remove", lost)
+        m.setattr(sinks, "remove", lost)
         with pytest.raises(RuntimeError):
             sinks.add_counts(batch(2), path, 1, ["id"], 2)
     assert total() == [7]
