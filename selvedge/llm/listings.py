@@ -1,7 +1,8 @@
 """Listings of the same article by different sellers, grouped.
 
-1. Facts. Each listing's brand, kind of article, material, colour and measure are read from its
-   columns and text, in one spelling and unit.
+1. Facts. Each listing's brand, colour and measure are read from its columns and text, in one
+   spelling and unit. Words that name kinds of articles and materials are learnt from the
+   corpus (see `learnt_traits`) and read as facts as well.
 2. Rare text. What is left of the words after the facts and the words that many brands share
    (marketing, care, layout) names the model.
 3. Blocks. Listings that agree in facts and rare text are one representative. Representatives
@@ -33,17 +34,6 @@ from selvedge.functions.skew import broadcast_if_small, hot_keys, join_spread, s
 from selvedge.llm.canonical import Names, built, folded
 from selvedge.session import checkpointed
 
-# Words for one kind of article, one material.
-KINDS = {
-    "t-shirt": ("t shirt", "tshirt", "tee"), "sweater": ("sweater", "jumper", "pullover"), "sneakers": ("sneakers", "trainers"), "boots": ("boots",),
-    "sandals": ("sandals",), "coat": ("coat", "overcoat"), "backpack": ("backpack", "rucksack"), "bag": ("bag", "handbag"), "scarf": ("scarf", "stole"),
-    "belt": ("belt",), "socks": ("socks",), "skirt": ("skirt",), "briefs": ("briefs", "knickers"), "dress": ("dress", "robe dress"),
-    "jeans": ("jeans", "denim pants"), "trousers": ("trousers", "pants"), "blouse": ("blouse",), "cardigan": ("cardigan",), "jumpsuit": ("jumpsuit",), "tote": ("tote",),
-}
-MATERIALS = {
-    "polyester": ("polyester", "recycled polyester"), "viscose": ("viscose", "rayon"), "silk": ("silk",), "wool": ("wool", "all wool", "allwool"), "linen": ("linen",),
-    "cotton": ("cotton",), "leather": ("leather",), "suede": ("suede",), "cashmere": ("cashmere",), "velvet": ("velvet",), "tencel": ("tencel", "lyocell"), "denim": (),
-}
 # Units by what they measure, in centimetres, litres and grams a square metre.
 UNITS = {
     "length": {"mm": 0.1, "cm": 1.0, "m": 100.0, "in": 2.54, "inch": 2.54, "inches": 2.54, '"': 2.54, "″": 2.54, "ft": 30.48},
@@ -84,41 +74,17 @@ def _joined(m: regex.Match) -> str:
     return f"{m[1]} " if m[2] in "-‐‑" and len(m[1]) <= 3 else m[1]
 
 
-class _Phrases:
-    """Longest phrases of a small lexicon in a list of words."""
-
-    def __init__(self, lexicon: dict[str, tuple[str, ...]]):
-        self.names = {tuple(p.split()): k for k, ps in lexicon.items() for p in ps}
-        self.longest = max(map(len, self.names), default=0)
-        self.firsts = {p[0] for p in self.names}
-
-    def find(self, words: list[str]) -> list[tuple[int, int, str]]:
-        out, i = [], 0
-        while i < len(words):
-            if words[i] not in self.firsts:
-                i += 1
-                continue
-            for n in range(min(self.longest, len(words) - i), 0, -1):
-                if (k := self.names.get(tuple(words[i : i + n]))) is not None:
-                    out.append((i, n, k))
-                    i += n - 1
-                    break
-            i += 1
-        return out
-
-
-Lexicon = dict[str, tuple[str, ...]]
-FACTS = "brand long, kind string, material string, color long, measure string, words array<struct<at: int, word: string>>"
+FACTS = "brand long, color long, measure string, words array<struct<at: int, word: string>>"
+FIELDS = ["brand", "color", "measure"]
 
 
 class Reader:
     """Facts and candidate words of listings."""
 
-    def __init__(self, brands, colors, kinds: Lexicon = KINDS, materials: Lexicon = MATERIALS):
+    def __init__(self, brands, colors):
         self.brands, self.colors = (x if isinstance(x, Names) else Names(x) for x in (brands, colors))
-        self.kinds, self.materials = _Phrases(kinds), _Phrases(materials)
-        # words that name a kind or material are no hint at a brand on their own
-        self.plain = {w for lexicon in (self.kinds, self.materials) for p in lexicon.names for w in p}
+        # a single word hints at a brand if the brand's name begins with it: others, such as Leather in a firm's name, may say what the article is
+        self.heads = {core[0] for _, core in self.brands.names}
 
     def read(self, name: str | None, description: str | None, brand: str | None, colors: list[str | None]):
         texts = [_MARKUP.sub(" ", html.unescape(x or "")) for x in (name, description)]
@@ -133,8 +99,9 @@ class Reader:
                 words.append(m[0])
                 last = m.end()
         used = [False] * len(words)
-        spots = self.brands.hints(["." * len(w) if w in self.plain else w for w in words])
-        spots = sorted({*spots, *self.brands.mentions(words)})
+        whole = " ".join(words)
+        spots = self.brands.mentions(words)
+        spots = sorted({*spots, *(h for h in self.brands.hints(words) if whole[h[0] : h[0] + h[1]] in self.heads)})
         starts, at = {}, 0
         for i, w in enumerate(words):
             starts[at] = i
@@ -148,11 +115,8 @@ class Reader:
                     i += 1
         entry = self.brands.entry(brand) or (spots[0][2] if spots and len({e for *_, e in spots}) == 1 else 0)
         free = [w if not u else "" for w, u in zip(words, used)]
-        kinds, materials = self.kinds.find(free), self.materials.find(free)
         shown = self.colors.mentions(free)
         color = next((e for c in colors if (e := self.colors.entry(c))), 0) or (shown[0][2] if len({e for *_, e in shown}) == 1 else 0)
-        for i, n, _ in (*kinds, *materials):
-            used[i : i + n] = [True] * n
         out, at = [], 0
         for i, w in enumerate(words):
             at += 1 + gaps[i]  # neighbours within one phrase follow each other without a gap
@@ -160,14 +124,13 @@ class Reader:
                 out.append({"at": at, "word": w})
             elif used[i] or not w.isalpha():
                 at += 1
-        return entry or None, kinds[0][2] if kinds else None, materials[0][2] if materials else None, color or None, size, out
+        return entry or None, color or None, size, out
 
 
-def facts(listings: DataFrame, keep: list[str], brands, colors, kinds: Lexicon = KINDS, materials: Lexicon = MATERIALS) -> DataFrame:
+def facts(listings: DataFrame, keep: list[str], brands, colors) -> DataFrame:
     """keep and FACTS of listings (product_name, product_description, product_brand, color, internal_color).
 
-    brands, colors: reference names (see canonical.reference_names); kinds, materials: what the
-    catalogue calls its kinds of articles and materials, with their phrases. A fact that no column or
+    brands, colors: reference names (see canonical.reference_names). A fact that no column or
     text gives is null; null and empty texts give no word.
     """
     fields = ["product_name", "product_description", "product_brand", "color", "internal_color"]
@@ -175,31 +138,129 @@ def facts(listings: DataFrame, keep: list[str], brands, colors, kinds: Lexicon =
     kept = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(built(brands), built(colors), kinds, materials)
-        types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())]))]
+        reader = Reader(built(brands), built(colors))
+        types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())]))]
         for b in batches:
             got = [reader.read(n, d, br, [c, i]) for n, d, br, c, i in zip(*[b[kept + i].to_pylist() for i in range(5)])]
             columns = [pa.array([g[i] for g in got], t) for i, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:kept], *columns], names=[*keep, "brand", "kind", "material", "color", "measure", "words"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:kept], *columns], names=[*keep, "brand", "color", "measure", "words"])
 
     return rows.mapInArrow(run, f"{rows.select(*keep).schema.simpleString()[7:-1]}, {FACTS.replace(' array', ' array').replace('long', 'bigint')}")
 
 
-FIELDS = ["brand", "kind", "material", "color", "measure"]
-
-
-def rare_texts(read: DataFrame, key: str) -> DataFrame:
-    """key and models: the rare words of each listing, neighbours written together, distinct and sorted; one row per key with any.
+def common_words(read: DataFrame) -> DataFrame:
+    """word: the words that many brands share.
 
     A word is common if it occurs with MANY_BRANDS brands or more and with COMMON_SHARE of all
     brands or more: copies of one listing, however many, make no word common, nor does the size
     of the table.
     """
     brands = read.agg(F.countDistinct("brand")).first()[0] or 0
-    words = read.select(key, "brand", F.explode("words").alias("_w")).select(key, "brand", F.col("_w.at").alias("at"), F.col("_w.word").alias("word"))
-    spread = words.where("brand IS NOT NULL").select("word", "brand").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("brands"))
-    common = checkpointed(spread.where(F.col("brands") >= max(MANY_BRANDS, COMMON_SHARE * brands)).select("word"))
-    rare = words.join(broadcast_if_small(common), "word", "left_anti").groupBy(key).agg(F.array_sort(F.collect_set(F.struct("at", "word"))).alias("_rare"))
+    words = read.where("brand IS NOT NULL").select("brand", F.explode("words.word").alias("word")).distinct()
+    return checkpointed(words.groupBy("word").agg(F.count(F.lit(1)).alias("brands")).where(F.col("brands") >= max(MANY_BRANDS, COMMON_SHARE * brands)).select("word"))
+
+
+#: A trait word is this many times likelier in a listing if another listing of the article has it; two words of one trait likewise.
+TRAIT_LIFT = 3.0
+#: Two words exclude each other if they occur together in articles in less than this share of the cases that chance gives, and hardly ever in one listing.
+OPPOSED, BESIDE = 0.5, 0.1
+#: Cases that chance must give at least before their number tells anything.
+LEAST_EXPECTED = 8
+#: Most trait words: they come to the driver. More are refused.
+MAX_TRAITS = 5_000
+
+
+def _parts(nodes: list[str], links: set[tuple[str, str]]) -> dict[str, str]:
+    """The connected part of each of a few words, named by its first word."""
+    root = {n: n for n in nodes}
+
+    def find(x: str) -> str:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def learnt_traits(read: DataFrame, models: DataFrame, common: DataFrame) -> list[tuple[str, int, str]]:
+    """(word, slot, value) of the words that name what an article is or is made of.
+
+    Listings that share brand, colour, measure and a rare word are, but for such words, of one
+    article. In such contexts a trait word comes again and again, while marketing comes by
+    chance: its lift tells. Two trait words that follow each other from listing to listing
+    name one value (viscose, rayon); two that exclude each other, both between the listings of
+    an article and within a listing (cotton, linen), are values of one slot. Whatever excludes each other, directly or through others, is one slot.
+
+    read: _row, FIELDS, words; models: _row, models; common: word. Counts are sums over all
+    contexts, so they take one row per context and word; only trait words, of which there are
+    few in any language, are paired. Tables in which chance would give fewer than
+    LEAST_EXPECTED meetings of two words tell nothing about them.
+    """
+    full = " AND ".join(f"{f} IS NOT NULL" for f in FIELDS)
+    placed = read.where(full).join(models, "_row").select("_row", *FIELDS, F.array_distinct("words.word").alias("_words"), F.explode("models").alias("_m")).select("_row", F.xxhash64(*FIELDS, "_m").alias("context"), "_words")
+    sizes = placed.groupBy("context").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    placed = placed.join(sizes, "context")
+    words = placed.select("_row", "context", "n", F.explode("_words").alias("word")).join(broadcast_if_small(common), "word", "left_semi")
+    counts = checkpointed(words.groupBy("context", "n", "word").agg(F.count(F.lit(1)).alias("k")))
+    whole = sizes.agg(F.sum("n")).first()[0] or 0
+    each = counts.groupBy("word").agg(F.sum("k").alias("k"), F.sum(F.col("k") * (F.col("k") - 1)).alias("same"), F.sum(F.col("k") * (F.col("n") - 1)).alias("chances"))
+    lift = (F.col("same") / F.col("chances")) / (F.col("k") / F.lit(float(whole or 1)))
+    found = each.where((F.col("k") >= LEAST_EXPECTED) & (F.col("chances") > 0)).where(lift >= TRAIT_LIFT).limit(MAX_TRAITS + 1).collect()
+    if len(found) > MAX_TRAITS:
+        raise ValueError(f"more than {MAX_TRAITS} trait words")
+    if not found:
+        return []
+    traits = counts.sparkSession.createDataFrame([(r.word,) for r in found], "word string")
+    mine = counts.join(F.broadcast(traits), "word")
+    met = mine.select("context", F.col("word").alias("u"), F.col("k").alias("ku")).join(mine.select("context", F.col("word").alias("v"), F.col("k").alias("kv")), "context").where("u < v")
+    apart = met.groupBy("u", "v").agg(F.sum(F.col("ku") * F.col("kv")).alias("met"))
+    listed = read.select("_row", F.explode(F.array_distinct("words.word")).alias("word")).join(F.broadcast(traits), "word").groupBy("_row").agg(F.array_sort(F.collect_set("word")).alias("w"))
+    beside = listed.select(F.explode("w").alias("u"), "w").select("u", F.explode("w").alias("v")).where("u <= v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("beside"))
+    together = {(r.u, r.v): r.beside for r in beside.collect()}  # MAX_TRAITS squared at most, as below
+    inside = words.join(F.broadcast(traits), "word").groupBy("_row", "context").agg(F.array_sort(F.collect_set("word")).alias("w"))
+    inside = inside.select(F.explode("w").alias("u"), "w").select("u", F.explode("w").alias("v")).where("u < v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("inside"))
+    pairs = {(r.u, r.v): r.met - (r.inside or 0) for r in apart.join(inside, ["u", "v"], "left").collect()}
+    rows = read.count() or 1
+    chances, share = {r.word: r.chances for r in found}, {r.word: r.k / whole for r in found}
+    names, alike, opposed = sorted(chances), set(), set()
+    for i, u in enumerate(names):
+        for v in names[i + 1 :]:
+            expected = (chances[u] * share[v], chances[v] * share[u])
+            if min(expected) < LEAST_EXPECTED:
+                continue
+            lifts = [pairs.get((u, v), 0) / e for e in expected]
+            by_chance = together[u, u] * together[v, v] / rows
+            if min(lifts) >= TRAIT_LIFT:
+                alike.add((u, v))
+            elif max(lifts) <= OPPOSED and by_chance >= LEAST_EXPECTED and together.get((u, v), 0) <= BESIDE * by_chance:
+                opposed.add((u, v))
+    value = _parts(names, alike)
+    between = {tuple(sorted((value[u], value[v]))) for u, v in opposed if value[u] != value[v]}
+    slot = _parts(sorted({x for pair in between for x in pair}), between)
+    order = {s: i for i, s in enumerate(sorted(set(slot.values())))}
+    return [(w, order[slot[value[w]]], value[w]) for w in names if value[w] in slot]
+
+
+def with_traits(read: DataFrame, traits: list[tuple[str, int, str]]) -> tuple[DataFrame, list[str]]:
+    """read with a column per slot (its value that stands first in the listing, null if none), and the names of those columns."""
+    slots = sorted({s for _, s, _ in traits})
+    if not slots:
+        return read, []
+    known = read.sparkSession.createDataFrame(traits, "word string, slot int, value string")
+    words = read.select("_row", F.explode("words").alias("_w")).select("_row", "_w.at", "_w.word").join(F.broadcast(known), "word")
+    names = [f"trait{s}" for s in slots]
+    values = words.groupBy("_row").agg(*[F.min_by("value", F.when(F.col("slot") == s, F.col("at"))).alias(n) for s, n in zip(slots, names)])
+    return read.join(values, "_row", "left"), names
+
+
+def rare_texts(read: DataFrame, common: DataFrame) -> DataFrame:
+    """_row and models: the rare words of each listing, neighbours written together, distinct and sorted; rows without any are left out."""
+    words = read.select("_row", F.explode("words").alias("_w")).select("_row", F.col("_w.at").alias("at"), F.col("_w.word").alias("word"))
+    rare = words.join(broadcast_if_small(common), "word", "left_anti").groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("at", "word"))).alias("_rare"))
     start = F.struct(F.lit(-9).alias("at"), F.array().cast("array<string>").alias("runs"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -207,7 +268,7 @@ def rare_texts(read: DataFrame, key: str) -> DataFrame:
         return F.struct(x["at"].alias("at"), F.when((x["at"] == acc["at"] + 1) & (F.size(acc["runs"]) > 0), glued).otherwise(F.concat(acc["runs"], F.array(x["word"]))).alias("runs"))
 
     runs = F.aggregate("_rare", start, step, lambda acc: acc["runs"])
-    return rare.select(key, F.array_sort(F.array_distinct(runs)).alias("models")).where(F.size("models") > 0)
+    return rare.select("_row", F.array_sort(F.array_distinct(runs)).alias("models")).where(F.size("models") > 0)
 
 
 def pieces(token: Column) -> Column:
@@ -282,20 +343,20 @@ def gram_weights(models: DataFrame) -> np.ndarray:
     return idf
 
 
-def _representatives(member: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
+def _representatives(member: DataFrame, text: Column, fields: list[str]) -> tuple[DataFrame, DataFrame]:
     """(member with rep, one row per rep): listings with the same text share a number.
 
     A second hash tells texts apart that share the first by chance; then others are tried.
     """
     for seed in range(16):
         marked = checkpointed(member.withColumn("rep", F.xxhash64(F.lit(seed), text)).withColumn("_other", F.hash(text)))
-        reps = checkpointed(marked.groupBy("rep").agg(*[F.first(c).alias(c) for c in (*FIELDS, "models")], F.min("_other").alias("_least"), F.max("_other").alias("_most")))
+        reps = checkpointed(marked.groupBy("rep").agg(*[F.first(c).alias(c) for c in (*fields, "models")], F.min("_other").alias("_least"), F.max("_other").alias("_most")))
         if not reps.where("_least != _most").limit(1).count():
             return marked.drop("_other"), reps.drop("_least", "_most")
     raise RuntimeError("no hash tells the representatives apart")
 
 
-def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None = None, least: float = LEAST_COSINE, kinds: Lexicon = KINDS, materials: Lexicon = MATERIALS) -> DataFrame:
+def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None = None, least: float = LEAST_COSINE) -> DataFrame:
     """key, keep and component: the group of each listing; listings of one article share it.
 
     A fact that one listing lacks conflicts with nothing only if just one group fits: such a
@@ -305,21 +366,24 @@ def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None
     hold more than a two-hundredth of all tokens are spread.
     """
     keep = keep or []
-    read = checkpointed(facts(listings, [key, *keep], brands, colors, kinds, materials))
-    models = rare_texts(read, key)
-    known = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in FIELDS]
+    read = checkpointed(facts(listings, [key, *keep], brands, colors).withColumn("_row", F.monotonically_increasing_id()))
+    common = common_words(read)
+    models = checkpointed(rare_texts(read, common))
+    read, traits = with_traits(read, learnt_traits(read, models, common))
+    fields = [*FIELDS, *traits]
+    known = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
     whole = F.concat_ws("\u0001", *known, F.concat_ws("\u0002", "models"))
     text = F.when(F.size("models") > 0, whole).otherwise(F.concat(F.lit("\u0003"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    member, reps = _representatives(read.select(key, *keep, *FIELDS).join(models, key, "left"), text)
-    unknown = [F.when(F.col(f).isNull(), F.lit(1 << i)).otherwise(0) for i, f in enumerate(FIELDS)]
+    member, reps = _representatives(read.select("_row", key, *keep, *fields).join(models, "_row", "left").drop("_row"), text, fields)
+    unknown = [F.when(F.col(f).isNull(), F.lit(1 << i)).otherwise(0) for i, f in enumerate(fields)]
     named = reps.where(F.size("models") > 0).withColumn("mask", reduce(lambda x, y: x + y, unknown))
-    tokens = checkpointed(named.select("rep", "mask", *FIELDS, F.explode("models").alias("_m")).select("rep", "mask", *FIELDS, F.explode(pieces(F.col("_m"))).alias("piece")).distinct())
+    tokens = checkpointed(named.select("rep", "mask", *fields, F.explode("models").alias("_m")).select("rep", "mask", *fields, F.explode(pieces(F.col("_m"))).alias("piece")).distinct())
 
     def block(mask: Column) -> Column:
         """A piece with those facts that are no part of the mask, as one number; what collides is told apart by the veto."""
-        return F.xxhash64("piece", mask, *[F.when(mask.bitwiseAND(1 << i) == 0, F.coalesce(F.col(f).cast("string"), F.lit(""))).otherwise("") for i, f in enumerate(FIELDS)])
+        return F.xxhash64("piece", mask, *[F.when(mask.bitwiseAND(1 << i) == 0, F.coalesce(F.col(f).cast("string"), F.lit(""))).otherwise("") for i, f in enumerate(fields)])
 
-    side = lambda x: named.select(F.col("rep").alias(x), F.col("models").alias(f"models_{x}"), F.struct(*FIELDS).alias(f"facts_{x}"))
+    side = lambda x: named.select(F.col("rep").alias(x), F.col("models").alias(f"models_{x}"), F.struct(*fields).alias(f"facts_{x}"))
     weights = gram_weights(named)
 
     def confirmed(pairs: DataFrame, veto: Column) -> DataFrame:
@@ -333,11 +397,11 @@ def groups(listings: DataFrame, key: str, brands, colors, keep: list[str] | None
     component = reps.select(F.col("rep").alias("node")).join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
     # a listing that lacks facts meets those that have all of them in blocks of the facts it has
-    masks = [r[0] for r in tokens.where("mask != 0").select("mask").distinct().collect()]  # fewer than 2 ** len(FIELDS)
+    masks = [r[0] for r in tokens.where("mask != 0").select("mask").distinct().collect()]  # fewer than 2 ** len(fields)
     parts = tokens.where("mask != 0").select(block(F.col("mask")).alias("block"), F.col("rep").alias("a"))
     wholes = tokens.where("mask = 0").drop("mask").withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks]).cast("array<int>"))).select(block(F.col("mask")).alias("block"), F.col("rep").alias("b"))
     loose = join_spread(parts, wholes, ["block"]).select("a", "b").distinct()
-    conflict = reduce(lambda x, y: x | y, [F.coalesce(F.col(f"facts_a.{f}") != F.col(f"facts_b.{f}"), F.lit(False)) for f in FIELDS])
+    conflict = reduce(lambda x, y: x | y, [F.coalesce(F.col(f"facts_a.{f}") != F.col(f"facts_b.{f}"), F.lit(False)) for f in fields])
     fits = confirmed(loose, conflict).join(component.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("_to"), F.max("component").alias("_other")).where("_to = _other").select("node", "_to")
     final = component.join(fits, "node", "left").select(F.col("node").alias("rep"), F.coalesce("_to", "component").alias("component"))
     return member.select(key, *keep, "rep").join(final, "rep").select(key, *keep, "component")
