@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from selvedge.functions.components import connected_components
 from selvedge.functions.skew import broadcast_if_small, hot_keys, join_spread, spread_for_cpu
 from selvedge.llm.canonical import Names, built, folded
-from selvedge.session import checkpointed
+from selvedge.session import checkpointed, written
 
 # Units by what they measure, in centimetres, litres and grams a square metre.
 UNITS = {
@@ -203,10 +203,10 @@ def learnt_traits(read: DataFrame, models: DataFrame, common: DataFrame) -> list
     full = " AND ".join(f"{f} IS NOT NULL" for f in FIELDS)
     placed = read.where(full).join(models, "_row").select("_row", *FIELDS, F.array_distinct("words.word").alias("_words"), F.explode("models").alias("_m")).select("_row", F.xxhash64(*FIELDS, "_m").alias("context"), "_words")
     sizes = placed.groupBy("context").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    placed = placed.join(sizes, "context")
-    words = placed.select("_row", "context", "n", F.explode("_words").alias("word")).join(broadcast_if_small(common), "word", "left_semi")
+    placed = written(placed.join(sizes, "context").select("context", "n", "_words"))  # read for all words, then for trait words
+    words = placed.select("context", "n", F.explode("_words").alias("word")).join(broadcast_if_small(common), "word", "left_semi")
     counts = checkpointed(words.groupBy("context", "n", "word").agg(F.count(F.lit(1)).alias("k")))
-    whole = sizes.agg(F.sum("n")).first()[0] or 0
+    whole = placed.count()
     each = counts.groupBy("word").agg(F.sum("k").alias("k"), F.sum(F.col("k") * (F.col("k") - 1)).alias("same"), F.sum(F.col("k") * (F.col("n") - 1)).alias("chances"))
     lift = (F.col("same") / F.col("chances")) / (F.col("k") / F.lit(float(whole or 1)))
     found = each.where((F.col("k") >= LEAST_EXPECTED) & (F.col("chances") > 0)).where(lift >= TRAIT_LIFT).limit(MAX_TRAITS + 1).collect()
@@ -218,10 +218,11 @@ def learnt_traits(read: DataFrame, models: DataFrame, common: DataFrame) -> list
     mine = counts.join(F.broadcast(traits), "word")
     met = mine.select("context", F.col("word").alias("u"), F.col("k").alias("ku")).join(mine.select("context", F.col("word").alias("v"), F.col("k").alias("kv")), "context").where("u < v")
     apart = met.groupBy("u", "v").agg(F.sum(F.col("ku") * F.col("kv")).alias("met"))
-    listed = read.select("_row", F.explode(F.array_distinct("words.word")).alias("word")).join(F.broadcast(traits), "word").groupBy("_row").agg(F.array_sort(F.collect_set("word")).alias("w"))
+    only = F.lit([r.word for r in found])
+    listed = read.select(F.array_sort(F.array_intersect("words.word", only)).alias("w"))
     beside = listed.select(F.explode("w").alias("u"), "w").select("u", F.explode("w").alias("v")).where("u <= v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("beside"))
     together = {(r.u, r.v): r.beside for r in beside.collect()}  # MAX_TRAITS squared at most, as below
-    inside = words.join(F.broadcast(traits), "word").groupBy("_row", "context").agg(F.array_sort(F.collect_set("word")).alias("w"))
+    inside = placed.select(F.array_sort(F.array_intersect("_words", only)).alias("w"))
     inside = inside.select(F.explode("w").alias("u"), "w").select("u", F.explode("w").alias("v")).where("u < v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("inside"))
     pairs = {(r.u, r.v): r.met - (r.inside or 0) for r in apart.join(inside, ["u", "v"], "left").collect()}
     rows = read.count() or 1
