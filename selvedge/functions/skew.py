@@ -64,19 +64,21 @@ def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def join_spread(left: DataFrame, right: DataFrame, keys: list[str], one_in: int = 200, salts: int = 32) -> DataFrame:
+def join_spread(left: DataFrame, right: DataFrame, keys: list[str], one_in: int = 200, salts: int = 32, tasks: int | None = None) -> DataFrame:
     """Inner join of two tables that may both have many rows of a key.
 
     Rows of left with a hot key (see hot_keys) are spread over `salts` values by their content,
     and right's rows of those keys are copied to each, so the pairs of a hot key are made by
-    that many tasks. Null keys match nothing.
+    that many tasks. Null keys match nothing. The number of tasks follows the bytes that are
+    joined, unless `tasks` is given, for results far larger than the tables.
     """
     found = hot_keys(left, keys, one_in)
+    parted = lambda df, *more: df.repartition(tasks, *keys, *more) if tasks else df
     if not found:
-        return left.join(right, keys)
+        return parted(left).join(parted(right), keys)
     marked = F.broadcast(left.sparkSession.createDataFrame(found, left.select(*keys).schema).withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in left.dtypes if not t.startswith(("map", "variant"))]), F.lit(salts)).cast("int")
     a = left.join(marked, keys, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     b = right.join(marked, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return a.join(b, [*keys, "_salt"]).drop("_salt")
+    return parted(a, "_salt").join(parted(b, "_salt"), [*keys, "_salt"]).drop("_salt")

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from selvedge.functions import arrays as A
 from selvedge.functions.skew import hot_keys, join_spread, join_unique
 from selvedge.operators import dml
-from selvedge.session import checkpointed
+from selvedge.session import checkpointed, written
 
 #: Vectors of a label that are multiplied at a time.
 CHUNK = 1024
+#: Pairs of colour variants that a task makes.
+PAIRS = 8_000_000
 
 
 def _packed(vectors: DataFrame, chunk: int, side: str, *more: str) -> DataFrame:
@@ -145,13 +147,26 @@ def color_variants(products: DataFrame, colors: list[str]) -> DataFrame:
     of the name are part of the join key. To have one advertiser, brand and rest of the name is
     transitive, so variants of variants are found in the same step. Products without colour,
     brand or advertiser have none. Every pair is asked for; the rows of a name that holds more
-    than a two-hundredth of all products are spread, those of the other side copied.
+    than a two-hundredth of all products are spread, those of the other side copied. Pairs are
+    quadratic in a name's products, so it is products that are made distinct, not pairs: only
+    a product that still has several rows, of other colours or names, can give a pair twice.
+    Tasks are as many as the pairs ask for, since the table's bytes say nothing about them.
     """
-    core = A.without(A.word_list(F.col("product_name")), A.strings(*colors))
     keys = ["advertiser_name", "product_brand", "core"]
-    p = products.where("color IS NOT NULL").select("product_id", "advertiser_name", "product_brand", "color", F.array_join(core, " ").alias("core"))
+    core = A.without(A.word_list(F.col("product_name")), A.strings(*colors))
+    rows = products.where("product_id IS NOT NULL AND color IS NOT NULL").select("product_id", "advertiser_name", "product_brand", "product_name", "color").repartition("product_id")
+    named = rows.select("product_id", "advertiser_name", "product_brand", "color", F.array_join(core, " ").alias("core")).distinct()
+    p = written(named.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy("product_id"))))
     b = p.select(*keys, F.col("product_id").alias("other_id"), F.col("color").alias("other_color"))
-    return join_spread(p, b, keys).where("product_id != other_id AND color != other_color").select("product_id", "other_id", F.col("other_color").alias("color")).distinct()
+    met = p.where("advertiser_name IS NOT NULL AND product_brand IS NOT NULL AND core IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum(F.col("_n") * F.col("_n"))).first()[0] or 0
+    tasks = max(met // PAIRS, p.sparkSession.sparkContext.defaultParallelism) if met > PAIRS else None
+
+    def pairs(a: DataFrame) -> DataFrame:
+        return join_spread(a.drop("_rows"), b, keys, tasks=tasks).where("product_id != other_id AND color != other_color").select("product_id", "other_id", F.col("other_color").alias("color"))
+
+    several = p.where("_rows > 1")
+    once = pairs(p.where("_rows = 1"))
+    return once if several.isEmpty() else once.unionByName(pairs(several).distinct())
 
 
 def simple_recommendations(events: DataFrame, products: DataFrame, more_than: int) -> DataFrame:

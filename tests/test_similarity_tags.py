@@ -85,6 +85,24 @@ def test_color_variants_with_a_hot_name(spark):
     assert got == {(i, j, d) for i, _, _, _, c in rows[:24] for j, _, _, _, d in rows[:24] if c and d and c != d}
 
 
+def variants(rows):
+    core = lambda name: tuple(w for w in name.split() if w not in ("red", "blue", "green"))
+    return sorted({(i, j, d) for i, a, b, n, c in rows for j, e, f, m, d in rows if i != j and None not in (i, j, a, b, n, c, d, m) and (a, b, core(n)) == (e, f, core(m)) and c != d})
+
+
+def test_color_variants_make_products_distinct_not_pairs(spark, monkeypatch):
+    schema = "product_id long, advertiser_name string, product_brand string, product_name string, color string"
+    rows = [(i, "a", "b", f"{c} {n}", c) for i, (c, n) in enumerate(itertools.product(["red", "blue", "green"] * 7, ["dress", "coat"]))]
+    for pairs in (similarity.PAIRS, 100):
+        monkeypatch.setattr(similarity, "PAIRS", pairs)
+        out = similarity.color_variants(spark.createDataFrame(rows + rows[:9], schema), ["red", "blue", "green"])
+        assert sorted(map(tuple, out.collect())) == variants(rows)
+        assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()  # no pair is exchanged
+        assert pairs > 100 or out.rdd.getNumPartitions() == 882 // 100
+        several = [*rows, (0, "a", "b", "blue dress", "blue"), (0, "a", "b", "red coat", "red"), (3, "a", "b", "green dress", "red"), (3, "a", "b", None, "red"), (None, "a", "b", "red dress", "red"), (5, "a", None, "red coat", "red")]
+        assert sorted(map(tuple, similarity.color_variants(spark.createDataFrame(several, schema), ["red", "blue", "green"]).collect())) == variants(several)
+
+
 def test_top_neighbours_ties(spark):
     s = spark.createDataFrame([(1, 7, 0.1), (1, 3, 0.9), (1, 8, 0.9)], "product_id long, similar_product_id long, similarity_score double")
     assert [(r["index"], r.similar_product_id) for r in similarity.top_neighbours(s, 3).orderBy("index").collect()] == [(0, 8), (1, 3), (2, 7)]

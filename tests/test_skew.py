@@ -17,6 +17,17 @@ def test_join_with_hot_and_null_keys(spark):
     assert skew.join_unique(df, small, ["k"], "left_anti", one_in=10).count() == sum(k not in monkey for _, k in big)
 
 
+def test_spread_join_in_given_tasks(spark):
+    left = [(i, 7 if i < 2000 else i % 90 or None) for i in range(4000)]
+    df = spark.createDataFrame(left, "id long, k long")
+    right = spark.createDataFrame([(7, 1), (7, 2), (8, 3), (None, 4)], "k long, v long")
+    for one_in, hot in ((3, [7]), (1, [])):
+        assert [r[0] for r in skew.hot_keys(df, ["k"], one_in)] == hot
+        out = skew.join_spread(df, right, ["k"], one_in=one_in, salts=4, tasks=9)
+        assert out.rdd.getNumPartitions() == 9
+        assert sorted((r.id, r.k, r.v) for r in out.collect()) == [(i, k, v) for i, k in left for v in {7: (1, 2), 8: (3,)}.get(k, ())]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 102), (102, 101), (7, 7), (None, 3), (200, 200)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
